@@ -13,16 +13,23 @@ from pulsegrid.functions.scalars import is_json_object
 SIGNAL_KEYS = {"logs": "resourceLogs", "traces": "resourceSpans", "metrics": "resourceMetrics"}
 
 
-def parse(messages: DataFrame, resource_source: bool = False) -> DataFrame:
-    """Add `valid` and the feature arrays `logs`, `traces`, `metrics` (NULL when absent)."""
+def parse(
+    messages: DataFrame,
+    signals: tuple[str, ...] = tuple(SIGNAL_KEYS),
+    resource_source: bool = False,
+) -> DataFrame:
+    """Add the feature arrays `logs`, `traces`, `metrics`, or only those in `signals`.
+
+    An array is NULL when the message does not carry the signal.
+    """
+    readers = {
+        "logs": lambda c: otlp.log_features(c, F.col("ts"), resource_source),
+        "traces": lambda c: otlp.span_features(c, F.col("ts")),
+        "metrics": lambda c: otlp.metric_features(c, F.col("ts")),
+    }
     envelope = messages.withColumn("_envelope", F.from_json("value", schemas.ENVELOPE))
-    return envelope.select(
-        *messages.columns,
-        is_json_object(F.col("value")).alias("valid"),
-        otlp.log_features(F.col("_envelope.resourceLogs"), F.col("ts"), resource_source).alias("logs"),
-        otlp.span_features(F.col("_envelope.resourceSpans"), F.col("ts")).alias("traces"),
-        otlp.metric_features(F.col("_envelope.resourceMetrics"), F.col("ts")).alias("metrics"),
-    )
+    arrays = [readers[s](F.col(f"_envelope.{SIGNAL_KEYS[s]}")).alias(s) for s in signals]
+    return envelope.select(*messages.columns, *arrays)
 
 
 def signals_present(messages: DataFrame) -> DataFrame:
@@ -55,7 +62,7 @@ def quarantined(messages: DataFrame) -> DataFrame:
 
 
 def _records(messages: DataFrame, signal: str, **options) -> DataFrame:
-    parsed = parse(accepted(messages), **options)
+    parsed = parse(accepted(messages), (signal,), **options)
     return parsed.select("topic", "seq", F.posexplode(signal).alias("pos", "_r")).select(
         "topic", "seq", "pos", "_r.*"
     )

@@ -21,18 +21,19 @@ def running_counts(
     order: list[str],
     counts: dict[str, Column],
     group_rows: int = GROUP_ROWS,
+    bounded: bool = False,
 ) -> DataFrame:
     """Add, per entry of `counts`, how many rows of the group up to and including
     this one satisfy its condition. `order` must be unique inside a group.
 
-    Small groups use one window. If any group exceeds `group_rows`, the rows are
+    Small groups, counted or known (`bounded`), use one window. If any group exceeds `group_rows`, the rows are
     range-partitioned by (keys, order), which splits large groups over many
     partitions; each slice counts locally and adds the totals of the slices
     before it. The sliced rows are written once, so slice borders cannot differ
     between the two uses.
     """
     flags = {name: cond.cast("bigint") for name, cond in counts.items()}
-    top, total = largest_group(df, keys)
+    top, total = (0, 0) if bounded else largest_group(df, keys)
     if top <= group_rows:
         upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.select("*", *[F.sum(flag).over(upto).alias(n) for n, flag in flags.items()])

@@ -90,10 +90,11 @@ def trend(
     keys: tuple[str, ...] = ("topic",),
     order: tuple[str, ...] = ORDER,
     group_rows: int = GROUP_ROWS,
+    bounded: bool = False,
 ) -> DataFrame:
     """Least-squares slope of `column` against its position 0..n-1 in `order`; 0 below two values."""
     valid = records.filter(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double")))
-    placed = running_counts(valid, list(keys), list(order), {"_place": F.lit(True)}, group_rows)
+    placed = running_counts(valid, list(keys), list(order), {"_place": F.lit(True)}, group_rows, bounded)
     return placed.groupBy(*keys).agg(slope(F.col(column), F.col("_place")).alias("trend"))
 
 
@@ -124,7 +125,7 @@ def aggregated_row(
     bounded = history_limit is not None and history_limit <= group_rows
     key_list = list(keys)
     features = enhanced_features(rows, window_minutes, keys, bounded=bounded, group_rows=group_rows)
-    slopes = trend(rows, "value", keys, group_rows=group_rows)
+    slopes = trend(rows, "value", keys, group_rows=group_rows, bounded=bounded)
     return features.join(slopes, key_list).select(
         *key_list,
         F.lit(window_start).cast("timestamp").alias("window_start"),

@@ -56,7 +56,7 @@ def batch_bounds(messages: DataFrame) -> tuple[dt.datetime | None, dt.datetime |
 def parse_batch(messages: DataFrame) -> DataFrame:
     """Accepted messages with their features, written once: history, correlation
     and the documents all read from it, each only the columns it needs."""
-    return materialise(parse(accepted(messages)).drop("valid"), "parsed")
+    return materialise(parse(accepted(messages)), "parsed")
 
 
 def correlation_document():
@@ -82,7 +82,8 @@ def build(
     """
     window_start, window_end = bounds or batch_bounds(messages)
     parsed = parse_batch(messages) if parsed is None else parsed
-    history = history_of(parsed) if history is None else history
+    alone = history is None
+    history = history_of(parsed) if alone else history
 
     running = running_features(
         history, parsed, WINDOWS, history_limit=history_limit, group_rows=group_rows
@@ -116,8 +117,10 @@ def build(
             for c in ("enhanced_features", "sliding_features", "correlation_features")
         ],
     )
-    topics = messages.select("topic").distinct()
-    mine = attach(history, topics, ["topic"], spread_by=["seq", "pos"], how="left_semi")
+    mine = history
+    if not alone:  # stored history also holds topics this batch has no message of
+        topics = messages.select("topic").distinct()
+        mine = attach(history, topics, ["topic"], spread_by=["seq", "pos"], how="left_semi")
     aggregated = aggregated_row(
         mine, window_start, window_end, history_limit=history_limit, group_rows=group_rows
     )

@@ -18,7 +18,7 @@ from pulsegrid.functions import scalars
 from pulsegrid.functions.documents import features_document
 from pulsegrid.operators import correlation, history, messages, quantiles, routing, running, snapshot
 from pulsegrid.plans import envelopes, feature_tables, serving
-from pulsegrid.session import configure, scratch_path
+from pulsegrid.session import configure, materialise, scratch_path
 from pulsegrid.sources import messages as sources_of_messages
 from pulsegrid.sources import sinks
 from pulsegrid.streaming import job
@@ -30,7 +30,11 @@ ORACLES: dict[str, str] = {}
 
 ALL = ("logs", "traces", "metrics")
 MONTH = 45 * 24 * 60  # minutes; longer than the table
-HOUR, DAY = 60, 24 * 60
+DAY = 24 * 60
+
+# Averages of two-digit numbers often end in an exact half of the last rounded digit,
+# where the summation order decides; moving off it makes both sides round alike.
+OFFSET = 1e-9
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -52,7 +56,7 @@ def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
     for field in df.schema.fields:
         c = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DoubleType):
-            c = F.round(c, digits) + F.lit(0.0)
+            c = F.round(c + F.lit(OFFSET), digits) + F.lit(0.0)
         elif isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType, T.BooleanType)):
             c = c.cast("bigint")
         elif isinstance(field.dataType, T.TimestampType):
@@ -69,6 +73,11 @@ def source(spark: SparkSession, sf_dir: str, signals=ALL, damaged: bool = False)
     return envelopes.messages(events(spark, sf_dir), signals, damaged)
 
 
+def stored_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history of all messages as a stored table, for plans that read it more than once."""
+    return materialise(messages.history_table(source(spark, sf_dir)), "history")
+
+
 def last_instant(spark: SparkSession, sf_dir: str) -> Column:
     """Time of the last event, as the clock of snapshot queries."""
     high = events(spark, sf_dir).agg(F.max(F.unix_micros("ts")).alias("high")).first()["high"]
@@ -110,16 +119,23 @@ WITH e AS (
   SELECT topic, seq, 2, ts, us, 0, 0, reading, 0.0, 0, service FROM points
 ), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY topic ORDER BY ts, seq, pos) AS rn FROM hist
-), now AS (SELECT max(ts) AS at FROM e)
+), now AS (SELECT max(ts) AS t_end FROM e)
 """
 
 
+# SQL: ISO text of a time; the fraction only when there is one
+_ISO = (
+    "(CASE WHEN epoch_us({0}) % 1000000 = 0 THEN strftime({0}, '%Y-%m-%dT%H:%M:%S+00:00') "
+    "ELSE strftime({0}, '%Y-%m-%dT%H:%M:%S.%f+00:00') END)"
+)
+
+
 def rounded(*columns: str) -> str:
     """SQL: each 'expression AS name' rounded like `tidy` does."""
     parts = []
     for column in columns:
         expression, name = column.rsplit(" AS ", 1)
-        parts.append(f"round({expression}, 6) + 0.0 AS {name}")
+        parts.append(f"round({expression} + {OFFSET}, 6) + 0.0 AS {name}")
     return ", ".join(parts)
 
 
@@ -204,7 +220,7 @@ def s6(spark, sf):
 def s7(spark, sf):
     """Per-topic rows of a batch, written twice, read back."""
     path = scratch_path(spark, "aggregated")
-    rows = messages.history_table(source(spark, sf))
+    rows = stored_history(spark, sf)
     low, high = feature_tables.batch_bounds(events(spark, sf))
     features = snapshot.aggregated_row(rows, low, high, MONTH, history_limit=None)
     for _ in range(2):
@@ -553,8 +569,7 @@ def n19(spark, sf):
 
 @query(
     "n21_iso_times",
-    """SELECT seq, strftime(ts, CASE WHEN us % 1000000 = 0 THEN '%Y-%m-%dT%H:%M:%S+00:00'
-                                     ELSE '%Y-%m-%dT%H:%M:%S.%f+00:00' END) AS at FROM e""",
+    f"SELECT seq, {_ISO.format('ts')} AS at FROM e",
 )
 def n21(spark, sf):
     return events(spark, sf).select(F.col("event_id").alias("seq"), scalars.iso(F.col("ts")).alias("at"))
@@ -770,7 +785,7 @@ def h2(spark, sf):
 
 @query(
     "h3_recent",
-    "SELECT topic, seq, pos, us AS timestamp FROM hist, now WHERE ts >= at - INTERVAL 1 DAY AND ts <= at",
+    "SELECT topic, seq, pos, us AS timestamp FROM hist, now WHERE ts >= t_end - INTERVAL 1 DAY AND ts <= t_end",
 )
 def h3(spark, sf):
     rows = messages.history_table(source(spark, sf))
@@ -786,7 +801,7 @@ def h3(spark, sf):
 def h5(spark, sf):
     """Stored in two batches, the first one twice; read back from an instant on."""
     path = scratch_path(spark, "history")
-    rows = messages.history_table(source(spark, sf))
+    rows = stored_history(spark, sf)
     for batch in (0, 0, 1):
         history.append_history(rows.filter(F.col("seq") % 2 == batch), path, batch)
     since = F.lit("2024-01-10 12:00:00").cast("timestamp")
@@ -840,16 +855,16 @@ def _enhanced_sql(minutes: int) -> str:
 @query("a13_enhanced_snapshot", ", picked AS (SELECT * FROM hist) " + _enhanced_sql(MONTH))
 def a13(spark, sf):
     """All rates, moments and quantiles per topic over the whole table."""
-    rows = messages.history_table(source(spark, sf))
+    rows = stored_history(spark, sf)
     return tidy(snapshot.enhanced_features(rows, MONTH))
 
 
 @query(
     "a13_enhanced_last_day",
-    ", picked AS (SELECT hist.* FROM hist, now WHERE ts >= at - INTERVAL 1 DAY) " + _enhanced_sql(DAY),
+    ", picked AS (SELECT hist.* FROM hist, now WHERE ts >= t_end - INTERVAL 1 DAY) " + _enhanced_sql(DAY),
 )
 def a13_day(spark, sf):
-    rows = history.recent(messages.history_table(source(spark, sf)), last_instant(spark, sf), DAY)
+    rows = history.recent(stored_history(spark, sf), last_instant(spark, sf), DAY)
     return tidy(snapshot.enhanced_features(rows, DAY))
 
 
@@ -865,13 +880,13 @@ def a13_day(spark, sf):
 )
 def a8(spark, sf):
     """The quantiles by digit counting, the way very large groups take."""
-    rows = messages.history_table(source(spark, sf))
+    rows = stored_history(spark, sf)
     return tidy(quantiles.exact_quantile(rows, ["topic"], list(snapshot.MEASURES), 0.95))
 
 
 @query("a14_trend", f"SELECT topic, {rounded('regr_slope(value, rn) AS trend')} FROM ranked GROUP BY topic")
 def a14(spark, sf):
-    return tidy(snapshot.trend(messages.history_table(source(spark, sf)), "value"))
+    return tidy(snapshot.trend(stored_history(spark, sf), "value"))
 
 
 @query(
@@ -880,7 +895,7 @@ def a14(spark, sf):
 )
 def a14_distributed(spark, sf):
     """The same over range-partitioned slices, the way very large groups take."""
-    rows = messages.history_table(source(spark, sf))
+    rows = stored_history(spark, sf)
     return tidy(snapshot.trend(rows, "duration_ms", group_rows=2000))
 
 
@@ -894,19 +909,19 @@ def a14_distributed(spark, sf):
                         "quantile_cont(duration_ms, 0.95) AS p95_duration_ms",
                         "regr_slope(value, rn) AS trend_coefficient")}
         FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY seq DESC, pos DESC) AS back FROM ranked), now
-        WHERE back <= 10000 AND ts >= at - INTERVAL 1 DAY GROUP BY topic""",
+        WHERE back <= 10000 AND ts >= t_end - INTERVAL 1 DAY GROUP BY topic""",
 )
 def a15(spark, sf):
-    rows = messages.history_table(source(spark, sf))
+    rows = stored_history(spark, sf)
     low, high = feature_tables.batch_bounds(events(spark, sf))
     return tidy(snapshot.aggregated_row(rows, low, high, DAY))
 
 
 _INFRA = """coalesce(sum(trunc(reading)) FILTER (which = 0 AND reading > 0), 0)::BIGINT AS pods_restarting,
   greatest(coalesce(max(trunc(reading)) FILTER (which = 1), 0), 0)::BIGINT AS memory_pressure,
-  round(coalesce(sum(reading) FILTER (which = 2), 0), 6) + 0.0 AS resource_utilization,
+  round(coalesce(sum(reading) FILTER (which = 2), 0) + 1e-9, 6) + 0.0 AS resource_utilization,
   count(*) FILTER (which = 3 AND reading = 0) AS unhealthy_pods,
-  round(coalesce(sum(reading) FILTER (which = 4), 0), 6) + 0.0 AS cpu_throttling,
+  round(coalesce(sum(reading) FILTER (which = 4), 0) + 1e-9, 6) + 0.0 AS cpu_throttling,
   greatest(coalesce(max(trunc(reading)) FILTER (which = 5), 0), 0)::BIGINT AS disk_pressure"""
 
 
@@ -931,9 +946,9 @@ def a28(spark, sf):
 )
 def a29(spark, sf):
     """Logs of even events share their span's start; the others are a microsecond late."""
-    rows = correlation.facts(messages.parse(source(spark, sf, ("logs", "traces"))).select("*"))
+    parsed = messages.parse(source(spark, sf, ("logs", "traces")), ("logs", "traces", "metrics"))
+    rows = correlation.facts(parsed, ("topic", "seq"))
     late = F.when(F.col("seq") % 2 == 1, F.expr("at + INTERVAL 1 MICROSECOND")).otherwise(F.col("at"))
-    rows = correlation.facts(messages.parse(source(spark, sf, ("logs", "traces"))), ("topic", "seq"))
     is_log = F.col("signal") == "log"
     rows = rows.withColumn("at", F.when(is_log, late).otherwise(F.col("at")))
     wanted = F.col("topic").isin("demo-click", "demo-view") | (F.col("seq") % 2 == 1)
@@ -968,21 +983,21 @@ _CORRELATION_COLUMNS = (
     _CORRELATION + f"SELECT topic, {_CORRELATION_COLUMNS} FROM scores JOIN infra USING (topic)",
 )
 def a30(spark, sf):
-    rows = correlation.facts(messages.parse(source(spark, sf)))
+    rows = correlation.facts(feature_tables.parse_batch(source(spark, sf)))
     return tidy(correlation.correlate(rows, threshold=400.0))
 
 
 @query(
     "a30_attached",
     _CORRELATION
-    + """SELECT e.topic, e.seq, round(error_density, 6) + 0.0 AS error_density, service_diversity,
+    + """SELECT e.topic, e.seq, round(error_density + 1e-9, 6) + 0.0 AS error_density, service_diversity,
                 pods_restarting FROM e JOIN scores USING (topic) JOIN infra USING (topic)""",
 )
 def a30_attached(spark, sf):
     """The correlation row of its topic on every message."""
-    rows = source(spark, sf)
-    scores = correlation.correlate(correlation.facts(messages.parse(rows)), threshold=400.0)
-    attached = correlation.attach_correlation(rows.select("topic", "seq"), scores)
+    parsed = feature_tables.parse_batch(source(spark, sf))
+    scores = correlation.correlate(correlation.facts(parsed), threshold=400.0)
+    attached = correlation.attach_correlation(parsed.select("topic", "seq"), scores)
     return tidy(attached.select("topic", "seq", "error_density", "service_diversity", "pods_restarting"))
 
 
@@ -1086,7 +1101,7 @@ def w9(spark, sf):
 def _snapshot_sql(windows: tuple[int, ...]) -> str:
     columns = []
     for w in windows:
-        inside = f"FILTER (ts >= at - INTERVAL {w} MINUTES)"
+        inside = f"FILTER (ts >= t_end - INTERVAL {w} MINUTES)"
         n = f"count(*) {inside}"
         columns.append(
             rounded(
@@ -1102,14 +1117,14 @@ def _snapshot_sql(windows: tuple[int, ...]) -> str:
     volumes = ", ".join(rounded(f"{_VOLUME.format(f'l{w}')} AS volume_trend_{w}m") for w in windows)
     return (
         f"SELECT * EXCLUDE ({lists}), {volumes} "
-        f"FROM (SELECT topic, {', '.join(columns)} FROM ranked, now GROUP BY topic, at)"
+        f"FROM (SELECT topic, {', '.join(columns)} FROM ranked, now GROUP BY topic, t_end)"
     )
 
 
 @query("w6_sliding_snapshot", _snapshot_sql((1440, 10080, MONTH)))
 def w6(spark, sf):
     """Window features of every topic at the last instant: a day, a week, everything."""
-    rows = messages.history_table(source(spark, sf))
+    rows = stored_history(spark, sf)
     return tidy(snapshot.sliding_snapshot(rows, last_instant(spark, sf), (1440, 10080, MONTH)))
 
 
@@ -1171,13 +1186,13 @@ _STATS_SQL = """SELECT topic, count(*) AS total_messages, count(*) FILTER (event
   {rate}(CASE WHEN event_id % 3 != 0 THEN value / 7 ELSE 0 END){two} AS avg_msg_rate,
   {rate}(CASE WHEN event_id % 3 != 0 THEN user_id % 3 / 7 ELSE 0 END){four} AS avg_error_rate,
   {first} AS earliest_message, {last} AS latest_message
-FROM e, now WHERE ts >= at - INTERVAL {hours} HOURS GROUP BY topic"""
+FROM e, now WHERE ts >= t_end - INTERVAL {hours} HOURS GROUP BY topic"""
 
 
 @query(
     "q2_enhanced_stats",
     _STATS_SQL.format(rate="round(avg", two=", 6)", four=", 6)", first="min(us)", last="max(us)", hours=48)
-    .replace("END), 6)", "END), 6) + 0.0"),
+    .replace("END), 6)", "END) + 1e-9, 6) + 0.0"),
 )
 def q2(spark, sf):
     return tidy(serving.enhanced_stats(stored(spark, sf), last_instant(spark, sf), hours=48))
@@ -1188,25 +1203,25 @@ def _aggregated(spark, sf) -> DataFrame:
     slots = events(spark, sf).groupBy("topic", F.window("ts", "15 minutes").alias("slot"))
     return slots.agg(
         (F.count(F.lit(1)) / 15).alias("messages_per_minute"),
-        F.avg(F.col("user_id") % 2).alias("error_rate"),
+        F.avg(F.col("user_id") % 2 / 7).alias("error_rate"),
         F.avg(F.col("value") / 7 - 30).alias("trend_coefficient"),
-        F.avg("value").alias("avg_duration_ms"),
+        F.avg(F.col("value") / 7).alias("avg_duration_ms"),
     ).select("topic", F.col("slot.start").alias("window_start"), "messages_per_minute", "error_rate",
              "trend_coefficient", "avg_duration_ms")
 
 
 _TRENDS_SQL = """SELECT {start} AS window_start, {r}(count(*) / 15.0{two} AS messages_per_minute,
-  {r}(avg(user_id % 2){four} AS error_rate, {r}(avg(value / 7 - 30){six} AS trend_coefficient,
-  {r}(avg(value){two} AS avg_duration_ms
-FROM e, now WHERE topic = 'demo-error' GROUP BY us // 900000000, at
-HAVING make_timestamp(us // 900000000 * 900000000) >= at - INTERVAL 36 HOURS
+  {r}(avg(user_id % 2 / 7){four} AS error_rate, {r}(avg(value / 7 - 30){six} AS trend_coefficient,
+  {r}(avg(value / 7){two} AS avg_duration_ms
+FROM e, now WHERE topic = 'demo-error' GROUP BY us // 900000000, t_end
+HAVING make_timestamp(us // 900000000 * 900000000) >= t_end - INTERVAL 36 HOURS
 ORDER BY us // 900000000 DESC LIMIT 50"""
 
 
 @query(
     "q3_trends",
     _TRENDS_SQL.format(
-        start="us // 900000000 * 900000000", r="0.0 + round", two=", 6)", four=", 6)", six=", 6)"
+        start="us // 900000000 * 900000000", r="0.0 + round", two=" + 1e-9, 6)", four=" + 1e-9, 6)", six=" + 1e-9, 6)"
     ),
 )
 def q3(spark, sf):
@@ -1214,9 +1229,6 @@ def q3(spark, sf):
     return tidy(rows)
 
 
-_ISO = "strftime({0}, CASE WHEN epoch_us({0}) % 1000000 = 0 THEN '%Y-%m-%dT%H:%M:%S+00:00' ELSE '%Y-%m-%dT%H:%M:%S.%f+00:00' END)"
-
-
 @query(
     "q4_shown_trends",
     _TRENDS_SQL.format(
