@@ -9,6 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,8 +68,28 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/pulsegrid/{spark.sparkContext.applicationId}"
 
 
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    made = _scope.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables made inside are dropped at the end, when nothing reads them any more."""
+    made: list[str] = []
+    token = _scope.set(made)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in made:
+            delete_path(spark, path)
 
 
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
