@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.scalars import is_error_severity, slope_of_counts
-from pulsegrid.operators.history import HISTORY_LIMIT, newest, recent
+from pulsegrid.operators.history import ARRIVAL, HISTORY_LIMIT, newest, recent
 from pulsegrid.operators.joins import attach
 from pulsegrid.operators.ordering import largest_group, running_counts
 from pulsegrid.operators.quantiles import exact_quantile
@@ -112,6 +112,7 @@ def aggregated_row(
     as_of=None,
     open_end: bool = False,
     group_rows: int = GROUP_ROWS,
+    arrival: tuple[str, ...] = ARRIVAL,
 ) -> DataFrame:
     """The per-topic row of a batch: features of the last minutes before its end.
 
@@ -120,7 +121,7 @@ def aggregated_row(
     distributed paths where a group is large.
     """
     as_of = window_end if as_of is None else as_of
-    kept = history if history_limit is None else newest(history, history_limit, keys)
+    kept = history if history_limit is None else newest(history, history_limit, keys, arrival)
     rows = recent(kept, as_of, window_minutes, open_end)
     bounded = history_limit is not None and history_limit <= group_rows
     key_list = list(keys)

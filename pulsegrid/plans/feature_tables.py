@@ -17,7 +17,7 @@ from pulsegrid.operators.correlation import (
     correlate,
     facts,
 )
-from pulsegrid.operators.history import HISTORY_LIMIT
+from pulsegrid.operators.history import ARRIVAL, HISTORY_LIMIT, STORED_ARRIVAL
 from pulsegrid.operators.joins import attach
 from pulsegrid.operators.messages import accepted, history_of, parse, quarantined
 from pulsegrid.operators.running import (
@@ -122,7 +122,12 @@ def build(
         topics = messages.select("topic").distinct()
         mine = attach(history, topics, ["topic"], spread_by=["seq", "pos"], how="left_semi")
     aggregated = aggregated_row(
-        mine, window_start, window_end, history_limit=history_limit, group_rows=group_rows
+        mine,
+        window_start,
+        window_end,
+        history_limit=history_limit,
+        group_rows=group_rows,
+        arrival=ARRIVAL if alone else STORED_ARRIVAL,
     )
     return FeatureTables(rows, aggregated, quarantined(messages), window_start, window_end)
 

@@ -1,0 +1,90 @@
+"""Numbers, times and text against Python."""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from pulsegrid.functions import scalars
+
+QUICK = settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+UTC = dt.timezone.utc
+
+
+@QUICK
+@given(
+    st.lists(
+        st.one_of(
+            st.floats(-1e9, 1e9),
+            st.integers(-10_000_000, 10_000_000).map(lambda k: k / 1000),
+            st.integers(-1_000_000, 1_000_000).map(lambda k: k / 64),
+        ),
+        min_size=50,
+        max_size=200,
+    )
+)
+def test_present_equals_round(spark, values):
+    frame = spark.createDataFrame([(v,) for v in values], "x double")
+    for digits in (2, 4, 6):
+        rows = frame.select("x", scalars.present(F.col("x"), digits).alias("y")).collect()
+        for row in rows:
+            assert row.y == round(row.x, digits), (row.x, digits)
+
+
+def test_present_known_cases(spark):
+    values = [2.675, 1.115, 0.125, 2.5e-7, None, float("nan"), 1e15 + 0.3, -2.675]
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double")
+    shown = [r[0] for r in frame.orderBy("i").select(scalars.present(F.col("x"), 2)).collect()]
+    assert shown == [2.67, 1.11, 0.12, 0.0, 0.0, 0.0, 1e15 + 0.3, -2.67]
+
+
+def test_instants(spark):
+    cases = {
+        "2024-01-01T10:00:00Z": dt.datetime(2024, 1, 1, 10, tzinfo=UTC),
+        "2024-01-01T10:00:00+02:00": dt.datetime(2024, 1, 1, 8, tzinfo=UTC),
+        "2024-01-01T10:00:00.5": dt.datetime(2024, 1, 1, 10, 0, 0, 500_000, tzinfo=UTC),
+        "soon": None,
+        "": None,
+    }
+    frame = spark.createDataFrame([(c,) for c in cases], "text string")
+    for row in frame.select("text", scalars.parse_instant(F.col("text")).alias("at")).collect():
+        want = cases[row.text]
+        assert (row.at and row.at.astimezone(UTC)) == want
+
+
+def test_iso_like_python(spark):
+    times = [dt.datetime(2024, 1, 1, 10, tzinfo=UTC), dt.datetime(2024, 1, 1, 10, 0, 0, 70, tzinfo=UTC)]
+    frame = spark.createDataFrame([(t,) for t in times], "t timestamp")
+    assert [r[0] for r in frame.select(scalars.iso(F.col("t"))).collect()] == [t.isoformat() for t in times]
+
+
+def test_numbers(spark):
+    texts = ["1.5", " 2 ", "x", None, "NaN", "-3e2"]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    found = [r[0] for r in frame.orderBy("i").select(scalars.number(F.col("t"))).collect()]
+    assert found == [1.5, 2.0, None, None, None, -300.0]
+
+
+def test_severity_and_status(spark):
+    frame = spark.createDataFrame([(v,) for v in (100, 200, 250, 300, 400, 550)], "v int")
+    rows = frame.select(
+        scalars.severity_from_level(F.col("v")).alias("s"), scalars.status_from_http(F.col("v")).alias("c")
+    ).collect()
+    assert [r.s for r in rows] == [5, 9, 9, 13, 17, 17]
+    assert [r.c for r in rows] == [1, 1, 1, 1, 1, 2]
+
+
+def test_json_float_is_zero_when_missing(spark):
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(['{"k":1.5}', "{}", "", None, '{"k":"x"}'])], "i int, t string")
+    found = [r[0] for r in frame.orderBy("i").select(scalars.json_float(F.col("t"), "k")).collect()]
+    assert found == [1.5, 0.0, 0.0, 0.0, 0.0]
+
+
+def test_slope_of_counts(spark):
+    frame = spark.sql("SELECT array(3L, 0L, 5L, 10L, 0L) a, array(0L, 4L) b")
+    row = frame.select(scalars.slope_of_counts(F.col("a")), scalars.slope_of_counts(F.col("b"))).first()
+    assert math.isclose(row[0], 3.5) and row[1] == 0.0
