@@ -330,9 +330,10 @@ def r5(spark, sf):
               count(*) AS messages FROM e GROUP BY ALL""",
 )
 def r6(spark, sf):
-    both = source(spark, sf, ("logs", "traces"))
-    only = source(spark, sf, ("traces",))
-    mixed = both.filter("seq % 3 != 0").unionByName(only.filter("seq % 3 = 0"))
+    """Every third message carries its logs under a key that is no signal."""
+    renamed = F.regexp_replace("value", '^."resourceLogs"', '{"otherLogs"')
+    value = F.when(F.col("seq") % 3 == 0, renamed).otherwise(F.col("value"))
+    mixed = source(spark, sf, ("logs", "traces")).withColumn("value", value)
     flags = messages.signals_present(mixed)
     return tidy(
         flags.groupBy("topic", "has_logs", "has_traces", "has_metrics").agg(
@@ -802,8 +803,9 @@ def h5(spark, sf):
     """Stored in two batches, the first one twice; read back from an instant on."""
     path = scratch_path(spark, "history")
     rows = stored_history(spark, sf)
-    for batch in (0, 0, 1):
-        history.append_history(rows.filter(F.col("seq") % 2 == batch), path, batch)
+    first = F.col("timestamp") < F.lit("2024-01-15").cast("timestamp")
+    for batch, part in ((0, first), (0, first), (1, ~first)):
+        history.append_history(rows.filter(part), path, batch)
     since = F.lit("2024-01-10 12:00:00").cast("timestamp")
     stored = history.read_history(spark, path).filter(F.col("timestamp") >= since)
     return tidy(
@@ -941,18 +943,18 @@ def a28(spark, sf):
 
 @query(
     "a29_temporal_overlap",
-    """SELECT topic, max((EXISTS (SELECT 1 FROM spans s WHERE s.topic = l.topic AND s.us = l.us - l.event_id % 2))::INT)
-              AS temporal_overlap FROM logs l WHERE event_type IN ('click', 'view') OR event_id % 2 = 1 GROUP BY topic""",
+    """SELECT topic, max((EXISTS (SELECT 1 FROM spans s WHERE s.topic = l.topic AND s.us = l.us
+              + CASE WHEN event_type IN ('click', 'view') AND l.event_id % 2 = 0 THEN 0 ELSE 1 END))::INT)
+              AS temporal_overlap FROM logs l GROUP BY topic""",
 )
 def a29(spark, sf):
-    """Logs of even events share their span's start; the others are a microsecond late."""
-    parsed = messages.parse(source(spark, sf, ("logs", "traces")), ("logs", "traces", "metrics"))
+    """Only logs of even clicks and views share their span's start; others are a microsecond late."""
+    parsed = messages.parse(source(spark, sf, ("logs", "traces")))
     rows = correlation.facts(parsed, ("topic", "seq"))
-    late = F.when(F.col("seq") % 2 == 1, F.expr("at + INTERVAL 1 MICROSECOND")).otherwise(F.col("at"))
-    is_log = F.col("signal") == "log"
-    rows = rows.withColumn("at", F.when(is_log, late).otherwise(F.col("at")))
-    wanted = F.col("topic").isin("demo-click", "demo-view") | (F.col("seq") % 2 == 1)
-    return correlation.temporal_overlap(rows.filter(~is_log | wanted))
+    on_time = F.col("topic").isin("demo-click", "demo-view") & (F.col("seq") % 2 == 0)
+    late = (F.col("signal") == "log") & ~on_time
+    at = F.when(late, F.expr("at + INTERVAL 1 MICROSECOND")).otherwise(F.col("at"))
+    return correlation.temporal_overlap(rows.withColumn("at", at))
 
 
 _CORRELATION = f""", scores AS (

@@ -28,6 +28,8 @@ _SQL_OPTIONS = {
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # newest-N of 10,000 per group is cut in every map task, before the shuffle
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
 }
 
 # Fixed when a session starts. Call-site capture costs several driver round trips
