@@ -10,7 +10,7 @@ from pulsegrid.operators.history import ARRIVAL, HISTORY_LIMIT, newest, recent
 from pulsegrid.operators.joins import attach
 from pulsegrid.operators.ordering import largest_group, running_counts
 from pulsegrid.operators.quantiles import exact_quantile
-from pulsegrid.session import GROUP_ROWS
+from pulsegrid.session import GROUP_ROWS, PERCENTILE_ROWS
 
 MEASURES = ("body_length", "duration_ms", "value")
 ORDER = ("timestamp", "seq", "pos")
@@ -54,7 +54,7 @@ def enhanced_features(
     keys: tuple[str, ...] = ("topic",),
     error_basis: str = "severity",
     bounded: bool = False,
-    group_rows: int = GROUP_ROWS,
+    group_rows: int = PERCENTILE_ROWS,
 ) -> DataFrame:
     """One row of features per group of already selected records.
 
@@ -123,9 +123,12 @@ def aggregated_row(
     as_of = window_end if as_of is None else as_of
     kept = history if history_limit is None else newest(history, history_limit, keys, arrival)
     rows = recent(kept, as_of, window_minutes, open_end)
-    bounded = history_limit is not None and history_limit <= group_rows
+    percentile_rows = min(group_rows, PERCENTILE_ROWS)
+    bounded = history_limit is not None and history_limit <= percentile_rows
     key_list = list(keys)
-    features = enhanced_features(rows, window_minutes, keys, bounded=bounded, group_rows=group_rows)
+    features = enhanced_features(
+        rows, window_minutes, keys, bounded=bounded, group_rows=percentile_rows
+    )
     slopes = trend(rows, "value", keys, group_rows=group_rows, bounded=bounded)
     return features.join(slopes, key_list).select(
         *key_list,

@@ -8,6 +8,7 @@ Doubles are rounded to six digits on both sides, times compared in microseconds.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -243,6 +244,26 @@ _ROUTED = """, kept AS (
 """
 
 
+@query(
+    "s8_outgoing_messages",
+    """SELECT 'demo-app1-' || signal AS topic, count(*) AS messages, sum(event_id)::BIGINT AS seq_sum
+       FROM e CROSS JOIN (VALUES ('logs'), ('traces'), ('metrics')) s(signal)
+       WHERE service = 'app1' GROUP BY ALL""",
+)
+def s8(spark, sf):
+    """Records for Kafka; the second group of these routes goes to files only."""
+    records = sinks.outgoing(routing.route(source(spark, sf), routing.APP_ROUTES))
+    # the event number is the hexadecimal trace id where there is one; logs and spans carry it
+    number = F.conv(F.regexp_extract("value", '"traceId":"([0-9a-f]+)"', 1), 16, 10).try_cast("bigint")
+    slot = F.regexp_extract("value", '"timeUnixNano":"([0-9]+)"', 1).try_cast("bigint")
+    points = events(spark, sf).select(F.col("event_id"), (F.unix_micros("ts") * 1000).alias("nano"))
+    known = records.select("topic", number.alias("number"), slot.alias("nano")).join(points, "nano", "left")
+    return known.groupBy("topic").agg(
+        F.count(F.lit(1)).alias("messages"),
+        F.sum(F.coalesce("number", "event_id")).alias("seq_sum"),
+    )
+
+
 @query("s9_routed_files", _ROUTED + "SELECT route, signal, count(*) AS messages FROM kept GROUP BY ALL")
 def s9(spark, sf):
     """Routed messages appended as JSON lines, read back per folder."""
@@ -817,6 +838,20 @@ def h5(spark, sf):
     )
 
 
+@query(
+    "h4_retention",
+    """SELECT topic, count(*) AS records, min(us) AS first FROM hist
+       WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' GROUP BY topic""",
+)
+def h4(spark, sf):
+    """Days before the cut are dropped from the stored history."""
+    path = scratch_path(spark, "history")
+    history.append_history(messages.history_table(source(spark, sf)), path, 0)
+    history.expire_history(spark, path, dt.date(2024, 1, 10))
+    kept = history.read_history(spark, path).groupBy("topic")
+    return tidy(kept.agg(F.count(F.lit(1)).alias("records"), F.min("timestamp").alias("first")))
+
+
 # ---- aggregates --------------------------------------------------------------
 
 
@@ -1014,7 +1049,7 @@ def _frame(minutes: int) -> str:
 
 
 # SQL: slope of the non-empty counts of five equal bins of a list of microseconds
-_VOLUME = """(SELECT CASE WHEN len(c) < 2 THEN 0.0 ELSE
+_VOLUME = """(SELECT CASE WHEN {0} IS NULL OR len({0}) < 2 THEN NULL WHEN len(c) < 2 THEN 0.0 ELSE
     list_sum(list_transform(c, lambda x, i: (i - 1 - (len(c) - 1) / 2.0) * x))
       / (len(c) * (len(c) * len(c) - 1) / 12.0) END
   FROM (SELECT list_filter(list_transform([0, 1, 2, 3, 4], lambda b: len(list_filter(bins, lambda x: x = b))),
@@ -1100,10 +1135,10 @@ def w9(spark, sf):
     return tidy(_running(spark, sf, (60,), 60).select("topic", "seq", *running.enhanced_names()))
 
 
-def _snapshot_sql(windows: tuple[int, ...]) -> str:
+def _snapshot_sql(windows: tuple[int, ...], later: int = 0) -> str:
     columns = []
     for w in windows:
-        inside = f"FILTER (ts >= t_end - INTERVAL {w} MINUTES)"
+        inside = f"FILTER (ts >= t_end + INTERVAL {later} MINUTES - INTERVAL {w} MINUTES)"
         n = f"count(*) {inside}"
         columns.append(
             rounded(
@@ -1130,6 +1165,14 @@ def w6(spark, sf):
     return tidy(snapshot.sliding_snapshot(rows, last_instant(spark, sf), (1440, 10080, MONTH)))
 
 
+@query("w10_empty_windows", _snapshot_sql((5, 60, 20160), later=DAY))
+def w10(spark, sf):
+    """A day after the last event: the short windows are empty, the topics still known."""
+    rows = stored_history(spark, sf)
+    as_of = last_instant(spark, sf) + F.make_dt_interval(days=F.lit(1))
+    return tidy(snapshot.sliding_snapshot(rows, as_of, (5, 60, 20160)))
+
+
 @query(
     "w1_window_grid",
     "SELECT frame_us AS frame_start, topic, "

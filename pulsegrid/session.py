@@ -19,10 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 # hundred bytes at most, so this stays far below the 8 GB broadcast limit).
 BROADCAST_ROWS = 200_000
 
-# A group with at most this many rows may be handled by one task (one sort
-# buffer, one percentile buffer). Larger groups take the distributed paths.
+# A group with at most this many rows may be sorted by one task (sorts spill).
+# Larger groups take the distributed paths.
 GROUP_ROWS = 1_000_000
 
+# The same for exact percentile buffers, which live in memory, up to 128 groups of
+# a task at a time.
+PERCENTILE_ROWS = 100_000
+
 _SQL_OPTIONS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",

@@ -66,12 +66,15 @@ def read_stored_messages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def outgoing(routed: DataFrame) -> DataFrame:
+    """Routed messages that go to a topic, as Kafka records."""
+    rows = routed.filter("dest_topic IS NOT NULL")
+    return rows.select(F.col("dest_topic").alias("topic"), "value")
+
+
 def write_kafka(routed: DataFrame, servers: str) -> None:
     """Send routed messages to their topics."""
-    rows = routed.filter("dest_topic IS NOT NULL")
-    rows.select(F.col("dest_topic").alias("topic"), "value").write.format("kafka").option(
-        "kafka.bootstrap.servers", servers
-    ).save()
+    outgoing(routed).write.format("kafka").option("kafka.bootstrap.servers", servers).save()
 
 
 def append_files(routed: DataFrame, path: str) -> None:
