@@ -95,7 +95,7 @@ WITH e AS (
          event_type = 'error' AS bad
   FROM events
 ), logs AS (
-  SELECT *, CASE WHEN bad THEN 17 WHEN event_type = 'click' THEN 13 ELSE 9 END AS severity,
+  SELECT *, CASE WHEN bad THEN 17::BIGINT WHEN event_type = 'click' THEN 13 ELSE 9 END AS severity,
          CASE WHEN bad THEN 'SQLSTATE[42P01]: user ' || user_id ELSE 'Handled ' || event_type END AS body
   FROM e
 ), spans AS (
@@ -112,10 +112,10 @@ WITH e AS (
               WHEN event_id % 8 = 3 AND user_id % 2 = 0 THEN 0.0 ELSE value END AS reading
   FROM e
 ), hist AS (
-  SELECT topic, seq, 0 AS pos, ts, us, severity, 0 AS is_error, severity::DOUBLE AS value,
+  SELECT topic, seq, 0::BIGINT AS pos, ts, us, severity, 0::BIGINT AS is_error, severity::DOUBLE AS value,
          0.0 AS duration_ms, length(body) AS body_length, service AS source FROM logs
   UNION ALL
-  SELECT topic, seq, 1, ts, us, 0, bad::INT, duration, duration, 0, service FROM spans
+  SELECT topic, seq, 1, ts, us, 0, bad::BIGINT, duration, duration, 0, service FROM spans
   UNION ALL
   SELECT topic, seq, 2, ts, us, 0, 0, reading, 0.0, 0, service FROM points
 ), ranked AS (
@@ -185,7 +185,7 @@ def s5(spark, sf):
 
 @query(
     "s6_messages_sink",
-    """SELECT topic, 7 AS batch_id, count(*) AS messages, count(*) AS with_features,
+    """SELECT topic, 7::BIGINT AS batch_id, count(*) AS messages, count(*) AS with_features,
               min(us) AS first_message, max(us) AS last_message
        FROM e GROUP BY topic""",
 )
@@ -214,7 +214,7 @@ def s6(spark, sf):
 
 @query(
     "s7_aggregated_sink",
-    f"""SELECT topic, {MONTH} AS window_minutes, 3 AS batch_id, count(DISTINCT source) AS unique_sources,
+    f"""SELECT topic, {MONTH}::BIGINT AS window_minutes, 3::BIGINT AS batch_id, count(DISTINCT source) AS unique_sources,
                {rounded(f"count(*) / {MONTH}.0 AS messages_per_minute", "avg(duration_ms) AS avg_duration_ms")}
         FROM hist GROUP BY topic""",
 )
@@ -347,7 +347,7 @@ def r5(spark, sf):
 
 @query(
     "r6_signal_dispatch",
-    """SELECT topic, (event_id % 3 != 0)::INT AS has_logs, 1 AS has_traces, 0 AS has_metrics,
+    """SELECT topic, (event_id % 3 != 0)::BIGINT AS has_logs, 1::BIGINT AS has_traces, 0::BIGINT AS has_metrics,
               count(*) AS messages FROM e GROUP BY ALL""",
 )
 def r6(spark, sf):
@@ -396,7 +396,7 @@ def r8(spark, sf):
 
 @query(
     "n1_validity",
-    """SELECT event_id AS seq, (event_id % 8 IN (0, 1, 2))::INT AS valid FROM e""",
+    """SELECT event_id AS seq, (event_id % 8 IN (0, 1, 2))::BIGINT AS valid FROM e""",
 )
 def n1(spark, sf):
     shapes = {
@@ -514,7 +514,7 @@ def n12(spark, sf):
     return tidy(messages.span_table(source(spark, sf, ("traces",))).select("seq", "duration_ms"))
 
 
-@query("n13_span_errors", "SELECT seq, bad::INT AS is_error FROM spans")
+@query("n13_span_errors", "SELECT seq, bad::BIGINT AS is_error FROM spans")
 def n13(spark, sf):
     return tidy(messages.span_table(source(spark, sf, ("traces",))).select("seq", "is_error"))
 
@@ -563,7 +563,7 @@ def n17(spark, sf):
 
 @query(
     "n18_sizes",
-    """SELECT seq, thrown::INT AS events_count, CASE WHEN event_id % 5 = 0 THEN 2 ELSE 0 END AS exemplars_count
+    """SELECT seq, thrown::BIGINT AS events_count, CASE WHEN event_id % 5 = 0 THEN 2::BIGINT ELSE 0 END AS exemplars_count
        FROM spans""",
 )
 def n18(spark, sf):
@@ -627,7 +627,7 @@ def n23(spark, sf):
 
 @query(
     "n24_severity",
-    """SELECT seq, CASE WHEN user_id % 600 >= 400 THEN 17 WHEN user_id % 600 >= 300 THEN 13
+    """SELECT seq, CASE WHEN user_id % 600 >= 400 THEN 17::BIGINT WHEN user_id % 600 >= 300 THEN 13
                         WHEN user_id % 600 >= 200 THEN 9 ELSE 5 END AS severity FROM e""",
 )
 def n24(spark, sf):
@@ -640,7 +640,7 @@ def n24(spark, sf):
 
 @query(
     "n25_status",
-    "SELECT seq, CASE WHEN 100 + event_id % 500 >= 500 THEN 2 ELSE 1 END AS status FROM e",
+    "SELECT seq, CASE WHEN 100 + event_id % 500 >= 500 THEN 2::BIGINT ELSE 1 END AS status FROM e",
 )
 def n25(spark, sf):
     rows = events(spark, sf).select(
@@ -681,7 +681,7 @@ def n27(spark, sf):
 
 @query(
     "f1_log_flatten",
-    """SELECT topic, seq, 0 AS pos, us AS observed_ts, severity AS severity_number,
+    """SELECT topic, seq, 0::BIGINT AS pos, us AS observed_ts, severity AS severity_number,
               CASE severity WHEN 17 THEN 'ERROR' WHEN 13 THEN 'WARN' ELSE 'INFO' END AS severity_text,
               body, length(body) AS body_length, lpad(lower(hex(event_id)), 32, '0') AS trace_id,
               lpad(lower(hex(event_id)), 16, '0') AS span_id,
@@ -698,13 +698,13 @@ def f1(spark, sf):
 
 @query(
     "f2_span_flatten",
-    f"""SELECT topic, seq, 0 AS pos, lpad(lower(hex(event_id)), 32, '0') AS trace_id,
+    f"""SELECT topic, seq, 0::BIGINT AS pos, lpad(lower(hex(event_id)), 32, '0') AS trace_id,
                lpad(lower(hex(event_id)), 16, '0') AS span_id,
                CASE WHEN event_id % 3 = 1 THEN lpad(lower(hex(event_id)), 16, '0') ELSE '-' END AS parent,
                event_type AS name, event_id % 6 AS kind, us AS start_time,
                us + round(round(value * 1e6) / 1000)::BIGINT AS end_time,
-               {rounded("duration AS duration_ms")}, status AS http_status, thrown::INT AS events_count,
-               CASE WHEN thrown THEN 'QueryError' ELSE '-' END AS exception_type, bad::INT AS is_error,
+               {rounded("duration AS duration_ms")}, status AS http_status, thrown::BIGINT AS events_count,
+               CASE WHEN thrown THEN 'QueryError' ELSE '-' END AS exception_type, bad::BIGINT AS is_error,
                hour(ts) AS hour, isodow(ts) - 1 AS day_of_week, us AS timestamp,
                {rounded("duration AS value")}, service AS source FROM spans""",
 )
@@ -722,11 +722,11 @@ def f2(spark, sf):
 
 @query(
     "f3_metric_flatten",
-    f"""SELECT topic, seq, 0 AS pos, name,
+    f"""SELECT topic, seq, 0::BIGINT AS pos, name,
                CASE which WHEN 1 THEN 'exponentialHistogram' WHEN 5 THEN 'summary' WHEN 6 THEN 'sum'
                           WHEN 7 THEN 'histogram' ELSE 'gauge' END AS type,
                '1' AS unit, name || ' reading' AS description, us AS timestamp, {rounded("reading AS value")},
-               'h' || (user_id % 10) AS host, CASE WHEN event_id % 5 = 0 THEN 2 ELSE 0 END AS exemplars_count,
+               'h' || (user_id % 10) AS host, CASE WHEN event_id % 5 = 0 THEN 2::BIGINT ELSE 0 END AS exemplars_count,
                hour(ts) AS hour, isodow(ts) - 1 AS day_of_week, service AS source FROM points""",
 )
 def f3(spark, sf):
@@ -880,8 +880,8 @@ def _moments(column: str) -> str:
 
 def _enhanced_sql(minutes: int) -> str:
     return f"""SELECT topic, {rounded(f"count(*) / {minutes}.0 AS messages_per_minute")},
-               count(DISTINCT source) AS unique_sources, {minutes} AS window_minutes,
-               {rounded("avg((severity >= 17)::INT) AS error_rate")},
+               count(DISTINCT source) AS unique_sources, {minutes}::BIGINT AS window_minutes,
+               {rounded("avg((severity >= 17)::BIGINT) AS error_rate")},
                {_moments("body_length")}, {_moments("duration_ms")}, {_moments("value")},
                (SELECT hour(i.ts) FROM picked i WHERE i.topic = o.topic GROUP BY 1
                 ORDER BY count(*) DESC, 1 LIMIT 1) AS peak_hour,
@@ -939,8 +939,8 @@ def a14_distributed(spark, sf):
 @query(
     "a15_aggregated_row",
     f"""SELECT topic, (SELECT min(us) FROM e) AS window_start, (SELECT max(us) FROM e) AS window_end,
-               {DAY} AS window_minutes,
-               {rounded(f"count(*) / {DAY}.0 AS messages_per_minute", "avg((severity >= 17)::INT) AS error_rate")},
+               {DAY}::BIGINT AS window_minutes,
+               {rounded(f"count(*) / {DAY}.0 AS messages_per_minute", "avg((severity >= 17)::BIGINT) AS error_rate")},
                count(DISTINCT source) AS unique_sources,
                {rounded("avg(body_length) AS avg_body_length", "avg(duration_ms) AS avg_duration_ms",
                         "quantile_cont(duration_ms, 0.95) AS p95_duration_ms",
@@ -979,7 +979,7 @@ def a28(spark, sf):
 @query(
     "a29_temporal_overlap",
     """SELECT topic, max((EXISTS (SELECT 1 FROM spans s WHERE s.topic = l.topic AND s.us = l.us
-              + CASE WHEN event_type IN ('click', 'view') AND l.event_id % 2 = 0 THEN 0 ELSE 1 END))::INT)
+              + CASE WHEN event_type IN ('click', 'view') AND l.event_id % 2 = 0 THEN 0 ELSE 1 END))::BIGINT)
               AS temporal_overlap FROM logs l GROUP BY topic""",
 )
 def a29(spark, sf):
@@ -1011,7 +1011,7 @@ _CORRELATION_COLUMNS = (
         "metric_anomaly_rate AS metric_anomaly_rate",
         "cross_signal_health_score AS cross_signal_health_score",
     )
-    + ", service_diversity, 1 AS temporal_overlap, infra.* EXCLUDE (topic)"
+    + ", service_diversity, 1::BIGINT AS temporal_overlap, infra.* EXCLUDE (topic)"
 )
 
 
@@ -1063,7 +1063,7 @@ def _sliding_sql(windows: tuple[int, ...]) -> str:
     for w in windows:
         inner += [
             f"count(*) OVER w{w} AS n{w}",
-            f"avg((severity >= 17)::INT) OVER w{w} AS e{w}",
+            f"avg((severity >= 17)::BIGINT) OVER w{w} AS e{w}",
             f"regr_slope(value, rn) OVER w{w} AS t{w}",
             f"regr_slope(duration_ms, rn) OVER w{w} AS d{w}",
             f"avg(duration_ms) OVER w{w} AS a{w}",
@@ -1123,8 +1123,8 @@ def _running_moments(column: str) -> str:
                list_sort(list_transform(list_distinct(hours),
                  lambda h: {{'n': -len(list_filter(hours, lambda x: x = h)), 'h': h}}))[1].h AS peak_hour
         FROM (SELECT topic, seq, pos, {rounded("count(*) OVER w60 / 60.0 AS messages_per_minute")},
-                     count(DISTINCT source) OVER w60 AS unique_sources, 60 AS window_minutes,
-                     {rounded("avg((severity >= 17)::INT) OVER w60 AS error_rate")},
+                     count(DISTINCT source) OVER w60 AS unique_sources, 60::BIGINT AS window_minutes,
+                     {rounded("avg((severity >= 17)::BIGINT) OVER w60 AS error_rate")},
                      {_running_moments("body_length")}, {_running_moments("duration_ms")},
                      {_running_moments("value")}, list(hour(ts)) OVER w60 AS hours,
                      {rounded("coalesce(var_samp(hour(ts)) OVER w60, 0) AS hour_variance")}
@@ -1143,7 +1143,7 @@ def _snapshot_sql(windows: tuple[int, ...], later: int = 0) -> str:
         columns.append(
             rounded(
                 f"{n} / {w}.0 AS avg_messages_{w}m",
-                f"coalesce(avg((severity >= 17)::INT) {inside}, 0) AS error_rate_{w}m",
+                f"coalesce(avg((severity >= 17)::BIGINT) {inside}, 0) AS error_rate_{w}m",
                 f"(CASE WHEN {n} > 1 THEN regr_slope(value, rn) {inside} ELSE 0 END) AS trend_{w}m",
                 f"(CASE WHEN {n} > 1 THEN regr_slope(duration_ms, rn) {inside} END) AS duration_trend_{w}m",
                 f"(CASE WHEN {n} > 1 THEN avg(duration_ms) {inside} END) AS avg_duration_{w}m",
@@ -1178,7 +1178,7 @@ def w10(spark, sf):
     "SELECT frame_us AS frame_start, topic, "
     + rounded(
         "count(*) / 60.0 AS avg_messages",
-        "avg((severity >= 17)::INT) AS error_rate",
+        "avg((severity >= 17)::BIGINT) AS error_rate",
         "avg(duration_ms) AS avg_duration",
         "max(value) AS value_max",
     )
@@ -1323,7 +1323,7 @@ def q6(spark, sf):
               count(*) FILTER (event_id % 5 != 0) AS with_sliding,
               count(*) FILTER (event_id % 2 != 0) AS with_correlation,
               count(*) FILTER (event_id % 4 != 0) AS logs, count(*) FILTER (event_id % 4 != 0) AS traces,
-              0 AS metrics FROM e""",
+              0::BIGINT AS metrics FROM e""",
 )
 def q7(spark, sf):
     return serving.feature_stats(stored(spark, sf))
