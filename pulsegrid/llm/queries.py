@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import simhash
+from pulsegrid.llm import bpe, phrases, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,3 +30,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @_query("op1_simhash_near_dedup")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, distance=4)
+
+
+@_query("op2_document_fingerprints")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
+@_query("op3_bpe_round_trip")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.digests(spark, _table(spark, sf_dir, "documents"), path)
+
+
+@_query("op4_quality_rules", quality.quality_sql())
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(_table(spark, sf_dir, "documents")).drop("broken")
