@@ -14,20 +14,23 @@ import json
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.functions import arrow_udf
 
-#: Words whose encodings a Python worker keeps; beyond, it starts afresh. Results don't depend on it.
-KEPT_WORDS = 500_000
+#: Words, and runs between white space, whose encodings a Python worker keeps; beyond, it starts
+#: afresh. Longer ones than KEPT_LETTERS are not kept. Results depend on neither.
+KEPT, KEPT_LETTERS = 500_000, 64
 #: Distinct words that go into one trie.
 TRIE_WORDS = 50_000
 #: Characters of text encoded between two results.
 CHUNK = 1 << 21
+#: White space to Python, but not to the tokenizer.
+SEPARATORS = regex.compile("[\x1c-\x1f]")
 
 
 def _byte_letters() -> list[str]:
@@ -53,12 +56,16 @@ class Tokenizer:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in {**self.vocab, **self.special}.items()}
         self.longest = max(len(t.removesuffix(self.end)) for t in self.vocab)
+        self.blanks = regex.compile(r"\p{White_Space}+")
         self.words = regex.compile(split["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
         found = sorted(map(regex.escape, self.special), key=len, reverse=True)
         self.specials = regex.compile(f"({'|'.join(found)})") if found else None
-        self.letters = _byte_letters()
-        self.fits: dict[tuple[str, str], bool] = {}
+        self.letters = str.maketrans(dict(enumerate(_byte_letters())))
+        #: per token: whether it stands its ground after a left neighbour ('': at a word's start)
+        self.after: dict[str, dict[str, bool]] = {t: {} for t in self.vocab}
+        self.pairs = 0
         self.known: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
 
     def _merged(self, symbols: list[str]) -> list[str]:
         """Symbols merged by rank, the leftmost of equals first."""
@@ -77,82 +84,117 @@ class Tokenizer:
 
     def _fits(self, left: str, right: str) -> bool:
         """Whether the two tokens come out as they are from the letters of both ('' on the left: nothing)."""
-        found = self.fits.get((left, right))
-        if found is None:
-            if len(self.fits) > KEPT_WORDS:
-                self.fits.clear()
-            both = self._symbols(left) + self._symbols(right)
-            found = self._merged(both) == ([left, right] if left else [right])
-            self.fits[left, right] = found
+        if self.pairs > KEPT:
+            self.after, self.pairs = {t: {} for t in self.vocab}, 0
+        found = self._merged(self._symbols(left) + self._symbols(right)) == ([left, right] if left else [right])
+        self.after[right][left] = found
+        self.pairs += 1
         return found
 
-    def _last(self, prefix: str, ends: bool, path: list[str]) -> str:
-        """Last token of a prefix; path: the last tokens of its shorter prefixes, '' for none."""
-        for start in range(max(0, len(prefix) - self.longest), len(prefix)):
-            token = prefix[start:] + self.end if ends else prefix[start:]
-            if token in self.vocab and self._fits(path[start], token):
-                return token
-        raise ValueError(f"no token ends {prefix!r}")
-
-    def learn(self, words: list[str]) -> None:
-        """Put distinct words into a trie and keep their encodings."""
+    def _last(self, tail: str, depth: int, close: str, path: list[str]) -> str:
+        """Last token of a prefix of `depth` letters that ends with `tail`; path: the last tokens
+        of its shorter prefixes, '' for none."""
+        after = self.after
+        before = depth - len(tail)
+        for start in range(len(tail)):
+            token = tail[start:] + close
+            if (row := after.get(token)) is not None:
+                left = path[before + start]
+                fits = row.get(left)
+                if fits is None:
+                    fits = self._fits(left, token)
+                    after = self.after
+                if fits:
+                    return token
+        raise ValueError(f"no token ends {tail!r}")
+
+    def learn(self, words: list[str]) -> dict[str, bytes]:
+        """Encodings of distinct words, from a trie of their letters."""
         root: dict = {}
         for word in words:
-            letters = "".join(self.letters[b] for b in word.encode())
+            letters = word.encode().decode("latin-1").translate(self.letters)
             node = root
             for letter in letters[:-1]:
                 node = node.setdefault(letter, {})
-            node.setdefault(letters[-1] + self.end, []).append(word)
-        # depth first; a step down carries the prefix and the last tokens on the way to it
+            # a word's last letter is another symbol than the same letter inside: a leaf
+            node[letters[-1] + self.end] = word
+        out: dict[str, bytes] = {}
+        # depth first; a step down carries the last letters of its prefix, path the last tokens so far
         path = [""]
-        todo = [(root, "", letter) for letter in root]
+        todo = [(root, "", 0, edge) for edge in root]
+        longest, end = self.longest, self.end
         while todo:
-            node, prefix, edge = todo.pop()
-            del path[len(prefix) + 1:]
+            node, tail, depth, edge = todo.pop()
+            del path[depth + 1:]
             below = node[edge]
-            letter = edge.removesuffix(self.end) if isinstance(below, list) else edge
-            last = self._last(prefix + letter, isinstance(below, list), path)
-            if isinstance(below, list):
-                ids = self._spelled(last, len(prefix) + 1, path)
-                for word in below:
-                    self.known[word] = ids
+            if type(below) is str:
+                last = self._last((tail + edge[0])[-longest:], depth + 1, end, path)
+                out[below] = self._spelled(last, depth + 1, path)
             else:
-                path.append(last)
-                todo += [(below, prefix + letter, e) for e in below]
+                tail = (tail + edge)[-longest:]
+                path.append(self._last(tail, depth + 1, "", path))
+                for e in below:
+                    todo.append((below, tail, depth + 1, e))
+        return out
 
     def _spelled(self, last: str, length: int, path: list[str]) -> bytes:
         ids = [self.vocab[last]]
-        at = length - len(last.removesuffix(self.end))
+        at = length - len(last) + len(self.end)
         while at:
-            ids.append(self.vocab[path[at]])
-            at -= len(path[at])
-        return np.array(ids[::-1], "<u4").tobytes()
-
-    def _split(self, text: str) -> list:
-        """Words and, as integers, special tokens of a text."""
-        if not self.specials or not (parts := self.specials.split(text))[1:]:
-            return self._plain(text)
+            last = path[at]
+            ids.append(self.vocab[last])
+            at -= len(last)
+        ids.reverse()
+        return pack(f"<{len(ids)}I", *ids)
+
+    def _split(self, run: str) -> list:
+        """Words and, as integers, special tokens of a text without white space."""
+        if not self.specials or "<" not in run or not (parts := self.specials.split(run))[1:]:
+            return self._plain(run)
         out: list = []
         for i, part in enumerate(parts):
             out += [self.special[part]] if i % 2 else self._plain(part)
         return out
 
-    def _plain(self, text: str) -> list[str]:
-        # letter by letter: no other form of sigma at the end of a word
-        return self.words.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+    def _plain(self, run: str) -> list[str]:
+        if not run.isascii():
+            # letter by letter: no other form of sigma at the end of a word
+            run = unicodedata.normalize("NFC", run).replace("Σ", "σ")
+        return self.words.findall(run.lower())
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, as little-endian unsigned 32-bit integers."""
-        if len(self.known) > KEPT_WORDS:
+        """Ids of each text, as little-endian unsigned 32-bit integers.
+
+        White space never is part of a word, so texts are encoded run by run.
+        """
+        if len(self.runs) > KEPT:
+            self.runs = {}
+        if len(self.known) > KEPT:
             self.known = {}
-        split = [self._split(t) for t in texts]
-        new = {w for words in split for w in set(words) if w not in self.known}
-        self.known |= {i: np.array([i], "<u4").tobytes() for i in new if isinstance(i, int)}
-        strings = sorted(w for w in new if isinstance(w, str))
-        for at in range(0, len(strings), TRIE_WORDS):
-            self.learn(strings[at:at + TRIE_WORDS])
+        # runs are separated by white space of the tokenizer only
+        split = [t.split() if not SEPARATORS.search(t) else self.blanks.split(t) for t in texts]
+        runs = {r for t in split for r in set(t) if r not in self.runs}
+        words = {r: self._split(r) for r in runs}
+        new = sorted({w for found in words.values() for w in found if type(w) is str and w not in self.known})
+        learned: dict = {i: pack("<I", i) for i in self.special.values()}
+        for at in range(0, len(new), TRIE_WORDS):
+            learned |= self.learn(new[at:at + TRIE_WORDS])
         known = self.known
-        return [b"".join([known[w] for w in words]) for words in split]
+        long: dict[str, bytes] = {}
+        for run, found in words.items():
+            (self.runs if len(run) <= KEPT_LETTERS else long)[run] = b"".join(
+                [learned[w] if w in learned else known[w] for w in found]
+            )
+        known |= {w: ids for w, ids in learned.items() if type(w) is str and len(w) <= KEPT_LETTERS}
+        kept = self.runs
+        if long:
+            return [b"".join([long[r] if r in long else kept[r] for r in t]) for t in split]
+        return [b"".join([kept[r] for r in t]) for t in split]
+
+    def decode(self, ids: bytes) -> str:
+        """The tokens with blanks between them, special ones too."""
+        tokens = self.tokens
+        return " ".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
 @lru_cache(maxsize=2)
@@ -163,8 +205,8 @@ def _tokenizer(text: str) -> Tokenizer:
 
 def _chunks(texts: pa.Array) -> Iterator[list[str]]:
     held, size = [], 0
-    for text in texts.to_pylist():
-        held.append(text or "")
+    for text in texts:
+        held.append(text.as_py() or "")
         size += len(held[-1])
         if size > CHUNK:
             yield held
@@ -207,32 +249,41 @@ def decode(spark: SparkSession, ids: Column, path: str) -> Column:
 
     @arrow_udf("string")
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokens = _tokenizer(vocabulary.value).tokens
+        tokenizer = _tokenizer(vocabulary.value)
         for batch in batches:
-            rows = (None if r is None else r.values.to_numpy(zero_copy_only=False).tolist() for r in batch)
-            yield pa.array([None if r is None else " ".join([tokens[i] for i in r]) for r in rows], pa.string())
+            rows = (None if r.as_py() is None else r.values.to_numpy(zero_copy_only=False) for r in batch)
+            yield pa.array([None if r is None else tokenizer.decode(r.astype("<u4").tobytes()) for r in rows], pa.string())
 
     return text(ids)
 
 
-def ids_sha256(ids: Column) -> Column:
-    """Hex SHA-256 of ids as little-endian unsigned 32-bit integers; null for null."""
+DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
-    @arrow_udf("string")
-    def digest(batch: pa.Array) -> pa.Array:
-        rows = (None if r is None else r.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes() for r in batch)
-        return pa.array([None if r is None else hashlib.sha256(r).hexdigest() for r in rows], pa.string())
-
-    return digest(ids)
-
-
-def digests(spark: SparkSession, docs, path: str):
-    """`doc_id`, `n_tokens` and digests of ids and decoded text for every row; other columns are ignored."""
-    encoded = docs.select("doc_id", encode(spark, F.col("text"), path).alias("ids"))
-    decoded = encoded.select("doc_id", "ids", decode(spark, F.col("ids"), path).alias("decoded"))
-    return decoded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        ids_sha256(F.col("ids")).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+
+def round_trip(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
+    """`doc_id`, `n_tokens` and hex SHA-256 of the ids (little-endian unsigned 32-bit integers) and of
+    the decoded text, for every row.
+
+    Texts are encoded and decoded in one pass of one Python worker. Null and empty texts have no
+    tokens and decode to the empty text; null and repeated ids keep their rows; other columns are
+    ignored.
+    """
+    vocabulary = _vocabulary(spark, path)
+
+    @arrow_udf(f"struct<{DIGESTS.replace(' long', ': long').replace(' string', ': string')}>")
+    def digests(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tokenizer = _tokenizer(vocabulary.value)
+        sha = lambda data: hashlib.sha256(data).hexdigest()
+        for batch in batches:
+            rows = []
+            for texts in _chunks(batch):
+                rows += [
+                    (len(ids) // 4, sha(ids), sha(tokenizer.decode(ids).encode())) for ids in tokenizer.encode(texts)
+                ]
+            parts = zip(*rows, strict=True) if rows else ((), (), ())
+            kinds = (pa.int64(), pa.string(), pa.string())
+            names = [c.split()[0] for c in DIGESTS.split(", ")]
+            yield pa.StructArray.from_arrays([pa.array(p, k) for p, k in zip(parts, kinds, strict=True)], names)
+
+    found = docs.select("doc_id", digests("text").alias("found"))
+    return found.select("doc_id", "found.*")

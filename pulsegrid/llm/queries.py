@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import bpe, phrases, quality, simhash, toxicity
+from pulsegrid.llm import bpe, mixing, phrases, quality, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,7 +40,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op3_bpe_round_trip")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
-    return bpe.digests(spark, _table(spark, sf_dir, "documents"), path)
+    return bpe.round_trip(spark, _table(spark, sf_dir, "documents"), path)
 
 
 @_query("op4_quality_rules", quality.quality_sql())
@@ -51,3 +51,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op5_toxicity")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query("op6_source_mixing")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.rates(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
