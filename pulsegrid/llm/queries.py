@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import bpe, mixing, phrases, quality, simhash, toxicity
+from pulsegrid.llm import bpe, mixing, phrases, quality, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,3 +56,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op6_source_mixing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.rates(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query("op7_warc", warc.SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, _table(spark, sf_dir, "pages"))
