@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import bpe, mixing, phrases, quality, simhash, toxicity, warc
+from pulsegrid.llm import bpe, mixing, phrases, quality, secret_scan, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,3 +61,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op7_warc", warc.SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, _table(spark, sf_dir, "pages"))
+
+
+@_query("op8_secret_scan", secret_scan.report_sql())
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(_table(spark, sf_dir, "documents"))
