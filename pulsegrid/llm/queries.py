@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import bpe, mixing, phrases, quality, secret_scan, simhash, toxicity, warc
+from pulsegrid.llm import bpe, language, mixing, phrases, quality, secret_scan, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,3 +66,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op8_secret_scan", secret_scan.report_sql())
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(_table(spark, sf_dir, "documents"))
+
+
+@_query("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.document_languages(_table(spark, sf_dir, "documents"))
+
+
+@_query("pages_language_id")
+def pages_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language.fit(_table(spark, sf_dir, "documents"))
+    return language.page_languages(_table(spark, sf_dir, "pages"), model)
