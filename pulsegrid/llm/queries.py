@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import bpe, language, mixing, phrases, quality, secret_scan, simhash, toxicity, warc
+from pulsegrid.llm import bpe, language, mixing, phrases, quality, secret_scan, simhash, toxicity, unigram, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -77,3 +77,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pages_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.fit(_table(spark, sf_dir, "documents"))
     return language.page_languages(_table(spark, sf_dir, "pages"), model)
+
+
+@_query("op10_token_counts")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return unigram.token_counts(_table(spark, sf_dir, "documents"), path)
