@@ -9,6 +9,7 @@ word's encoding.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import unicodedata
@@ -18,19 +19,20 @@ from struct import pack
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.functions import arrow_udf
 
-#: Words, and runs between white space, whose encodings a Python worker keeps; beyond, it starts
-#: afresh. Longer ones than KEPT_LETTERS are not kept. Results depend on neither.
-KEPT, KEPT_LETTERS = 500_000, 64
+#: Words, and runs between blanks, whose encodings a Python worker keeps: this many lately used, and as
+#: many before. Longer ones than KEPT_LETTERS are not kept. Results depend on neither.
+KEPT, KEPT_LETTERS = 300_000, 64
 #: Distinct words that go into one trie.
 TRIE_WORDS = 50_000
-#: Characters of text encoded between two results.
-CHUNK = 1 << 21
-#: White space to Python, but not to the tokenizer.
-SEPARATORS = regex.compile("[\x1c-\x1f]")
+#: Bytes of text encoded together.
+CHUNK = 1 << 23
+#: Marks that are one word behind letters.
+MARKS = ".,;:!?"
 
 
 def _byte_letters() -> list[str]:
@@ -55,8 +57,6 @@ class Tokenizer:
         self.ranks = {pair: i for i, pair in enumerate(pairs)}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in {**self.vocab, **self.special}.items()}
-        self.longest = max(len(t.removesuffix(self.end)) for t in self.vocab)
-        self.blanks = regex.compile(r"\p{White_Space}+")
         self.words = regex.compile(split["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
         found = sorted(map(regex.escape, self.special), key=len, reverse=True)
         self.specials = regex.compile(f"({'|'.join(found)})") if found else None
@@ -64,49 +64,68 @@ class Tokenizer:
         #: per token: whether it stands its ground after a left neighbour ('': at a word's start)
         self.after: dict[str, dict[str, bool]] = {t: {} for t in self.vocab}
         self.pairs = 0
-        self.known: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
-
-    def _merged(self, symbols: list[str]) -> list[str]:
-        """Symbols merged by rank, the leftmost of equals first."""
+        self.parts: dict[str, tuple[int, str, str] | None] = {}
+        plain = {t.removesuffix(self.end) for t in self.vocab}
+        #: beginnings of tokens, and the tokens that end like them, the longest first
+        self.begins = {t[:n] for t in plain for n in range(len(t) + 1)}
+        self.options: dict[str, list[tuple[str, int, dict[str, bool]]]] = {}
+        self.known, self.known_before = {}, {}
+        self.runs, self.runs_before = {}, {}
+
+    def _part(self, token: str) -> tuple[int, str, str] | None:
+        """Rank and parts of the merge that completes a token; rank -1 for a letter, None if none does."""
+        if token in self.parts:
+            return self.parts[token]
+        plain = token.removesuffix(self.end)
+        symbols = [*plain[:-1], plain[-1] + self.end] if plain != token else list(token)
+        found = (-1, token, token)
         while len(symbols) > 1:
             ranks = [self.ranks.get(p, len(self.ranks)) for p in zip(symbols, symbols[1:], strict=False)]
             least = min(ranks)
             if least == len(self.ranks):
+                found = None
                 break
             at = ranks.index(least)
-            symbols = [*symbols[:at], symbols[at] + symbols[at + 1], *symbols[at + 2:]]
-        return symbols
-
-    def _symbols(self, token: str) -> list[str]:
-        plain = token.removesuffix(self.end)
-        return [*plain[:-1], plain[-1] + self.end] if plain != token else list(token)
+            found = (least, symbols[at], symbols[at + 1])
+            symbols[at:at + 2] = ["".join(found[1:])]
+        self.parts[token] = found
+        return found
 
     def _fits(self, left: str, right: str) -> bool:
-        """Whether the two tokens come out as they are from the letters of both ('' on the left: nothing)."""
-        if self.pairs > KEPT:
-            self.after, self.pairs = {t: {} for t in self.vocab}, 0
-        found = self._merged(self._symbols(left) + self._symbols(right)) == ([left, right] if left else [right])
-        self.after[right][left] = found
+        """Whether the two tokens come out as they are from the letters of both ('' on the left: nothing).
+
+        Merges are undone from the last to the first; at every step the symbols that meet at the
+        border must not have had an earlier merge of their own. Of equal ranks the leftmost is first.
+        """
+        if self.pairs > 2 * KEPT:
+            self.pairs = 0
+            for known in self.after.values():
+                known.clear()
+        x, y = (self._part(left) if left else (-1, "", "")), self._part(right)
+        fits = x is not None and y is not None
+        a, b, limit = left, right, len(self.ranks)
+        while fits and left:
+            rank = self.ranks.get((a, b), limit)
+            if rank < limit:
+                fits = False
+            elif x[0] > y[0]:
+                a, limit = x[2], x[0]
+                x = self._part(a)
+            elif y[0] >= 0:
+                b, limit = y[1], y[0] + 1
+                y = self._part(b)
+            else:
+                break
+        self.after[right][left] = fits
         self.pairs += 1
-        return found
+        return fits
 
-    def _last(self, tail: str, depth: int, close: str, path: list[str]) -> str:
-        """Last token of a prefix of `depth` letters that ends with `tail`; path: the last tokens
-        of its shorter prefixes, '' for none."""
-        after = self.after
-        before = depth - len(tail)
-        for start in range(len(tail)):
-            token = tail[start:] + close
-            if (row := after.get(token)) is not None:
-                left = path[before + start]
-                fits = row.get(left)
-                if fits is None:
-                    fits = self._fits(left, token)
-                    after = self.after
-                if fits:
-                    return token
-        raise ValueError(f"no token ends {tail!r}")
+    def _options(self, tail: str, close: str) -> list[tuple[str, int, dict[str, bool]]]:
+        """Tokens that end like `tail`, the longest first: with their letters, and what they stand after."""
+        sizes = range(len(tail), 0, -1)
+        found = [(t, n, self.after[t]) for n in sizes if (t := tail[len(tail) - n:] + close) in self.after]
+        self.options[tail + close] = found
+        return found
 
     def learn(self, words: list[str]) -> dict[str, bytes]:
         """Encodings of distinct words, from a trie of their letters."""
@@ -119,22 +138,34 @@ class Tokenizer:
             # a word's last letter is another symbol than the same letter inside: a leaf
             node[letters[-1] + self.end] = word
         out: dict[str, bytes] = {}
-        # depth first; a step down carries the last letters of its prefix, path the last tokens so far
+        # Depth first. path has the last tokens of the prefixes on the way, '' for the empty one; tail is
+        # as much of a prefix's end as tokens begin with, so it has all tokens that end the prefix.
         path = [""]
         todo = [(root, "", 0, edge) for edge in root]
-        longest, end = self.longest, self.end
+        begins, options, end = self.begins, self.options, self.end
         while todo:
             node, tail, depth, edge = todo.pop()
             del path[depth + 1:]
             below = node[edge]
-            if type(below) is str:
-                last = self._last((tail + edge[0])[-longest:], depth + 1, end, path)
-                out[below] = self._spelled(last, depth + 1, path)
+            leaf = type(below) is str
+            tail += edge[0]
+            while tail not in begins:
+                tail = tail[1:]
+            key = tail + end if leaf else tail
+            depth += 1
+            for token, size, after in options.get(key) or self._options(tail, end if leaf else ""):
+                left = path[depth - size]
+                fits = after.get(left)
+                if fits or fits is None and self._fits(left, token):
+                    break
             else:
-                tail = (tail + edge)[-longest:]
-                path.append(self._last(tail, depth + 1, "", path))
+                raise ValueError(f"no token ends {tail!r}")
+            if leaf:
+                out[below] = self._spelled(token, depth, path)
+            else:
+                path.append(token)
                 for e in below:
-                    todo.append((below, tail, depth + 1, e))
+                    todo.append((below, tail, depth, e))
         return out
 
     def _spelled(self, last: str, length: int, path: list[str]) -> bytes:
@@ -148,7 +179,7 @@ class Tokenizer:
         return pack(f"<{len(ids)}I", *ids)
 
     def _split(self, run: str) -> list:
-        """Words and, as integers, special tokens of a text without white space."""
+        """Words and, as integers, special tokens of a text."""
         if not self.specials or "<" not in run or not (parts := self.specials.split(run))[1:]:
             return self._plain(run)
         out: list = []
@@ -160,41 +191,61 @@ class Tokenizer:
         if not run.isascii():
             # letter by letter: no other form of sigma at the end of a word
             run = unicodedata.normalize("NFC", run).replace("Σ", "σ")
-        return self.words.findall(run.lower())
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, as little-endian unsigned 32-bit integers.
-
-        White space never is part of a word, so texts are encoded run by run.
-        """
+        run = run.lower()
+        if run.isalpha():
+            return [run]
+        if run[-1:] in MARKS and run[:-1].isalpha():
+            return [run[:-1], run[-1]]
+        return self.words.findall(run)
+
+    def _encoded(self, runs: list[str]) -> list[bytes]:
+        """Ids of distinct runs of text."""
         if len(self.runs) > KEPT:
-            self.runs = {}
+            self.runs, self.runs_before = {}, self.runs
         if len(self.known) > KEPT:
-            self.known = {}
-        # runs are separated by white space of the tokenizer only
-        split = [t.split() if not SEPARATORS.search(t) else self.blanks.split(t) for t in texts]
-        runs = {r for t in split for r in set(t) if r not in self.runs}
-        words = {r: self._split(r) for r in runs}
-        new = sorted({w for found in words.values() for w in found if type(w) is str and w not in self.known})
+            self.known, self.known_before = {}, self.known
+        kept, known, before = self.runs, self.known, self.known_before
+        found = [kept.get(r) for r in runs]
+        missing = [r for r, ids in zip(runs, found, strict=True) if ids is None]
+        new = {r: ids for r in missing if (ids := self.runs_before.get(r)) is not None}
+        words = {r: self._split(r) for r in missing if r not in new}
+        asked = {w for parts in words.values() for w in parts if w not in known}
+        known |= {w: ids for w in asked if (ids := before.get(w)) is not None}
+        unknown = sorted(w for w in asked if type(w) is str and w not in known)
         learned: dict = {i: pack("<I", i) for i in self.special.values()}
-        for at in range(0, len(new), TRIE_WORDS):
-            learned |= self.learn(new[at:at + TRIE_WORDS])
-        known = self.known
-        long: dict[str, bytes] = {}
-        for run, found in words.items():
-            (self.runs if len(run) <= KEPT_LETTERS else long)[run] = b"".join(
-                [learned[w] if w in learned else known[w] for w in found]
-            )
+        for at in range(0, len(unknown), TRIE_WORDS):
+            learned |= self.learn(unknown[at:at + TRIE_WORDS])
         known |= {w: ids for w, ids in learned.items() if type(w) is str and len(w) <= KEPT_LETTERS}
-        kept = self.runs
-        if long:
-            return [b"".join([long[r] if r in long else kept[r] for r in t]) for t in split]
-        return [b"".join([kept[r] for r in t]) for t in split]
-
-    def decode(self, ids: bytes) -> str:
+        for run, parts in words.items():
+            ids = [known[w] if w in known else learned[w] for w in parts]
+            new[run] = ids[0] if len(ids) == 1 else b"".join(ids)
+        kept |= {r: ids for r, ids in new.items() if len(r) <= KEPT_LETTERS}
+        gc.freeze()  # what is kept needs no walk in search of cycles
+        return [new[r] if ids is None else ids for r, ids in zip(runs, found, strict=True)]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and where each text's end.
+
+        Blanks and line breaks never are part of a word: the runs between them are numbered, and only
+        distinct ones encoded.
+        """
+        split = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        runs = split.flatten().dictionary_encode()
+        encoded = self._encoded(runs.dictionary.to_pylist())
+        ids = np.frombuffer(b"".join(encoded), "<u4")
+        sizes = np.array([len(e) // 4 for e in encoded], np.int64)
+        place = np.cumsum(sizes) - sizes
+        number = runs.indices.to_numpy()
+        size = sizes[number]
+        ends = np.cumsum(size)
+        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(place[number] - (ends - size), size)
+        borders = split.offsets.to_numpy()[1:] - split.offsets[0].as_py()
+        return ids[places], np.append(0, ends)[borders]
+
+    def decode(self, ids: np.ndarray) -> str:
         """The tokens with blanks between them, special ones too."""
         tokens = self.tokens
-        return " ".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
+        return " ".join([tokens[i] for i in ids.tolist()])
 
 
 @lru_cache(maxsize=2)
@@ -203,15 +254,13 @@ def _tokenizer(text: str) -> Tokenizer:
     return Tokenizer(text)
 
 
-def _chunks(texts: pa.Array) -> Iterator[list[str]]:
-    held, size = [], 0
-    for text in texts:
-        held.append(text.as_py() or "")
-        size += len(held[-1])
-        if size > CHUNK:
-            yield held
-            held, size = [], 0
-    yield held
+def _chunks(texts: pa.Array) -> Iterator[pa.Array]:
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK)))
+        yield texts.slice(at, to - at)
+        at = to
 
 
 def _vocabulary(spark: SparkSession, path: str):
@@ -232,12 +281,11 @@ def encode(spark: SparkSession, text: Column, path: str) -> Column:
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokenizer = _tokenizer(vocabulary.value)
         for batch in batches:
-            parts = []
+            parts = [pa.array([], pa.list_(pa.int32()))]
             for texts in _chunks(batch):
-                found = tokenizer.encode(texts)
-                ends = np.cumsum([0, *(len(f) // 4 for f in found)], dtype=np.int32)
-                values = pa.array(np.frombuffer(b"".join(found), "<i4"))
-                parts.append(pa.ListArray.from_arrays(pa.array(ends), values))
+                found, ends = tokenizer.encode(texts)
+                borders = pa.array(np.append(0, ends), pa.int32())
+                parts.append(pa.ListArray.from_arrays(borders, pa.array(found.view(np.int32))))
             yield pa.concat_arrays(parts)
 
     return ids(text)
@@ -252,38 +300,38 @@ def decode(spark: SparkSession, ids: Column, path: str) -> Column:
         tokenizer = _tokenizer(vocabulary.value)
         for batch in batches:
             rows = (None if r.as_py() is None else r.values.to_numpy(zero_copy_only=False) for r in batch)
-            yield pa.array([None if r is None else tokenizer.decode(r.astype("<u4").tobytes()) for r in rows], pa.string())
+            yield pa.array([None if r is None else tokenizer.decode(r) for r in rows], pa.string())
 
     return text(ids)
 
 
-DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
-
-
-def round_trip(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
+def round_trip(spark: SparkSession, docs: DataFrame, path: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """`doc_id`, `n_tokens` and hex SHA-256 of the ids (little-endian unsigned 32-bit integers) and of
-    the decoded text, for every row.
+    the decoded text, for every row; `ids` and `decoded` themselves too, if `keep` names them.
 
     Texts are encoded and decoded in one pass of one Python worker. Null and empty texts have no
     tokens and decode to the empty text; null and repeated ids keep their rows; other columns are
     ignored.
     """
     vocabulary = _vocabulary(spark, path)
+    kinds = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
+    kinds |= {"ids": pa.list_(pa.int32())} if "ids" in keep else {}
+    kinds |= {"decoded": pa.string()} if "decoded" in keep else {}
+    names = {pa.int64(): "long", pa.string(): "string", pa.list_(pa.int32()): "array<int>"}
 
-    @arrow_udf(f"struct<{DIGESTS.replace(' long', ': long').replace(' string', ': string')}>")
-    def digests(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def described(ids: np.ndarray, text: str) -> list:
+        row = [len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()]
+        return row + ([ids.view(np.int32)] if "ids" in keep else []) + ([text] if "decoded" in keep else [])
+
+    @arrow_udf("struct<" + ", ".join(f"{c}: {names[k]}" for c, k in kinds.items()) + ">")
+    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokenizer = _tokenizer(vocabulary.value)
-        sha = lambda data: hashlib.sha256(data).hexdigest()
         for batch in batches:
             rows = []
             for texts in _chunks(batch):
-                rows += [
-                    (len(ids) // 4, sha(ids), sha(tokenizer.decode(ids).encode())) for ids in tokenizer.encode(texts)
-                ]
-            parts = zip(*rows, strict=True) if rows else ((), (), ())
-            kinds = (pa.int64(), pa.string(), pa.string())
-            names = [c.split()[0] for c in DIGESTS.split(", ")]
-            yield pa.StructArray.from_arrays([pa.array(p, k) for p, k in zip(parts, kinds, strict=True)], names)
-
-    found = docs.select("doc_id", digests("text").alias("found"))
-    return found.select("doc_id", "found.*")
+                ids, ends = tokenizer.encode(texts)
+                rows += [described(own, tokenizer.decode(own)) for own in np.split(ids, ends[:-1])]
+            columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
+            yield pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], [*kinds])
+
+    return docs.select("doc_id", found("text").alias("found")).select("doc_id", "found.*")
