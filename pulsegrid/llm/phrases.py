@@ -46,6 +46,7 @@ def _powers(n: int) -> np.ndarray:
 
 
 _BYTE_NAMES = _mixed(np.arange(1, 257, dtype=np.uint64) * _MIX)
+_MIXED_BYTES = _mixed(_BYTE_NAMES)
 _WEIGHTS = _powers(64)
 _SLOT = _mixed(np.arange(1, SLOTS + 1, dtype=np.uint64)) | _U(1)
 
@@ -88,7 +89,7 @@ def _named(names: np.ndarray, starts: np.ndarray, level: int) -> np.ndarray:
         local = starts[at:to] - lo
         place = np.arange(hi - lo) - np.repeat(local, ends[at:to] - starts[at:to])
         part = names[lo:hi]
-        part = _BYTE_NAMES[part] if part.dtype == np.uint8 else _mixed(part)
+        part = _MIXED_BYTES[part] if part.dtype == np.uint8 else _mixed(part)
         out[at:to] = np.add.reduceat(part * _WEIGHTS[np.minimum(place, 63)], local)
         at = to
     return _mixed(out + _U(level * int(_MIX) % (1 << 64)))
@@ -109,26 +110,34 @@ def _runs(names: np.ndarray, firsts: np.ndarray):
     return symbols, whole, np.searchsorted(starts, firsts)
 
 
-def phrases(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Level by level (0: symbols), the names of all texts' phrases and where each text's begin.
+def phrases(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Level by level (0: symbols): the names of phrases, where each text's begin, and which texts they are.
 
-    `texts` are not empty. Ends with the level at which every text is one phrase.
+    `texts` are not empty. A text that has become one phrase is in no further level, whatever the others.
     """
     lengths = np.array([len(t) for t in texts])
     firsts = np.cumsum(lengths) - lengths
     names = np.frombuffer(b"".join(texts), np.uint8)
+    which = np.arange(len(texts))
     level = 0
-    while True:
+    while len(which):
         symbols, whole, firsts = _runs(names, firsts)
         if level == 0:
-            yield 0, _BYTE_NAMES[symbols] if whole is None else whole, firsts
-        if len(symbols) == len(texts):
-            break
+            yield 0, _BYTE_NAMES[symbols] if whole is None else whole, firsts, which
+        count = np.diff(np.append(firsts, len(symbols)))
+        going = count > 1
+        if not going.all():
+            stay = np.repeat(going, count)
+            symbols, whole = symbols[stay], None if whole is None else whole[stay]
+            which, count = which[going], count[going]
+            firsts = np.cumsum(count) - count
+            if not len(which):
+                return
         starts = _blocks(_labels(symbols, firsts), firsts)
         level += 1
         names = _named(symbols if whole is None else whole, starts, level)
         firsts = np.searchsorted(starts, firsts)
-        yield level, names, firsts
+        yield level, names, firsts, which
 
 
 def _least(names: np.ndarray, firsts: np.ndarray) -> np.ndarray:
@@ -143,16 +152,16 @@ def _sketches(texts: list[bytes]) -> list[str]:
     none = np.iinfo(np.uint64).max
     coarse, fine = np.full((n, SLOTS), none), np.full((n, SLOTS), none)
     many = np.zeros(n, np.int64)
-    for level, names, firsts in phrases(texts):
+    for level, names, firsts, which in phrases(texts):
         count = np.diff(np.append(firsts, len(names)))
         if level >= COARSE_LEVEL:
-            many += count
-            coarse = np.minimum(coarse, _least(names, firsts))
-        some = short if level else tiny
+            many[which] += count
+            coarse[which] = np.minimum(coarse[which], _least(names, firsts))
+        some = (short if level else tiny)[which]
         if some.any():
             kept = names[np.repeat(some, count)]
             begins = np.cumsum(count[some]) - count[some]
-            fine[some] = np.minimum(fine[some], _least(kept, begins))
+            fine[which[some]] = np.minimum(fine[which[some]], _least(kept, begins))
     kinds = np.where(many >= FEW, 1, 0) + np.where(short, 2, 0)
     slots = [(_mixed(x) >> _U(48)).astype(">u2") for x in (coarse, fine)]
     return [
