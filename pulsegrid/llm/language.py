@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from pulsegrid.llm.decisions import content_key, with_verdicts
 from pulsegrid.operators.joins import attach
 from pulsegrid.session import materialise
 
@@ -170,7 +171,7 @@ def _reliability(rows: DataFrame, column: str, count: int) -> DataFrame:
 def identify(rows: DataFrame, model: Model, hosts: list[str], evidence: list[str]) -> DataFrame:
     """Posterior languages of `rows`: `id`, `text`, columns of `evidence`, and `hosts` from the widest to the narrowest.
 
-    One row per row: `id`, `language`, `posterior`, `kept`. A row is rejected if no language reaches
+    One row per row: `id`, the evidence, `language`, `posterior`, `kept`. A row is rejected if no language reaches
     half of the posterior, or if its text is in none of the known ones or has no letter. Null
     evidence says nothing, a null host has its parent's prior. Equal ids keep their rows.
     """
@@ -194,25 +195,37 @@ def identify(rows: DataFrame, model: Model, hosts: list[str], evidence: list[str
     for column in evidence:
         found = attach(found, _reliability(scored, column, count), [column], spread_by=["id"])
         total = F.zip_with(total, F.coalesce(f"{column}_log", F.lit([0.0] * count)), lambda a, b: a + b)
-    found = found.select("id", "text_log", _softmax(total).alias("post"))
+    found = found.select("id", *evidence, "text_log", _softmax(total).alias("post"))
     best = F.array_max("post")
     language = F.get(F.lit(languages), F.array_position("post", best).cast("int") - 1)
     spoken = F.exists("text_log", lambda x: x != 0)
     return found.select(
         "id",
+        *evidence,
         language.alias("language"),
         best.alias("posterior"),
         (spoken & (language != UNKNOWN) & (best >= LEAST_POSTERIOR)).alias("kept"),
     )
 
 
+def _documents(docs: DataFrame, key: Column, sample: int) -> DataFrame:
+    declared = declared_language(F.col("lang")).alias("declared")
+    rows = docs.select(key.alias("id"), "text", F.col("source").alias("host"), declared)
+    return identify(rows, fit(docs, sample), ["host"], ["declared"])
+
+
 def document_languages(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """`doc_id`, `language`, `posterior`, `kept` of documents: `lang` is their declared language, `source` their host."""
-    model = fit(docs, sample)
-    rows = docs.select(
-        F.col("doc_id").alias("id"), "text", F.col("source").alias("host"), declared_language(F.col("lang")).alias("declared")
-    )
-    return identify(rows, model, ["host"], ["declared"]).withColumnRenamed("id", "doc_id")
+    return _documents(docs, F.col("doc_id"), sample).withColumnRenamed("id", "doc_id").drop("declared")
+
+
+def identified_documents(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """The documents that are kept, all columns, with `lang` corrected to the language found."""
+    found = _documents(docs, content_key(docs), sample)
+    odd = found.where(~F.col("kept") | ~F.col("language").eqNullSafe(F.col("declared")))
+    verdicts = odd.select(F.col("id").alias("key"), F.col("kept").alias("_kept"), F.col("language").alias("_language")).distinct()
+    rows = with_verdicts(docs, verdicts).where(F.coalesce("_kept", F.lit(True)))
+    return rows.withColumn("lang", F.coalesce("_language", "lang")).select(docs.columns)
 
 
 def page_languages(pages: DataFrame, model: Model) -> DataFrame:
@@ -233,4 +246,5 @@ def page_languages(pages: DataFrame, model: Model) -> DataFrame:
         declared_language(F.regexp_extract(html, r"(?i)<html[^>]*?\blang=[\"']?([a-zA-Z-]+)", 1)).alias("declared"),
         F.when(segment != "", segment).otherwise(F.regexp_extract(host, r"([^.]+)$", 1)).alias("suffix"),
     )
-    return identify(rows, model, ["domain", "host"], ["declared", "suffix"]).withColumnRenamed("id", "page_id")
+    found = identify(rows, model, ["domain", "host"], ["declared", "suffix"])
+    return found.withColumnRenamed("id", "page_id").drop("declared", "suffix")

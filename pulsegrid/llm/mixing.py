@@ -16,6 +16,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pulsegrid.llm.decisions import content_key, with_verdicts
 from pulsegrid.session import materialise
 
 #: Labelled rows from which the domains' words are learned, at most: the first by a hash of their id.
@@ -24,8 +25,8 @@ SAMPLE = 20_000
 MARKS = 200
 #: Letters of a word's beginning.
 LETTERS = 5
-#: Gradient steps at most, and the relative error at which they end.
-STEPS, TOLERANCE = 60, 1e-6
+#: Gradient steps at most, and the relative error, or gain of a step, at which they end.
+STEPS, TOLERANCE = 60, 1e-4
 
 #: Domains of the labelled table, the first that holds.
 DOMAINS = (("toxic", "toxic = 1"), ("low", "quality = 0"), ("good", "quality = 1"))
@@ -68,9 +69,12 @@ BINS = 6
 
 
 def features(docs: DataFrame, marks: list[list[str]]) -> DataFrame:
-    """`doc_id`, `tokens` (words) and the binned features `f` (array) of every row; null texts are empty."""
+    """`key`, `doc_id`, `tokens` (words) and the binned features `f` (array) of every row; null texts are empty.
+
+    key stands for the whole row.
+    """
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", text.alias("text"), _beginnings(text).alias("begins"))
+    rows = docs.select(content_key(docs).alias("key"), "doc_id", text.alias("text"), _beginnings(text).alias("begins"))
     rows = rows.withColumn("distinct", F.array_distinct("begins"))
     n, letters = F.greatest(F.size("begins"), F.lit(1)), F.greatest(F.char_length("text"), F.lit(1))
     gone = lambda keep: F.char_length(F.regexp_replace("text", keep, ""))
@@ -83,7 +87,7 @@ def features(docs: DataFrame, marks: list[list[str]]) -> DataFrame:
     found = [
         _bin(F.size(F.array_intersect("distinct", F.lit(m))) if m else F.lit(0), MARK_BORDERS) for m in marks
     ] + [_bin(ratios[k], borders) for k, borders in RATIO_BORDERS.items()]
-    return rows.select("doc_id", F.size("begins").cast("bigint").alias("tokens"), F.array(*found).alias("f"))
+    return rows.select("key", "doc_id", F.size("begins").cast("bigint").alias("tokens"), F.array(*found).alias("f"))
 
 
 def _learned_marks(docs: DataFrame, known: DataFrame, count: int, sample: int) -> list[list[str]]:
@@ -139,15 +143,15 @@ def fit(docs: DataFrame, labels: DataFrame, domains=DOMAINS, sample: int = SAMPL
 
 
 def posteriors(table: DataFrame, model: Model) -> DataFrame:
-    """`doc_id`, `tokens` and `p` (array, one share per domain) from a table of features."""
+    """`key`, `doc_id`, `tokens` and `p` (array, one share per domain) from a table of features."""
     score = lambda d: sum(
         (F.element_at(F.lit(cells), F.get("f", F.lit(i)) + 1) for i, cells in enumerate(model.tables[d])),
         F.lit(model.priors[d]),
     )
-    rows = table.select("doc_id", "tokens", F.array(*(score(d) for d in range(len(model.domains)))).alias("s"))
+    rows = table.select("key", "doc_id", "tokens", F.array(*(score(d) for d in range(len(model.domains)))).alias("s"))
     rows = rows.withColumn("e", F.transform("s", lambda x: F.exp(x - F.array_max("s"))))
     whole = F.aggregate("e", F.lit(0.0), lambda a, x: a + x)
-    return rows.select("doc_id", "tokens", F.transform("e", lambda x: x / whole).alias("p"))
+    return rows.select("key", "doc_id", "tokens", F.transform("e", lambda x: x / whole).alias("p"))
 
 
 def _rates(steps: list[list[float]], count: int) -> Column:
@@ -203,11 +207,23 @@ def fit_rates(table: DataFrame, weights: list[float], tokens: float | None = Non
         last, reached, ahead, pace = reached, found[:count], found[count:], faster
         if loss(reached) > loss(last):  # too much momentum: go on from here without
             steps[-1][-1], ahead, pace = 0.0, reached, 1.0
-        elif loss(last) - loss(reached) <= 1e-9 * loss(masses):
+        elif loss(last) - loss(reached) <= TOLERANCE * loss(reached):
             break
     return Fitted(steps, masses, targets, reached)
 
 
+def _fitted(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], tokens: float | None, domains) -> DataFrame:
+    model, table = fit(docs, labels, domains)
+    members = materialise(posteriors(table, model), "members")
+    fitted = fit_rates(members, [targets[name] for name in model.domains], tokens)
+    rows = members.withColumn("rate", _rates(fitted.steps, len(model.domains))["rate"])
+    chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) / float(1 << 32)
+    shares = [F.get("p", F.lit(d)).alias(f"p_{name}") for d, name in enumerate(model.domains)]
+    whole = F.floor("rate")
+    copies = whole + (chance < F.col("rate") - whole).cast("bigint")
+    return rows.select("key", "doc_id", "tokens", *shares, "rate", copies.alias("copies"))
+
+
 def rates(
     docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, tokens: float | None = None, domains=DOMAINS
 ) -> DataFrame:
@@ -217,13 +233,14 @@ def rates(
     average. Null texts have no tokens; rows with equal ids share a rounding; labels of null ids and labels
     that name no domain are left out; without labels all posteriors are equal. Other columns are ignored.
     """
-    model, table = fit(docs, labels, domains)
-    members = materialise(posteriors(table, model), "members")
-    fitted = fit_rates(members, [targets[name] for name in model.domains], tokens)
-    rows = members.withColumn("rate", _rates(fitted.steps, len(model.domains))["rate"])
-    chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) / float(1 << 32)
-    shares = [F.get("p", F.lit(d)).alias(f"p_{name}") for d, name in enumerate(model.domains)]
-    whole = F.floor("rate")
-    return rows.select(
-        "doc_id", "tokens", *shares, "rate", (whole + (chance < F.col("rate") - whole).cast("bigint")).alias("copies")
-    )
+    return _fitted(docs.select("doc_id", "text"), labels, targets, tokens, domains).drop("key")
+
+
+def mixed(
+    docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, tokens: float | None = None, domains=DOMAINS
+) -> DataFrame:
+    """The mixture: every row of `docs`, all columns, as often as its `copies` say."""
+    found = _fitted(docs, labels, targets, tokens, domains)
+    odd = found.where("copies <> 1").select("key", F.col("copies").cast("int").alias("_copies")).distinct()
+    times = F.array_repeat(F.lit(0), F.coalesce("_copies", F.lit(1)))
+    return with_verdicts(docs, odd).withColumn("_copy", F.explode(times)).select(docs.columns)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from pulsegrid.llm.components import connected_components
+from pulsegrid.llm.decisions import content_key, with_verdicts
 from pulsegrid.session import materialise
 
 BITS = 64
@@ -138,7 +139,7 @@ def links(prints: DataFrame, distance: int = 4) -> DataFrame:
         pairs = met.select(F.lag("fp").over(row).alias("a"), F.col("fp").alias("b")).where("a is not null")
     else:
         before = F.collect_list("fp").over(row.rowsBetween(Window.unboundedPreceding, -1))
-        pairs = met.select(F.explode(before).alias("a"), F.col("fp").alias("b"))
+        pairs = met.select(before.alias("a"), F.col("fp").alias("b")).select(F.explode("a").alias("a"), "b")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
     return pairs.distinct().where(near)
 
@@ -161,3 +162,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col
     return rows.join(classes, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def deduplicated(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
+    """One document of each group of near-duplicates, all columns: that with the smallest id.
+
+    Null ids come last; of rows with equal ids one is chosen by a key of its content, and of equal rows
+    one is kept.
+    """
+    # the components' smallest member decides, so the order of these ids is the order of choice
+    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), content_key(docs).alias("key"))
+    rows = docs.select(order.alias("id"), "text")
+    members = materialise(near_duplicates(rows, shingle, distance, "id", "text"), "members")
+    same = members.groupBy("doc_id", "component_id").agg(F.count("*").alias("rows"))
+    first = F.col("doc_id.key") == F.col("component_id.key")
+    odd = same.select(F.col("doc_id.key").alias("key"), first.alias("_first"), "rows")
+    odd = odd.where(~F.col("_first") | (F.col("rows") > 1)).select("key", "_first")
+    marked = with_verdicts(docs, odd)
+    usual = marked.where(F.col("_first").isNull())
+    repeated = marked.where("_first").dropDuplicates(["_key"])
+    return usual.unionByName(repeated).select(docs.columns)
