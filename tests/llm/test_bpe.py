@@ -1,0 +1,87 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from rows import ODD, no_documents, odd_documents
+from tokenizers import Tokenizer
+
+from pulsegrid.llm import bpe
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    found = Tokenizer.from_file(PATH)
+    found.no_truncation()
+    found.no_padding()
+    return found
+
+
+@pytest.fixture(scope="module")
+def own():
+    with open(PATH, encoding="utf-8") as file:
+        return bpe.Tokenizer(file.read())
+
+
+def texts() -> list[str]:
+    chance = random.Random(1)
+    letters = [chr(c) for c in [*range(0x20, 0x17F), *range(0x370, 0x400)]]
+    letters += list("\x85\xa0   ​\x1c\x1fİΣKẞ́̈각가中😀‍ﬁ٠Ⅰ﻿")
+    out = ["".join(chance.choices(letters, k=chance.randint(0, 60))) for _ in range(1500)]
+    out += ["".join(chance.choices("abcdeinrst'", k=chance.randint(1, 40))) for _ in range(4000)]
+    out += ["<|endoftext|>a<|startoftext|><|endoftext|> b'll DON'T <|endoftext", "ΑΣ ΑΣ. Σ", "a" * 3000, "ab" * 500]
+    return out + ["!!!!!!????!!!" * 40, "x" * 100_000, "日本語" * 2000, "a\x1cb\x1f c\x85d", "", " \n"]
+
+
+def encoded(tokenizer, some: list[str]) -> list[list[int]]:
+    ids, ends = tokenizer.encode(pa.array(some, pa.string()))
+    return [part.tolist() for part in np.split(ids, ends[:-1])]
+
+
+def test_ids_are_the_librarys(library, own):
+    some = texts()
+    mine = [ids for at in range(0, len(some), 500) for ids in encoded(own, some[at:at + 500])]
+    assert mine == [e.ids for e in library.encode_batch(some, add_special_tokens=False)]
+
+
+def test_decoding_is_the_librarys(library, own):
+    for text in texts()[::17]:
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert own.decode(np.array(ids, "<u4")) == library.decode(ids, skip_special_tokens=False)
+
+
+def test_results_do_not_depend_on_what_is_kept(library, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT", 50)
+    monkeypatch.setattr(bpe, "KEPT_LETTERS", 5)
+    monkeypatch.setattr(bpe, "TRIE_WORDS", 7)
+    with open(PATH, encoding="utf-8") as file:
+        small = bpe.Tokenizer(file.read())
+    some = texts()[::9]
+    mine = [ids for at in range(0, len(some), 20) for ids in encoded(small, some[at:at + 20])]
+    assert mine == [e.ids for e in library.encode_batch(some, add_special_tokens=False)]
+
+
+def test_columns_and_digests(spark, library):
+    docs = odd_documents(spark)
+    some = {str(r[:2]): library.encode(r[1] or "", add_special_tokens=False).ids for r in ODD}
+    rows = docs.select("doc_id", "text", bpe.encode(spark, docs.text, PATH).alias("found"))
+    rows = rows.withColumn("back", bpe.decode(spark, rows.found, PATH)).collect()
+    assert len(rows) == len(ODD)
+    for r in rows:
+        ids = some[str((r.doc_id, r.text))]
+        assert r.found == ids
+        assert r.back == library.decode(ids, skip_special_tokens=False)
+    trip = bpe.round_trip(spark, docs, PATH, keep=("ids", "decoded")).collect()
+    key = lambda r: (str(r[0]), r[1])
+    sha = lambda data: hashlib.sha256(data).hexdigest()
+    want = [
+        (r.doc_id, len(r.found), sha(np.array(r.found, "<u4").tobytes()), sha(r.back.encode()), r.found, r.back) for r in rows
+    ]
+    assert sorted(map(tuple, trip), key=key) == sorted(want, key=key)
+    assert bpe.round_trip(spark, no_documents(spark), PATH).count() == 0

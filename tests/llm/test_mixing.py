@@ -1,0 +1,98 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from rows import ODD, documents, no_documents, odd_documents
+
+from pulsegrid.llm import mixing
+
+
+def members(spark, rows: int = 300):
+    chance = np.random.default_rng(6)
+    p = chance.dirichlet([0.4, 0.5, 1.0], rows)
+    tokens = chance.integers(1, 500, rows)
+    table = [(i, int(t), [float(x) for x in q]) for i, (t, q) in enumerate(zip(tokens, p, strict=True))]
+    return spark.createDataFrame(table, "doc_id long, tokens long, p array<double>"), tokens, p
+
+
+def test_rates_are_those_of_plain_projected_gradient(spark):
+    table, tokens, p = members(spark)
+    weights = [0.1, 0.2, 0.7]
+    fitted = mixing.fit_rates(table, weights, 20_000.0)
+    goal = np.array(weights) * 20_000
+    mass = tokens @ p
+    rate, ahead = np.ones(len(tokens)), np.ones(len(tokens))
+    for *_, momentum in fitted.steps:
+        gradient = p @ (((tokens * ahead) @ p - goal) / mass)
+        last, rate = rate, np.maximum(0, ahead - gradient)
+        ahead = rate + momentum * (rate - last)
+    rows = table.select("doc_id", mixing._rates(fitted.steps, 3)["rate"].alias("rate")).collect()
+    assert [r.rate for r in sorted(rows)] == pytest.approx(rate, abs=1e-9)
+    assert all(r.rate >= 0 for r in rows)
+    assert fitted.reached == pytest.approx(list((tokens * rate) @ p))
+    assert fitted.reached == pytest.approx(list(goal), rel=1e-3)
+
+
+def test_no_better_rates_when_targets_cannot_be_met(spark):
+    table, tokens, p = members(spark)
+    # every document has some of each domain, so one alone can't be had
+    fitted = mixing.fit_rates(table, [1.0, 0.0, 0.0], float(tokens @ p[:, 0]))
+    goal, mass = np.array([tokens @ p[:, 0], 0, 0]), tokens @ p
+    loss = lambda r: float(((((tokens * r) @ p - goal) / mass) ** 2 * mass).sum())
+    best = np.ones(len(tokens))
+    for _ in range(20_000):
+        best = np.maximum(0, best - p @ (((tokens * best) @ p - goal) / mass))
+    reached = sum(m * ((r - t) / m) ** 2 for m, r, t in zip(mass, fitted.reached, goal, strict=True))
+    # so many steps come within a quarter per cent of the way
+    assert reached <= loss(best) + 2.5e-3 * loss(np.ones(len(tokens)))
+
+
+def corpus(spark, n: int = 400):
+    chance = random.Random(4)
+    texts, labels = [], []
+    for i in range(n):
+        kind = ("good", "good", "low", "toxic")[i % 4]
+        words = [chance.choice("alpha beta gamma delta epsilon zeta theta".split()) for _ in range(60)]
+        if kind == "low":
+            words = [w + "***" for w in words]
+        if kind == "toxic":
+            words[::7] = ["grumpole"] * len(words[::7])
+        texts.append(" ".join(words))
+        if i % 2 or i % 8 < 4:
+            labels.append((i, int(kind != "low"), int(kind == "toxic")))
+    return documents(spark, texts), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_classifier_and_mixture(spark):
+    docs, labels = corpus(spark)
+    rows = sorted(mixing.rates(docs, labels, {"good": 0.8, "low": 0.1, "toxic": 0.1}).collect())
+    kinds = ("good", "good", "low", "toxic")
+    assert all(max(("good", "low", "toxic"), key=lambda k: r[f"p_{k}"]) == kinds[r.doc_id % 4] for r in rows)
+    assert all(abs(r.p_good + r.p_low + r.p_toxic - 1) < 1e-9 and r.copies in (int(r.rate), int(r.rate) + 1) for r in rows)
+    total = {k: sum(r.rate * r.tokens * r[f"p_{k}"] for r in rows) for k in ("good", "low", "toxic")}
+    share = {k: v / sum(total.values()) for k, v in total.items()}
+    assert share == pytest.approx({"good": 0.8, "low": 0.1, "toxic": 0.1}, abs=0.01)
+    copies = sum(r.copies for r in rows)
+    assert abs(copies - sum(r.rate for r in rows)) < 0.1 * copies
+    out = mixing.mixed(docs, labels, {"good": 0.8, "low": 0.1, "toxic": 0.1})
+    assert out.columns == docs.columns
+    assert sorted(r.doc_id for r in out.collect()) == sorted(r.doc_id for r in rows for _ in range(r.copies))
+
+
+def test_odd_rows(spark):
+    _, labels = corpus(spark)
+    odd = spark.createDataFrame(
+        [(None, 1, 0, "x"), (1, None, None, "x"), (4, 1, 1, "x"), (4, 0, 0, "x"), (6, 0, 0, "x"), (5, 1, 0, "x")],
+        "doc_id long, quality int, toxic int, text string",
+    )
+    rows = mixing.rates(odd_documents(spark), odd).collect()
+    assert len(rows) == len(ODD) and all(r.rate >= 0 for r in rows)
+    assert [r.tokens for r in rows if r.doc_id in (1, 2, 3)] == [0, 0, 0]
+    kept = mixing.mixed(odd_documents(spark), odd)
+    assert kept.columns == odd_documents(spark).columns and kept.count() == sum(r.copies for r in rows)
+    flat = mixing.rates(odd_documents(spark), odd.where("false")).collect()
+    assert {round(r.p_good, 9) for r in flat} == {round(1 / 3, 9)} and len(flat) == len(ODD)
+    assert mixing.rates(no_documents(spark), labels).count() == 0
+    assert mixing.mixed(no_documents(spark), labels).count() == 0

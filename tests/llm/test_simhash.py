@@ -1,0 +1,110 @@
+from __future__ import annotations
+
+import random
+import re
+
+import xxhash
+from rows import ODD, documents, no_documents, odd_documents
+
+from pulsegrid.llm import components, simhash
+
+
+def plain_fingerprint(text: str | None, shingle: int = 4) -> int:
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", low)
+    grams = [" ".join(words[i:i + shingle]) for i in range(len(words) - shingle + 1)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(nodes, near) -> dict:
+    root = {n: n for n in nodes}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for i, a in enumerate(nodes):
+        for b in nodes[:i]:
+            if near(a, b):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {n: find(n) for n in nodes}
+
+
+def test_fingerprints(spark):
+    random.seed(3)
+    words = ["the", "The", "of", "é", "É", "x", "a.b", "日本"]
+    texts = [" ".join(random.choices(words, k=k)) for k in (0, 1, 2, 3, 4, 5, 9, 40, 200)] + ["a\x0bb\x0cc\x1cd e f g"]
+    found = {r[0]: r[1] for r in simhash.near_duplicates(documents(spark, texts)).select("doc_id", "fingerprint").collect()}
+    assert found == {i: f"{plain_fingerprint(t):016x}" for i, t in enumerate(texts)}
+
+
+def test_long_texts_are_read_in_pieces(monkeypatch):
+    text = " ".join(f"w{i * i % 97}" for i in range(500))
+    whole = simhash._simhash(text.encode(), 4, 42)
+    monkeypatch.setattr(simhash, "PIECE", 7)
+    assert simhash._simhash(text.encode(), 4, 42) == whole
+    assert simhash._simhash(b"  one two ", 4, 42) == simhash._simhash(b"one two", 4, 42)
+
+
+def signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def test_no_link_is_lost(spark):
+    random.seed(5)
+    prints = {random.getrandbits(64) for _ in range(60)}
+    for start in list(prints)[:25]:
+        for flips in (1, 2, 3, 4, 5, 6):
+            prints.add(start ^ sum(1 << b for b in random.sample(range(64), flips)))
+    table = spark.createDataFrame([(signed(p),) for p in prints], "fp long")
+    for distance in (0, 3, 4):
+        near = lambda a, b: bin((a ^ b) & (1 << 64) - 1).count("1") <= distance  # noqa: E731, B023
+        want = plain_components(sorted(map(signed, prints)), near)
+        edges = simhash.links(table, distance)
+        assert all(near(r.a, r.b) for r in edges.collect())
+        found = {r.node: r.root for r in components.connected_components(edges).collect()}
+        assert {n: found.get(n, n) for n in want} == want
+
+
+def test_components_of_paths_and_hubs(spark):
+    random.seed(7)
+    path = [(i, i + 1) for i in range(60)]
+    hub = [(1000, i) for i in range(1001, 1300)]
+    some = [(random.randrange(2000, 2100), random.randrange(2000, 2100)) for _ in range(60)]
+    edges = path + hub + some + path[:5] + [(5, 5), (None, 3)]
+    random.shuffle(edges)
+    found = components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
+    joined = {e for e in edges if None not in e and e[0] != e[1]}
+    nodes = sorted({n for e in joined for n in e})
+    want = plain_components(nodes, lambda a, b: (a, b) in joined or (b, a) in joined)
+    assert {r.node: r.root for r in found} == want and len(found) == len(want)
+
+
+def test_documents(spark):
+    texts = [" ".join(f"{w}{i}" for i in range(300)) for w in ("ab", "cd", "ef")]
+    near = [t.replace("7 ", "x ", 1) for t in texts]
+    docs = documents(spark, texts + near + texts)
+    rows = {r.doc_id: r for r in simhash.near_duplicates(docs).collect()}
+    prints = [plain_fingerprint(t) for t in texts + near + texts]
+    want = plain_components(range(9), lambda a, b: bin(prints[a] ^ prints[b]).count("1") <= 4)
+    assert {i: r.component_id for i, r in rows.items()} == want
+    kept = simhash.deduplicated(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
+
+
+def test_odd_rows(spark):
+    docs = odd_documents(spark)
+    found = simhash.near_duplicates(docs).collect()
+    assert len(found) == len(ODD)
+    ids = {r.doc_id: r for r in found}
+    # null, empty and blank texts share the fingerprint 0 and the smallest id
+    assert [(ids[i].fingerprint, ids[i].component_id) for i in (1, 2, 3)] == [("0" * 16, 1)] * 3
+    assert {r.component_id for r in found if r.doc_id == 9} == {6}
+    kept = [r.doc_id for r in simhash.deduplicated(docs).collect()]
+    assert sorted(kept, key=str) == sorted([None, 1, 4, 5, 6, 6, 7, 8, -3], key=str)
+    assert simhash.near_duplicates(no_documents(spark)).count() == 0
+    assert simhash.deduplicated(no_documents(spark)).count() == 0

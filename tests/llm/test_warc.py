@@ -1,0 +1,84 @@
+from __future__ import annotations
+
+import gzip
+import hashlib
+import os
+import random
+
+from pulsegrid.llm import warc
+
+SCHEMA = "page_id long, url string, html string"
+
+
+def archive(tmp_path, members: list[bytes]) -> tuple[str, int]:
+    path = tmp_path / "some.warc.gz"
+    path.write_bytes(b"".join(members))
+    return str(path), path.stat().st_size
+
+
+def member(payload: bytes, n: int = 0) -> bytes:
+    head = f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:x:{n}>\r\nContent-Length: {len(payload)}\r\n\r\n"
+    return gzip.compress(head.encode() + payload + b"\r\n\r\n")
+
+
+def test_ranges_own_the_records_that_start_inside(spark, tmp_path):
+    chance = random.Random(1)
+    payloads = [chance.randbytes(chance.choice([0, 10, 300, 5000, 200_000])) for _ in range(40)]
+    path, size = archive(tmp_path, [member(p, n) for n, p in enumerate(payloads)])
+    files = spark.createDataFrame([(path, size), ("/nowhere/empty.warc.gz", 0)], "path string, bytes long")
+    for step in (997, 60_000, 1 << 24):
+        rows = warc.read(files, step).collect()
+        assert sorted((int(r.record_id.split(":")[-1]), bytes(r.payload)) for r in rows) == list(enumerate(payloads))
+
+
+def test_false_beginnings_and_damage_are_passed_over(tmp_path):
+    noise = b"\x1f\x8b\x08\x00 no member \x1f\x8b\x08"
+    other = gzip.compress(b"a member, but no record")
+    broken = bytearray(member(b"broken" * 100, 7))
+    broken[60] ^= 0xFF
+    path, size = archive(tmp_path, [noise, member(b"one"), noise * 3, other, bytes(broken), member(b"two"), member(b"cut")[:30]])
+    with open(path, "rb") as raw:
+        class File:
+            def read_at(self, n, at):
+                raw.seek(at)
+                return raw.read(n)
+
+        found = [warc.parse(r)[1] for _, r in warc.members(File(), size, 0, size)]
+    assert found[0] == b"one" and found[-1] == b"two" and len(found) <= 3
+
+
+def plain(rows: list[tuple]) -> list[tuple]:
+    first: dict[bytes, int] = {}
+    for page, _, html in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
+        first.setdefault((html or "").encode(), page)
+    out = []
+    for page, _, html in rows:
+        data = (html or "").encode()
+        later = len(data) >= 100 and data in first and first[data] != page
+        out.append((page, len(data), hashlib.sha256(data).hexdigest(), "revisit" if later else "response", first[data] if later else None))
+    return out
+
+
+def test_round_trip(spark):
+    chance = random.Random(2)
+    long = ["é" * 50, "x" * 99, "<p>same</p>" * 30, "z" * 300_000]
+    rows = [(i, f"http://h/{i}", chance.choice(long + [f"page {i} " * 40])) for i in range(200)]
+    rows += [(500, None, None), (501, "u", ""), (-4, "a\r\nWARC-Type: x", "z" * 300_000), (None, "n", "<p>same</p>" * 30), (7, "again", "again " * 50)]
+    rows += [(502, "u", "\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\n\r\n" * 9), (503, "u", "\x00\x1f text")]
+    pages = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    clash = pages.selectExpr("*", "'x' AS payload", "'x' AS digest", "'x' AS type", "'x' AS refers_to")
+    found = warc.round_trip(spark, clash).collect()
+    key = lambda r: str(tuple(r))
+    assert sorted(map(tuple, found), key=key) == sorted(plain(rows), key=key)
+
+
+def test_no_pages(spark):
+    assert warc.round_trip(spark, spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_files_hold_whole_members(spark, tmp_path, monkeypatch):
+    pages = spark.createDataFrame([(i, "u", f"text {i} " * 50) for i in range(50)], SCHEMA)
+    files = warc.write(warc.with_revisits(pages), f"file://{tmp_path}/out").collect()
+    text = b"".join(gzip.open(f.path.removeprefix("file://")).read() for f in files)
+    assert text.count(b"WARC/1.1\r\nWARC-Type: response") == 50
+    assert all(os.path.getsize(f.path.removeprefix("file://")) == f.bytes for f in files)
