@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.scalars import is_error_severity, slope_of_counts
-from pulsegrid.operators.history import ARRIVAL, HISTORY_LIMIT, newest, recent
+from pulsegrid.operators.history import ARRIVAL, newest, recent
 from pulsegrid.operators.joins import attach
 from pulsegrid.operators.ordering import largest_group, running_counts
 from pulsegrid.operators.quantiles import exact_quantile
@@ -48,6 +48,11 @@ def _rates(window_minutes: float, error_basis: str) -> list[Column]:
     ]
 
 
+def _known(column: str) -> Column:
+    """A measure without NaN, as both ways to a quantile take it."""
+    return F.when(~F.isnan(F.col(column).cast("double")), F.col(column))
+
+
 def enhanced_features(
     records: DataFrame,
     window_minutes: float = 5,
@@ -66,7 +71,7 @@ def enhanced_features(
     keys = list(keys)
     rates = _rates(window_minutes, error_basis)
     if bounded or largest_group(records, keys)[0] <= group_rows:
-        tails = [F.percentile(c, F.lit(0.95)).alias(f"{c}_p95") for c in MEASURES]
+        tails = [F.percentile(_known(c), F.lit(0.95)).alias(f"{c}_p95") for c in MEASURES]
         features = records.groupBy(*keys).agg(*rates, *tails)
     else:
         tails = exact_quantile(records, keys, list(MEASURES), 0.95)
@@ -108,7 +113,7 @@ def aggregated_row(
     window_end,
     window_minutes: int = 5,
     keys: tuple[str, ...] = ("topic",),
-    history_limit: int | None = HISTORY_LIMIT,
+    history_limit: int | None = None,
     as_of=None,
     open_end: bool = False,
     group_rows: int = GROUP_ROWS,
@@ -116,9 +121,8 @@ def aggregated_row(
 ) -> DataFrame:
     """The per-topic row of a batch: features of the last minutes before its end.
 
-    With the history limit a group has at most that many rows, which bounds
-    every buffer below. `history_limit=None` keeps all rows and takes the
-    distributed paths where a group is large.
+    All rows count, by distributed paths where a group is large. `history_limit` keeps the newest
+    rows of a group only. A group without a known value has trend 0.
     """
     as_of = window_end if as_of is None else as_of
     kept = history if history_limit is None else newest(history, history_limit, keys, arrival)
@@ -130,7 +134,7 @@ def aggregated_row(
         rows, window_minutes, keys, bounded=bounded, group_rows=percentile_rows
     )
     slopes = trend(rows, "value", keys, group_rows=group_rows, bounded=bounded)
-    return features.join(slopes, key_list).select(
+    return features.join(slopes, key_list, "left").select(
         *key_list,
         F.lit(window_start).cast("timestamp").alias("window_start"),
         F.lit(window_end).cast("timestamp").alias("window_end"),
@@ -141,7 +145,7 @@ def aggregated_row(
         F.col("body_length_mean").alias("avg_body_length"),
         F.col("duration_ms_mean").alias("avg_duration_ms"),
         F.col("duration_ms_p95").alias("p95_duration_ms"),
-        F.col("trend").alias("trend_coefficient"),
+        F.coalesce("trend", F.lit(0.0)).alias("trend_coefficient"),
     )
 
 

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# 64-bit integers and nanosecond stamps may arrive as JSON numbers or strings;
+# 64-bit integers, nanosecond stamps and severities may arrive as JSON numbers or strings;
 # reading them as text accepts both.
 _ANY_VALUE = "struct<stringValue:string,intValue:string,doubleValue:double,boolValue:boolean>"
 KEY_VALUES = f"array<struct<key:string,value:{_ANY_VALUE}>>"
 RESOURCE = f"struct<attributes:{KEY_VALUES}>"
 
 _LOG_RECORD = (
-    "struct<observedTimeUnixNano:string,severityNumber:int,severityText:string,"
+    "struct<observedTimeUnixNano:string,severityNumber:string,severityText:string,"
     "body:struct<stringValue:string>,traceId:string,spanId:string,"
     f"attributes:{KEY_VALUES}>"
 )
@@ -73,7 +73,7 @@ AGGREGATED = table(
 )
 
 HISTORY = table(
-    "topic string, seq long, pos integer, timestamp timestamp, severity_number integer, "
+    "topic string, seq long, pos integer, arrived timestamp, timestamp timestamp, severity_number integer, "
     "is_error integer, value double, duration_ms double, body_length integer, source string, "
     "hour integer"
 )
