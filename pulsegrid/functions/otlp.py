@@ -12,7 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pulsegrid.functions.scalars import day_of_week, is_error_severity, nanos, nanos_to_ts
+from pulsegrid.functions.scalars import (
+    day_of_week,
+    is_error_severity,
+    nanos,
+    nanos_to_ts,
+    whole_number,
+)
 
 UNKNOWN = "unknown"
 SERVICE = "service.name"
@@ -90,6 +96,7 @@ def context_object(attributes: Column) -> Column:
 
 def log_error(severity: Column, body: Column) -> Column:
     """Error details: severity 17 or more, or the word ERROR in any case in the body."""
+    # fixed value: the pattern of an SQL state
     code = F.nullif(F.regexp_extract(body, r"(?U)SQLSTATE\[(\w+)\]", 1), F.lit(""))
     return F.when(
         is_error_severity(severity) | F.contains(F.upper(body), F.lit("ERROR")),
@@ -105,7 +112,7 @@ def log_features(resource_logs: Column, ts: Column, resource_source: bool = Fals
         fallback = attribute(resource["attributes"], SERVICE) if resource_source else F.lit(None)
         return F.struct(
             nanos_to_ts(record["observedTimeUnixNano"], ts).alias("observed_ts"),
-            F.coalesce(record["severityNumber"], F.lit(0)).alias("severity_number"),
+            F.coalesce(whole_number(record["severityNumber"]), F.lit(0)).alias("severity_number"),
             text(record["severityText"]).alias("severity_text"),
             text(record["body"]["stringValue"]).alias("body"),
             text(record["traceId"]).alias("trace_id"),

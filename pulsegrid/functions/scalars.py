@@ -9,16 +9,17 @@ from pyspark.sql import functions as F
 
 
 def is_json_object(text: Column) -> Column:
-    """True when the whole text is one JSON object (no trailing data).
+    """True when the whole text is one JSON object, strictly read, repeated keys allowed.
 
-    Wrapping the text in brackets makes the tokenizer walk all of it: trailing
-    garbage breaks the array or raises its length above one. The two cheap
-    text tests pin the outer braces and refuse single-quoted keys.
+    A strict parser reads one value and stops behind it, so the text is read as the one element
+    of a list and as the one member of an object: what follows the value can close one of them, not
+    both.
     """
-    one_value = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
-    opens = text.rlike(r'^\s*\{\s*["}]')
-    closes = F.endswith(F.rtrim(text, F.lit(" \n\r\t")), F.lit("}"))
-    return F.coalesce(opens & closes & one_value, F.lit(False))
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    member = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    kind = F.schema_of_variant(F.try_variant_get(listed, "$[0]", "variant"))
+    alone = F.try_variant_get(listed, "$[1]", "variant").isNull()
+    return F.coalesce(member.isNotNull() & alone & F.startswith(kind, F.lit("OBJECT")), F.lit(False))
 
 
 def is_filled(document: Column) -> Column:
@@ -71,6 +72,12 @@ def number(text: Column) -> Column:
     return F.when(~F.isnan(x), x)
 
 
+def whole_number(text: Column) -> Column:
+    """Text of a whole number, also as 17.0 or 1.7e1, as an integer; NULL for anything else."""
+    x = text.try_cast("double")
+    return F.when(x == F.floor(x), x.try_cast("int"))
+
+
 def ratio(part: Column, whole: Column) -> Column:
     """part / max(whole, 1)."""
     return part / F.greatest(whole, F.lit(1))
@@ -99,15 +106,11 @@ def present(x: Column, digits: int) -> Column:
     rounded = (below + F.when(up, F.lit(1.0)).otherwise(F.lit(0.0))) / scale
     return (
         F.when(x.isNull() | F.isnan(x), F.lit(0.0))
-        .when(F.abs(x) >= 1e12, x)
+        .when(F.abs(product) >= 2.0**53, x)  # no digits left to round
         .otherwise(rounded)
     )
 
 
-def mean_or_zero(x: Column) -> Column:
-    return F.coalesce(F.avg(x), F.lit(0.0))
-
-
 def slope_of_counts(counts: Column) -> Column:
     """Least-squares slope of the non-zero entries of an array against 0..n-1."""
     kept = F.filter(counts, lambda c: c > 0)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid import schemas
@@ -22,14 +22,47 @@ def parse(
 
     An array is NULL when the message does not carry the signal.
     """
+    envelope = messages.withColumn("_envelope", F.from_json("value", schemas.ENVELOPE))
+    arrays = [_features(s, F.col(f"_envelope.{SIGNAL_KEYS[s]}"), resource_source) for s in signals]
+    return envelope.select(*messages.columns, *arrays)
+
+
+def _features(signal: str, resources: Column, resource_source: bool = False) -> Column:
     readers = {
         "logs": lambda c: otlp.log_features(c, F.col("ts"), resource_source),
         "traces": lambda c: otlp.span_features(c, F.col("ts")),
         "metrics": lambda c: otlp.metric_features(c, F.col("ts")),
     }
+    return readers[signal](resources).alias(signal)
+
+
+def parse_by_origin(messages: DataFrame) -> DataFrame:
+    """One row per resource entry of a message, with its service as `origin` and its feature arrays.
+
+    A service's signals may come in several topics; grouped by origin they meet. Entries
+    without a service name have the origin 'unknown'.
+    """
     envelope = messages.withColumn("_envelope", F.from_json("value", schemas.ENVELOPE))
-    arrays = [readers[s](F.col(f"_envelope.{SIGNAL_KEYS[s]}")).alias(s) for s in signals]
-    return envelope.select(*messages.columns, *arrays)
+
+    def entries(signal: str) -> Column:
+        def alone(entry: Column) -> Column:
+            origin = otlp.attribute(entry["resource"]["attributes"], otlp.SERVICE)
+            own = {
+                s: F.array(entry) if s == signal else F.when(F.lit(False), F.col(f"_envelope.{key}"))
+                for s, key in SIGNAL_KEYS.items()
+            }
+            return F.struct(
+                F.coalesce(origin, F.lit(otlp.UNKNOWN)).alias("origin"),
+                *[column.alias(s) for s, column in own.items()],
+            )
+
+        return F.transform(F.col(f"_envelope.{SIGNAL_KEYS[signal]}"), alone)
+
+    every = F.flatten(F.array_compact(F.array(*[entries(s) for s in SIGNAL_KEYS])))
+    rows = envelope.select(*messages.columns, F.explode_outer(every).alias("_entry"))
+    rows = rows.filter("_entry IS NOT NULL").select(*messages.columns, "_entry.*")
+    arrays = [_features(s, F.col(s)) for s in SIGNAL_KEYS]
+    return rows.select(*messages.columns, "origin", *arrays)
 
 
 def signals_present(messages: DataFrame) -> DataFrame:
@@ -63,9 +96,14 @@ def quarantined(messages: DataFrame) -> DataFrame:
 
 def _records(messages: DataFrame, signal: str, **options) -> DataFrame:
     parsed = parse(accepted(messages), (signal,), **options)
-    return parsed.select("topic", "seq", F.posexplode(signal).alias("pos", "_r")).select(
-        "topic", "seq", "pos", "_r.*"
-    )
+    return _exploded(parsed, F.col(signal))
+
+
+def _exploded(parsed: DataFrame, records, *more: str) -> DataFrame:
+    """One row per record. Empty arrays go after the explosion: a filter before it would
+    read, and so parse, the message again."""
+    rows = parsed.select("topic", "seq", *more, F.posexplode_outer(records).alias("pos", "_r"))
+    return rows.filter("pos IS NOT NULL").select("topic", "seq", "pos", *more, "_r.*")
 
 
 def log_table(messages: DataFrame, resource_source: bool = False) -> DataFrame:
@@ -86,13 +124,11 @@ def metric_table(messages: DataFrame) -> DataFrame:
 def history_of(parsed: DataFrame) -> DataFrame:
     """One history row per record of already parsed messages (one scan, one parse).
 
-    `pos` is the arrival position inside the message. An unknown hour falls
-    back to the hour of the timestamp.
+    `arrived` is the message's time, `pos` the arrival position inside the message.
+    An unknown hour falls back to the hour of the timestamp.
     """
     entries = otlp.history_entries(F.col("logs"), F.col("traces"), F.col("metrics"))
-    return parsed.select("topic", "seq", F.posexplode(entries).alias("pos", "_r")).select(
-        "topic", "seq", "pos", "_r.*"
-    )
+    return _exploded(parsed.withColumn("arrived", F.col("ts")), entries, "arrived")
 
 
 def history_table(messages: DataFrame) -> DataFrame:
