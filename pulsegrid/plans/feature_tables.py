@@ -17,7 +17,7 @@ from pulsegrid.operators.correlation import (
     correlate,
     facts,
 )
-from pulsegrid.operators.history import ARRIVAL, HISTORY_LIMIT, STORED_ARRIVAL
+from pulsegrid.operators.history import ARRIVAL, STORED_ARRIVAL
 from pulsegrid.operators.joins import attach
 from pulsegrid.operators.messages import accepted, history_of, parse, quarantined
 from pulsegrid.operators.running import (
@@ -41,10 +41,15 @@ class FeatureTables:
     window_end: dt.datetime
 
 
+def bounds_of(messages: DataFrame, *keys: str) -> DataFrame:
+    """Earliest and latest message time per group, failing messages included."""
+    return messages.groupBy(*keys).agg(F.min("ts").alias("window_start"), F.max("ts").alias("window_end"))
+
+
 def batch_bounds(messages: DataFrame) -> tuple[dt.datetime | None, dt.datetime | None]:
     """Earliest and latest message time (UTC), failing messages included."""
-    micros = F.unix_micros("ts")
-    row = messages.agg(F.min(micros).alias("low"), F.max(micros).alias("high")).first()
+    low, high = F.unix_micros("window_start"), F.unix_micros("window_end")
+    row = bounds_of(messages).select(low.alias("low"), high.alias("high")).first()
 
     def instant(value: int | None) -> dt.datetime | None:
         epoch = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
@@ -72,7 +77,7 @@ def build(
     parsed: DataFrame | None = None,
     history: DataFrame | None = None,
     bounds: tuple[dt.datetime, dt.datetime] | None = None,
-    history_limit: int = HISTORY_LIMIT,
+    history_limit: int | None = None,
     group_rows: int = GROUP_ROWS,
 ) -> FeatureTables:
     """Feature tables of `messages`.
@@ -83,7 +88,11 @@ def build(
     window_start, window_end = bounds or batch_bounds(messages)
     parsed = parse_batch(messages) if parsed is None else parsed
     alone = history is None
-    history = history_of(parsed) if alone else history
+    if alone:
+        history = history_of(parsed)
+    else:  # stored history also holds topics this batch has no message of
+        topics = messages.select("topic").distinct()
+        history = attach(history, topics, ["topic"], spread_by=["seq", "pos"], how="left_semi")
 
     running = running_features(
         history, parsed, WINDOWS, history_limit=history_limit, group_rows=group_rows
@@ -117,12 +126,8 @@ def build(
             for c in ("enhanced_features", "sliding_features", "correlation_features")
         ],
     )
-    mine = history
-    if not alone:  # stored history also holds topics this batch has no message of
-        topics = messages.select("topic").distinct()
-        mine = attach(history, topics, ["topic"], spread_by=["seq", "pos"], how="left_semi")
     aggregated = aggregated_row(
-        mine,
+        history,
         window_start,
         window_end,
         history_limit=history_limit,

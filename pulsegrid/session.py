@@ -7,6 +7,7 @@ runtime SQL options, and scratch tables go to the folder the cluster names in
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -32,6 +33,8 @@ _SQL_OPTIONS = {
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # repeated keys are valid JSON; the last one counts
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # newest-N of 10,000 per group is cut in every map task, before the shuffle
     "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
 }
@@ -67,7 +70,7 @@ def scratch_root(spark: SparkSession) -> str:
     """Shared folder for scratch tables of this application."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="pulsegrid-")
         spark.conf.set("spark.checkpoint.dir", base)
