@@ -246,13 +246,18 @@ _ROUTED = """, kept AS (
 
 @query(
     "s8_outgoing_messages",
-    """SELECT 'demo-app1-' || signal AS topic, count(*) AS messages, sum(event_id)::BIGINT AS seq_sum
+    """SELECT place || signal AS topic, count(*) AS messages, sum(event_id)::BIGINT AS seq_sum
        FROM e CROSS JOIN (VALUES ('logs'), ('traces'), ('metrics')) s(signal)
-       WHERE service = 'app1' GROUP BY ALL""",
+       JOIN (VALUES ('demo-laravel-', 'laravel'), ('demo-flask-', 'flask'), ('demo-node-', 'node'),
+                    ('demo-app1-', 'app1'), ('demo-minikube-node_', NULL), ('demo-otel-pod_', NULL)) r(place, of)
+         ON of = service OR (place = 'demo-minikube-node_' AND event_id % 3 = 0)
+            OR (place = 'demo-otel-pod_' AND event_id % 4 = 0)
+       GROUP BY ALL""",
 )
 def s8(spark, sf):
-    """Records for Kafka; the second group of these routes goes to files only."""
-    records = sinks.outgoing(routing.route(source(spark, sf), routing.APP_ROUTES))
+    """Records for Kafka by all routes; the last group of them goes to files only."""
+    routes = [*routing.DEFAULT_ROUTES, *routing.APP_ROUTES]
+    records = sinks.outgoing(routing.route(source(spark, sf), routes))
     # the event number is the hexadecimal trace id where there is one; logs and spans carry it
     number = F.conv(F.regexp_extract("value", '"traceId":"([0-9a-f]+)"', 1), 16, 10).try_cast("bigint")
     slot = F.regexp_extract("value", '"timeUnixNano":"([0-9]+)"', 1).try_cast("bigint")
@@ -788,7 +793,7 @@ def f5(spark, sf):
 @query(
     "h1_history",
     f"""SELECT topic, seq, pos, us AS timestamp, severity AS severity_number, is_error, {rounded("value AS value")},
-               {rounded("duration_ms AS duration_ms")}, body_length, source, hour(ts) AS hour FROM hist""",
+               {rounded("duration_ms AS duration_ms")}, body_length, source, hour(ts) AS hour, us AS arrived FROM hist""",
 )
 def h1(spark, sf):
     return tidy(messages.history_table(source(spark, sf)))
@@ -797,14 +802,38 @@ def h1(spark, sf):
 @query(
     "h2_last_n",
     f"""SELECT topic, seq, pos, {rounded("value AS value")}
-        FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY seq DESC, pos DESC) AS n FROM hist)
-        WHERE n <= 10000""",
+        FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY ts DESC, seq DESC, pos DESC) AS n FROM hist)
+        WHERE n <= 400""",
 )
 def h2(spark, sf):
-    kept = history.newest(messages.history_table(source(spark, sf)))
+    kept = history.newest(messages.history_table(source(spark, sf)), 400)
     return tidy(kept.select("topic", "seq", "pos", "value"))
 
 
+@query(
+    "h2_last_n_of_partitions",
+    """SELECT topic, seq, pos
+       FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY ts DESC, seq DESC, pos DESC) AS n
+             FROM (SELECT hist.* REPLACE ((event_id + 1000000 * (3 - user_id % 4)) * 65536 + user_id % 4 AS seq)
+                   FROM hist JOIN e ON e.event_id = hist.seq))
+       WHERE n <= 300""",
+)
+def h2_partitions(spark, sf):
+    """Offsets of a topic's partitions lie far apart; its newest records are the latest, whatever their offsets."""
+    partition = (F.col("user_id") % 4).cast("int")
+    numbered = events(spark, sf).select(
+        F.lit("x").cast("binary").alias("value"),
+        F.col("event_id").cast("string").cast("binary").alias("topic"),
+        partition.alias("partition"),
+        (F.col("event_id") + 1_000_000 * (3 - partition)).alias("offset"),
+        F.col("ts").alias("timestamp"),
+    )
+    seqs = sources_of_messages.narrow(numbered).select(F.col("topic").cast("bigint").alias("event"), F.col("seq").alias("own"))
+    renumbered = source(spark, sf).join(seqs, F.col("seq") == F.col("event")).withColumn("seq", F.col("own"))
+    rows = messages.history_table(renumbered.select("topic", "value", "ts", "seq"))
+    return tidy(history.newest(rows, 300).select("topic", "seq", "pos"))
+
+
 @query(
     "h3_recent",
     "SELECT topic, seq, pos, us AS timestamp FROM hist, now WHERE ts >= t_end - INTERVAL 1 DAY AND ts <= t_end",
@@ -827,8 +856,8 @@ def h5(spark, sf):
     first = F.col("timestamp") < F.lit("2024-01-15").cast("timestamp")
     for batch, part in ((0, first), (0, first), (1, ~first)):
         history.append_history(rows.filter(part), path, batch)
-    since = F.lit("2024-01-10 12:00:00").cast("timestamp")
-    stored = history.read_history(spark, path).filter(F.col("timestamp") >= since)
+    since = dt.datetime(2024, 1, 10, 12, tzinfo=dt.timezone.utc)
+    stored = history.read_history(spark, path, since)
     return tidy(
         stored.groupBy("topic").agg(
             F.count(F.lit(1)).alias("records"),
@@ -862,9 +891,7 @@ def h4(spark, sf):
 def a1(spark, sf):
     """Time range of every batch of 500 messages."""
     rows = events(spark, sf).withColumn("batch_id", F.floor(F.col("event_id") / 500))
-    return tidy(
-        rows.groupBy("batch_id").agg(F.min("ts").alias("window_start"), F.max("ts").alias("window_end"))
-    )
+    return tidy(feature_tables.bounds_of(rows, "batch_id"))
 
 
 def _moments(column: str) -> str:
@@ -973,7 +1000,7 @@ def a22(spark, sf):
 )
 def a28(spark, sf):
     rows = correlation.facts(messages.parse(source(spark, sf, ("traces",))))
-    return rows.groupBy("topic").agg(F.count_distinct("service").alias("service_diversity"))
+    return rows.groupBy("topic").agg(correlation.service_diversity())
 
 
 @query(
@@ -1024,6 +1051,22 @@ def a30(spark, sf):
     return tidy(correlation.correlate(rows, threshold=400.0))
 
 
+@query(
+    "a30_correlation_by_service",
+    _CORRELATION.replace("topic", "service").replace("count(DISTINCT service) FILTER (event_id % 2 = 0)",
+                                                     "max((event_id % 2 = 0)::BIGINT)")
+    + f"SELECT service AS origin, {_CORRELATION_COLUMNS.replace('topic', 'service')} FROM scores JOIN infra USING (service)",
+)
+def a30_service(spark, sf):
+    """One topic per service and signal, as they are deployed: scores of a service come from three topics."""
+    parts = [
+        source(spark, sf, (signal,)).withColumn("topic", F.concat("topic", F.lit(f"-{signal}"))) for signal in ALL
+    ]
+    deployed = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    parsed = messages.parse_by_origin(messages.accepted(deployed))
+    return tidy(correlation.correlate(correlation.facts(parsed, ("origin",)), ("origin",), threshold=400.0))
+
+
 @query(
     "a30_attached",
     _CORRELATION
@@ -1098,6 +1141,27 @@ def w2(spark, sf):
     return tidy(_running(spark, sf).select("topic", "seq", *running.sliding_names()))
 
 
+@query(
+    "w2_sliding_one_topic",
+    f"""SELECT * EXCLUDE (pos) FROM (
+          SELECT seq, pos, {rounded("count(*) OVER w / 43200.0 AS avg_messages_43200m",
+                                    "avg((severity >= 17)::BIGINT) OVER w AS error_rate_43200m",
+                                    "regr_slope(value, rn) OVER w AS trend_43200m",
+                                    "regr_slope(duration_ms, rn) OVER w AS duration_trend_43200m",
+                                    "avg(duration_ms) OVER w AS avg_duration_43200m")}
+          FROM (SELECT *, row_number() OVER (ORDER BY ts, seq, pos) AS rn FROM hist)
+          WINDOW w AS (ORDER BY ts RANGE BETWEEN INTERVAL 43200 MINUTES PRECEDING AND CURRENT ROW))
+        WHERE pos = 2""",
+)
+def w2_one_topic(spark, sf):
+    """All messages in one topic, with frames that hold all records before them."""
+    whole = source(spark, sf).withColumn("topic", F.lit("demo-all"))
+    parsed = feature_tables.parse_batch(whole)
+    rows = running.running_features(messages.history_of(parsed), parsed, (43200,), chunk=4000, group_rows=5000)
+    names = [n for n in running.sliding_names((43200,)) if not n.startswith("volume")]
+    return tidy(rows.select("seq", *names))
+
+
 @query("w2_sliding_two_days", _sliding_sql((2880,)))
 def w2_long(spark, sf):
     """Long frames, cut into chunks far smaller than a topic."""
@@ -1117,8 +1181,7 @@ def _running_moments(column: str) -> str:
     )
 
 
-@query(
-    "w9_enhanced_at_messages",
+_RUNNING = (
     f"""SELECT * EXCLUDE (pos, hours),
                list_sort(list_transform(list_distinct(hours),
                  lambda h: {{'n': -len(list_filter(hours, lambda x: x = h)), 'h': h}}))[1].h AS peak_hour
@@ -1128,13 +1191,25 @@ def _running_moments(column: str) -> str:
                      {_running_moments("body_length")}, {_running_moments("duration_ms")},
                      {_running_moments("value")}, list(hour(ts)) OVER w60 AS hours,
                      {rounded("coalesce(var_samp(hour(ts)) OVER w60, 0) AS hour_variance")}
-              FROM ranked WINDOW {_frame(60)}) WHERE pos = 2""",
+              FROM ranked WINDOW {_frame(60)}) WHERE pos = 2"""
 )
+
+
+@query("w9_enhanced_at_messages", _RUNNING)
 def w9(spark, sf):
     """All rates, moments and quantiles of every message over the hour up to it."""
     return tidy(_running(spark, sf, (60,), 60).select("topic", "seq", *running.enhanced_names()))
 
 
+@query("w9_clock_skew", _RUNNING)
+def w9_skew(spark, sf):
+    """Records stamped up to two seconds after their message count as of the message."""
+    parsed = feature_tables.parse_batch(source(spark, sf))
+    ahead = F.make_dt_interval(secs=(F.col("seq") + F.col("pos")) % 3)
+    records = messages.history_of(parsed).withColumn("timestamp", F.col("timestamp") + ahead)
+    return tidy(running.running_features(records, parsed, (60,), 60).select("topic", "seq", *running.enhanced_names()))
+
+
 def _snapshot_sql(windows: tuple[int, ...], later: int = 0) -> str:
     columns = []
     for w in windows:

@@ -47,9 +47,9 @@ def history(spark, rows):
     full = []
     for topic, seconds, seq, severity, value, duration, body, source in rows:
         at = T0 + dt.timedelta(microseconds=round(seconds * 1e6))
-        full.append((topic, seq, 0, at, severity, 0, value, duration, body, source, at.hour))
+        full.append((topic, seq, 0, at, at, severity, 0, value, duration, body, source, at.hour))
     return spark.createDataFrame(
         full,
-        "topic string, seq long, pos int, timestamp timestamp, severity_number int, is_error int, "
+        "topic string, seq long, pos int, arrived timestamp, timestamp timestamp, severity_number int, is_error int, "
         "value double, duration_ms double, body_length int, source string, hour int",
     )
