@@ -1301,6 +1301,22 @@ def q1(spark, sf):
     return tidy(serving.topic_catalogue(stored(spark, sf)))
 
 
+@query(
+    "q1_served_topics",
+    """SELECT topic, count(*) AS total_messages, min(us) AS first_message, max(us) AS last_message,
+              count(DISTINCT event_id % 2) AS batch_count, count(*) AS messages_with_features,
+              count(*) AS messages_with_enhanced_features, count(*) AS messages_with_sliding_features
+       FROM e WHERE event_id % 10 != 0 GROUP BY topic""",
+)
+def q1_served(spark, sf):
+    """The catalogue of what the job itself stored, in two batches."""
+    root = job.TableRoot(scratch_path(spark, "served"))
+    sent = source(spark, sf, damaged=True)
+    for batch in (0, 1):
+        job.process_batch(sent.filter(F.col("seq") % 2 == batch), batch, root)
+    return tidy(serving.topic_catalogue(spark.read.parquet(root.table("messages"))))
+
+
 _STATS_SQL = """SELECT topic, count(*) AS total_messages, count(*) FILTER (event_id % 3 != 0) AS enhanced_count,
   count(*) FILTER (event_id % 5 != 0) AS sliding_count, count(*) FILTER (event_id % 2 != 0) AS correlation_count,
   {rate}(CASE WHEN event_id % 3 != 0 THEN value / 7 ELSE 0 END){two} AS avg_msg_rate,

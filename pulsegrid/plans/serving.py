@@ -63,8 +63,14 @@ def enhanced_stats(stored: DataFrame, as_of=None, hours: int = 1) -> DataFrame:
 def trends(
     aggregated: DataFrame, topic: str, as_of=None, hours: int = 6, limit: int = 50
 ) -> DataFrame:
-    """The newest rows of one topic in the last hours, newest first."""
-    mine = aggregated.filter((F.col("topic") == topic) & (F.col("window_start") >= _since(as_of, hours)))
+    """The newest rows of one topic in the last hours, newest first.
+
+    A stored table is partitioned by the day of `window_start`; earlier days are not opened.
+    """
+    since = _since(as_of, hours)
+    mine = aggregated.filter((F.col("topic") == topic) & (F.col("window_start") >= since))
+    if "date" in aggregated.columns:
+        mine = mine.filter(F.col("date") >= F.to_date(since))
     return (
         mine.select(
             "window_start", "messages_per_minute", "error_rate", "trend_coefficient", "avg_duration_ms"
