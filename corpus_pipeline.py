@@ -33,7 +33,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and digests of them and of the text they decode to."""
-    return bpe.round_trip(spark, docs, public_tokenizers.path("word_bpe_49k.json"), keep=("ids",))
+    path = public_tokenizers.path("word_bpe_49k.json")
+    # executors also hold what the stages before have left in their memory
+    return bpe.round_trip(spark, docs, path, keep=("ids",), chunk=1 << 20, kept=50_000)
 
 
 STAGES = [

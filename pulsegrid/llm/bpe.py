@@ -14,7 +14,6 @@ import hashlib
 import json
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 from struct import pack
 
 import numpy as np
@@ -24,13 +23,16 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.functions import arrow_udf
 
-#: Words, and runs between blanks, whose encodings a Python worker keeps: this many lately used, and as
-#: many before. Longer ones than KEPT_LETTERS are not kept. Results depend on neither.
-KEPT, KEPT_LETTERS = 300_000, 64
-#: Distinct words that go into one trie.
-TRIE_WORDS = 50_000
+from pulsegrid.llm.batches import small_batches
+
+#: Words whose encodings a task keeps: this many lately used, and as many before, some 200 bytes each.
+#: Longer ones than KEPT_LETTERS are not kept. Results depend on neither. Python workers outlive tasks
+#: and operators, so nothing stays beyond a task.
+KEPT, KEPT_LETTERS = 150_000, 64
+#: Runs of text whose words go into one trie.
+TRIE_RUNS = 20_000
 #: Bytes of text encoded together.
-CHUNK = 1 << 23
+CHUNK = 1 << 22
 #: Marks that are one word behind letters.
 MARKS = ".,;:!?"
 
@@ -45,7 +47,8 @@ def _byte_letters() -> list[str]:
 class Tokenizer:
     """A word-end BPE tokenizer read from the text of its JSON file."""
 
-    def __init__(self, text: str):
+    def __init__(self, text: str, kept: int | None = None):
+        self.kept = kept or KEPT
         spec = json.loads(text)
         model, split = spec["model"], spec["pre_tokenizer"]["pretokenizers"][0]
         kinds = [n["type"] for n in spec["normalizer"]["normalizers"]]
@@ -70,7 +73,6 @@ class Tokenizer:
         self.begins = {t[:n] for t in plain for n in range(len(t) + 1)}
         self.options: dict[str, list[tuple[str, int, dict[str, bool]]]] = {}
         self.known, self.known_before = {}, {}
-        self.runs, self.runs_before = {}, {}
 
     def _part(self, token: str) -> tuple[int, str, str] | None:
         """Rank and parts of the merge that completes a token; rank -1 for a letter, None if none does."""
@@ -97,7 +99,7 @@ class Tokenizer:
         Merges are undone from the last to the first; at every step the symbols that meet at the
         border must not have had an earlier merge of their own. Of equal ranks the leftmost is first.
         """
-        if self.pairs > 2 * KEPT:
+        if self.pairs > 2 * self.kept:
             self.pairs = 0
             for known in self.after.values():
                 known.clear()
@@ -199,29 +201,18 @@ class Tokenizer:
         return self.words.findall(run)
 
     def _encoded(self, runs: list[str]) -> list[bytes]:
-        """Ids of distinct runs of text."""
-        if len(self.runs) > KEPT:
-            self.runs, self.runs_before = {}, self.runs
-        if len(self.known) > KEPT:
+        """Ids of some runs of text."""
+        if len(self.known) > self.kept:
             self.known, self.known_before = {}, self.known
-        kept, known, before = self.runs, self.known, self.known_before
-        found = [kept.get(r) for r in runs]
-        missing = [r for r, ids in zip(runs, found, strict=True) if ids is None]
-        new = {r: ids for r in missing if (ids := self.runs_before.get(r)) is not None}
-        words = {r: self._split(r) for r in missing if r not in new}
-        asked = {w for parts in words.values() for w in parts if w not in known}
+        known, before = self.known, self.known_before
+        words = [self._split(r) for r in runs]
+        asked = {w for parts in words for w in parts if w not in known}
         known |= {w: ids for w in asked if (ids := before.get(w)) is not None}
-        unknown = sorted(w for w in asked if type(w) is str and w not in known)
         learned: dict = {i: pack("<I", i) for i in self.special.values()}
-        for at in range(0, len(unknown), TRIE_WORDS):
-            learned |= self.learn(unknown[at:at + TRIE_WORDS])
+        learned |= self.learn([w for w in asked if type(w) is str and w not in known])
         known |= {w: ids for w, ids in learned.items() if type(w) is str and len(w) <= KEPT_LETTERS}
-        for run, parts in words.items():
-            ids = [known[w] if w in known else learned[w] for w in parts]
-            new[run] = ids[0] if len(ids) == 1 else b"".join(ids)
-        kept |= {r: ids for r, ids in new.items() if len(r) <= KEPT_LETTERS}
         gc.freeze()  # what is kept needs no walk in search of cycles
-        return [new[r] if ids is None else ids for r, ids in zip(runs, found, strict=True)]
+        return [b"".join([known[w] if w in known else learned[w] for w in parts]) for parts in words]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and where each text's end.
@@ -231,7 +222,10 @@ class Tokenizer:
         """
         split = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
         runs = split.flatten().dictionary_encode()
-        encoded = self._encoded(runs.dictionary.to_pylist())
+        distinct = runs.dictionary
+        encoded: list[bytes] = []
+        for at in range(0, len(distinct), TRIE_RUNS):
+            encoded += self._encoded(distinct.slice(at, TRIE_RUNS).to_pylist())
         ids = np.frombuffer(b"".join(encoded), "<u4")
         sizes = np.array([len(e) // 4 for e in encoded], np.int64)
         place = np.cumsum(sizes) - sizes
@@ -248,23 +242,24 @@ class Tokenizer:
         return " ".join([tokens[i] for i in ids.tolist()])
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(text: str) -> Tokenizer:
-    """One tokenizer for all tasks of a Python worker: what it has learned stays."""
-    return Tokenizer(text)
-
-
-def _chunks(texts: pa.Array) -> Iterator[pa.Array]:
-    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
-    at = 0
-    while at < len(texts):
-        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK)))
-        yield texts.slice(at, to - at)
-        at = to
+def _chunks(batches: Iterator[pa.Array], least: int | None = None) -> Iterator[pa.Array]:
+    """The texts of all batches, `least` (CHUNK) bytes or more together."""
+    least = least or CHUNK
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += pc.sum(pc.binary_length(batch)).as_py() or 0
+        if size >= least:
+            yield pa.concat_arrays(held)
+            held, size = [], 0
+            pa.default_memory_pool().release_unused()
+    if held:
+        yield pa.concat_arrays(held)
 
 
 def _vocabulary(spark: SparkSession, path: str):
     """The tokenizer's file, read by the driver and sent to every executor: 1.7 MB, whatever the data."""
+    small_batches(spark)
     with open(path, encoding="utf-8") as file:
         return spark.sparkContext.broadcast(file.read())
 
@@ -279,14 +274,10 @@ def encode(spark: SparkSession, text: Column, path: str) -> Column:
 
     @arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokenizer = _tokenizer(vocabulary.value)
-        for batch in batches:
-            parts = [pa.array([], pa.list_(pa.int32()))]
-            for texts in _chunks(batch):
-                found, ends = tokenizer.encode(texts)
-                borders = pa.array(np.append(0, ends), pa.int32())
-                parts.append(pa.ListArray.from_arrays(borders, pa.array(found.view(np.int32))))
-            yield pa.concat_arrays(parts)
+        tokenizer = Tokenizer(vocabulary.value)
+        for texts in _chunks(batches):
+            found, ends = tokenizer.encode(texts)
+            yield pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(found.view(np.int32)))
 
     return ids(text)
 
@@ -297,7 +288,7 @@ def decode(spark: SparkSession, ids: Column, path: str) -> Column:
 
     @arrow_udf("string")
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokenizer = _tokenizer(vocabulary.value)
+        tokenizer = Tokenizer(vocabulary.value)
         for batch in batches:
             rows = (None if r.as_py() is None else r.values.to_numpy(zero_copy_only=False) for r in batch)
             yield pa.array([None if r is None else tokenizer.decode(r) for r in rows], pa.string())
@@ -305,11 +296,19 @@ def decode(spark: SparkSession, ids: Column, path: str) -> Column:
     return text(ids)
 
 
-def round_trip(spark: SparkSession, docs: DataFrame, path: str, keep: tuple[str, ...] = ()) -> DataFrame:
+def round_trip(
+    spark: SparkSession,
+    docs: DataFrame,
+    path: str,
+    keep: tuple[str, ...] = (),
+    chunk: int | None = None,
+    kept: int | None = None,
+) -> DataFrame:
     """`doc_id`, `n_tokens` and hex SHA-256 of the ids (little-endian unsigned 32-bit integers) and of
     the decoded text, for every row; `ids` and `decoded` themselves too, if `keep` names them.
 
-    Texts are encoded and decoded in one pass of one Python worker. Null and empty texts have no
+    Texts are encoded and decoded in one pass of one Python worker. `chunk` bytes of text go into one
+    step, and a task keeps the encodings of `kept` words: less memory for more time. Null and empty texts have no
     tokens and decode to the empty text; null and repeated ids keep their rows; other columns are
     ignored.
     """
@@ -325,12 +324,10 @@ def round_trip(spark: SparkSession, docs: DataFrame, path: str, keep: tuple[str,
 
     @arrow_udf("struct<" + ", ".join(f"{c}: {names[k]}" for c, k in kinds.items()) + ">")
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokenizer = _tokenizer(vocabulary.value)
-        for batch in batches:
-            rows = []
-            for texts in _chunks(batch):
-                ids, ends = tokenizer.encode(texts)
-                rows += [described(own, tokenizer.decode(own)) for own in np.split(ids, ends[:-1])]
+        tokenizer = Tokenizer(vocabulary.value, kept)
+        for texts in _chunks(batches, chunk):
+            ids, ends = tokenizer.encode(texts)
+            rows = [described(own, tokenizer.decode(own)) for own in np.split(ids, ends[:-1])] if len(ends) else []
             columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
             yield pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], [*kinds])
 

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from pulsegrid.llm.batches import small_batches
 from pulsegrid.llm.decisions import content_key, with_verdicts
 from pulsegrid.operators.joins import attach
 from pulsegrid.session import materialise
@@ -92,6 +93,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     About `sample` texts a language are read, or all it has. Null labels and texts are left out; with
     no labels the model has no languages.
     """
+    small_batches(docs.sparkSession)
     tagged = docs.select("doc_id", "text", declared_language(F.col("lang")).alias("lang")).dropna(subset=["text", "lang"])
     found = tagged.groupBy("lang").count().where(F.col("count") >= LEAST_TEXTS).orderBy(F.desc("count"), "lang")
     counts = {r["lang"]: r["count"] for r in found.limit(LANGUAGES).collect()}
@@ -175,6 +177,7 @@ def identify(rows: DataFrame, model: Model, hosts: list[str], evidence: list[str
     half of the posterior, or if its text is in none of the known ones or has no letter. Null
     evidence says nothing, a null host has its parent's prior. Equal ids keep their rows.
     """
+    small_batches(rows.sparkSession)
     languages = [*model.languages, UNKNOWN]
     count = len(languages)
     first = [math.log((1 - UNKNOWN_SHARE) / max(1, count - 1))] * (count - 1) + [math.log(UNKNOWN_SHARE)]

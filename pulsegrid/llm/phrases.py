@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from pulsegrid.llm.batches import small_batches
+
 #: Phrases of this level and above (about 27 bytes) describe a long text.
 COARSE_LEVEL = 3
 #: A text with fewer coarse phrases is compared by its phrases of every level.
@@ -250,6 +252,7 @@ def edited_fingerprints(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     document of a range goes to the range before as well. The driver sees range borders only.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     shares = [i / (4 * tasks) for i in range(1, 4 * tasks)]

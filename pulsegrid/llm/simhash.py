@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from pulsegrid.llm.batches import small_batches
 from pulsegrid.llm.components import connected_components
 from pulsegrid.llm.decisions import content_key, with_verdicts
 from pulsegrid.session import materialise
@@ -152,6 +153,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col
     row each. A null id keeps its row and is never a component_id unless a component has no
     other. Other columns are ignored, whatever their names. Null and empty texts share the fingerprint 0.
     """
+    small_batches(docs.sparkSession)
     rows = materialise(docs.select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col), shingle).alias("fp")), "simhash")
     prints = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "prints")
     roots = connected_components(links(prints.select("fp"), distance)).select(F.col("node").alias("fp"), "root")

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
@@ -19,10 +18,12 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql.functions import arrow_udf
 
+from pulsegrid.llm.batches import small_batches
+
 SPACE = "▁"
 PENALTY = 10.0
-#: Words whose counts a Python worker keeps, and the longest of them. Results depend on neither.
-KEPT, KEPT_LETTERS = 1_000_000, 64
+#: Words whose counts a task keeps, and the longest of them. Results depend on neither.
+KEPT, KEPT_LETTERS = 400_000, 64
 
 
 RUNS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
@@ -111,24 +112,19 @@ def vocabulary(model: bytes) -> list[tuple[str, float]]:
     return [(pieces.id_to_piece(i), pieces.get_score(i)) for i in out]
 
 
-@lru_cache(maxsize=2)
-def _counter(model: bytes) -> Counter:
-    """One counter for all tasks of a Python worker."""
-    return Counter(vocabulary(model))
-
-
 def token_counts(docs: DataFrame, path: str) -> DataFrame:
     """`doc_id`, `n_tokens` and `score` of every row of `docs`, by the pieces of the sentencepiece model at `path`.
 
     A null or empty text has no tokens and score 0; null and repeated ids keep their rows; other
     columns are ignored. The model, half a megabyte, is read by the driver and broadcast.
     """
+    small_batches(docs.sparkSession)
     with open(path, "rb") as file:
         model = docs.sparkSession.sparkContext.broadcast(file.read())
 
     @arrow_udf("struct<n_tokens: long, score: double>")
     def counts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        counter = _counter(model.value)
+        counter = Counter(vocabulary(model.value))
         for batch in batches:
             found = [counter.count(t.as_py() or "") for t in batch]
             parts = zip(*found, strict=True) if found else ((), ())

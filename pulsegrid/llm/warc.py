@@ -20,6 +20,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsegrid.llm.batches import small_batches
 from pulsegrid.operators.joins import attach
 from pulsegrid.session import materialise, scratch_path
 
@@ -97,6 +98,7 @@ def write(records: DataFrame, folder: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(sizes, pa.int64())], ["path", "bytes"])
 
     spark = records.sparkSession
+    small_batches(spark)
     target = spark._jvm.org.apache.hadoop.fs.Path(folder)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(target)
     return materialise(records.mapInArrow(put, "path string, bytes long"), "archives")

@@ -59,7 +59,7 @@ def test_decoding_is_the_librarys(library, own):
 def test_results_do_not_depend_on_what_is_kept(library, monkeypatch):
     monkeypatch.setattr(bpe, "KEPT", 50)
     monkeypatch.setattr(bpe, "KEPT_LETTERS", 5)
-    monkeypatch.setattr(bpe, "TRIE_WORDS", 7)
+    monkeypatch.setattr(bpe, "TRIE_RUNS", 7)
     with open(PATH, encoding="utf-8") as file:
         small = bpe.Tokenizer(file.read())
     some = texts()[::9]
