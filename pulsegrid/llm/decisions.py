@@ -22,6 +22,16 @@ def content_key(docs: DataFrame) -> Column:
     )
 
 
+def labelled_sample(known: DataFrame, rows: int) -> DataFrame:
+    """About `rows` of the rows of `known`, whose doc_id are distinct: those with the smallest hashes of it.
+
+    All of them if there are fewer. Small enough to broadcast, whatever the size of `known`.
+    """
+    share = min(1.0, rows / max(1, known.count()))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    return known.where(place < int(share * (1 << 30)))
+
+
 def with_verdicts(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
     """`docs` with the other columns of `verdicts` (`key` and one row each), null for rows not listed.
 

@@ -16,10 +16,10 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.decisions import content_key, with_verdicts
+from pulsegrid.llm.decisions import content_key, labelled_sample, with_verdicts
 from pulsegrid.session import materialise
 
-#: Labelled rows from which the domains' words are learned, at most: the first by a hash of their id.
+#: Labelled rows from which the domains' words are learned, about: the first by a hash of their id.
 SAMPLE = 20_000
 #: Word beginnings per domain, at most: those with the strongest evidence.
 MARKS = 200
@@ -92,7 +92,7 @@ def features(docs: DataFrame, marks: list[list[str]]) -> DataFrame:
 
 def _learned_marks(docs: DataFrame, known: DataFrame, count: int, sample: int) -> list[list[str]]:
     """Word beginnings that are more frequent in a domain's labelled rows than chance allows."""
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    chosen = labelled_sample(known, sample)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     each = [F.sum((F.col("domain") == i).cast("bigint")).alias(f"d{i}") for i in range(count)]
     words = rows.select("domain", F.explode(F.array_distinct(_beginnings(F.col("text")))).alias("w"))
@@ -119,7 +119,7 @@ def _learned_marks(docs: DataFrame, known: DataFrame, count: int, sample: int) -
 def fit(docs: DataFrame, labels: DataFrame, domains=DOMAINS, sample: int = SAMPLE) -> tuple[Model, DataFrame]:
     """The classifier, and the features of all documents as a written table.
 
-    Word beginnings come from at most `sample` labelled rows; counts of binned features from all.
+    Word beginnings come from about `sample` labelled rows; counts of binned features from all.
     """
     known = materialise(labelled_domains(labels, domains), "domains")
     marks = _learned_marks(docs, known, len(domains), sample)

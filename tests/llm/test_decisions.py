@@ -1,0 +1,44 @@
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from rows import no_documents, odd_documents
+
+from pulsegrid.llm import batches, decisions
+
+
+def test_keys_tell_rows_apart(spark):
+    rows = [(None, "a"), ("a", None), ("a", "a"), ("aa", ""), ("", "aa"), (None, None), ("", ""), ("a", "a")]
+    frame = spark.createDataFrame(rows, "x string, y string")
+    keys = [(r.k.k1, r.k.k2) for r in frame.select(decisions.content_key(frame).alias("k")).collect()]
+    assert len(set(keys)) == len(set(rows))
+    assert len({k[0] for k in keys}) == len({k[1] for k in keys}) == len(set(rows))
+
+
+def test_verdicts_reach_their_rows(spark, monkeypatch):
+    docs = odd_documents(spark)
+    some = docs.where("doc_id = 6").select(decisions.content_key(docs).alias("key"), F.lit("x").alias("_verdict")).distinct()
+    for limit in (10**6, 0):
+        monkeypatch.setattr(decisions, "BROADCAST_ROWS", limit)
+        rows = decisions.with_verdicts(docs, some).collect()
+        assert len(rows) == docs.count()
+        assert all((r["_verdict"] == "x") == (r.doc_id == 6) for r in rows)
+    assert decisions.with_verdicts(no_documents(spark), some).count() == 0
+
+
+def test_samples_are_bounded(spark):
+    known = spark.range(50_000).select(F.col("id").alias("doc_id"))
+    assert 800 < decisions.labelled_sample(known, 1000).count() < 1200
+    assert decisions.labelled_sample(known, 60_000).count() == 50_000
+    assert decisions.labelled_sample(known.where("false"), 10).count() == 0
+
+
+def test_batches_only_get_smaller(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for now, want in (("10000", "500"), ("100", "100"), ("0", "500"), ("-1", "500")):
+            spark.conf.set(name, now)
+            batches.small_batches(spark)
+            assert spark.conf.get(name) == want
+    finally:
+        spark.conf.set(name, before)
