@@ -2,7 +2,8 @@
 
 Texts are folded (lower case, look-alike letters and digits that stand for letters), then an
 Aho-Corasick automaton finds lexicon entries at word starts. Their weights, except inside
-exception phrases, are summed and divided by the length; a logistic curve makes a score of it.
+exception phrases, are summed and divided by the length; a logistic curve makes a score of that and of
+the sum, so that one weak hit in a short text is no certainty.
 Entries, weights, exceptions and curve are learned from labelled rows.
 """
 
@@ -19,9 +20,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from pulsegrid.llm.batches import small_batches
+from pulsegrid.llm.decisions import labelled_sample
 from pulsegrid.session import materialise
 
-#: Labelled rows used for learning, at most; the first by a hash of their id.
+#: Labelled rows used for learning, about; the first by a hash of their id.
 SAMPLE = 20_000
 #: Entries and exception phrases of a model, at most: those with the strongest evidence.
 ENTRIES, EXCEPTIONS = 5_000, 1_000
@@ -51,7 +54,7 @@ class Model(NamedTuple):
     entries: dict[str, float]
     exceptions: list[str]
     intercept: float
-    slope: float
+    slopes: tuple[float, float]
 
 
 def fold(text: str) -> str:
@@ -98,19 +101,21 @@ class Matcher:
                 del out[at]
         return out
 
-    def evidence(self, text: str | None) -> float:
-        """Weighted hits by length, on a logarithmic scale; 0 for null, empty and clean texts."""
+    def evidence(self, text: str | None) -> tuple[float, float]:
+        """Weighted hits by length and as they are, on logarithmic scales; 0 for null, empty and clean texts."""
         folded = fold(text or "")
         total = sum(self.hits(folded).values())
-        return math.log1p(1000 * total / (folded.count(" ") + PADDING)) if total else 0.0
+        return math.log1p(1000 * total / (folded.count(" ") + PADDING)), math.log1p(total)
 
 
 def evidence(text: Column, entries: dict[str, float], exceptions: list[str]) -> Column:
-    @arrow_udf("double")
+    """`Matcher.evidence` of a text, as an array of two."""
+
+    @arrow_udf("array<double>")
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         matcher = Matcher(entries, exceptions)
         for batch in batches:
-            yield pa.array([matcher.evidence(t.as_py()) for t in batch], pa.float64())
+            yield pa.array([matcher.evidence(t.as_py()) for t in batch], pa.list_(pa.float64()))
 
     return found(text)
 
@@ -156,22 +161,22 @@ def _counts(sample: DataFrame, terms: Column) -> DataFrame:
     )
 
 
-def _curve(bins: list[tuple[float, int, int]]) -> tuple[float, float]:
-    """Logistic curve through (evidence, toxic rows, clean rows), with a small ridge."""
+def _curve(bins: list[tuple]) -> tuple[float, tuple[float, float]]:
+    """Logistic curve through (evidence, evidence, toxic rows, clean rows), with a small ridge."""
     if not bins:
-        return 0.0, 0.0
-    x, t, c = (np.array(v, float) for v in zip(*bins, strict=True))
-    beta = np.array([math.log((t.sum() + 0.5) / (c.sum() + 0.5)), 0.0])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(beta[0] + beta[1] * x, -30, 30)))
-        slope = np.array([(t - (t + c) * p).sum(), ((t - (t + c) * p) * x).sum()]) - 0.1 * beta
-        weight = (t + c) * p * (1 - p)
-        curve = np.array([[weight.sum(), (weight * x).sum()], [(weight * x).sum(), (weight * x * x).sum()]])
-        step = np.linalg.solve(curve + 0.1 * np.eye(2), slope)
-        beta = beta + np.clip(step, -2, 2)
+        return 0.0, (0.0, 0.0)
+    x, y, t, c = (np.array(v, float) for v in zip(*bins, strict=True))
+    facts = np.stack([np.ones_like(x), x, y], axis=1)
+    beta = np.array([math.log((t.sum() + 0.5) / (c.sum() + 0.5)), 0.0, 0.0])
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(facts @ beta, -30, 30)))
+        slope = facts.T @ (t - (t + c) * p) - 0.1 * beta
+        curve = facts.T @ (facts * ((t + c) * p * (1 - p))[:, None]) + 0.1 * np.eye(3)
+        step = np.clip(np.linalg.solve(curve, slope), -2, 2)
+        beta = beta + step
         if np.abs(step).max() < 1e-9:
             break
-    return float(beta[0]), float(beta[1])
+    return float(beta[0]), (float(beta[1]), float(beta[2]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
@@ -182,7 +187,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     terms. With nothing to learn from, every score is the share of toxic labels, or 0.5.
     """
     known = labels.select("doc_id", "toxic").dropna().groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    chosen = labelled_sample(known, sample)
+    small_batches(docs.sparkSession)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     rows = materialise(rows.select("text", "toxic"), "labelled")
     toxic, total = rows.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count("*")).first()
@@ -201,8 +207,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         entries = {r[0]: r[1] for r in best.select("term", weight).collect()}
         pairs = _counts(rows, _phrases(F.col("text"), entries)).where("t = 0 and c >= 3")
         exceptions = [r[0] for r in pairs.orderBy(F.desc("c"), "term").limit(EXCEPTIONS).collect()]
-    place = F.round(evidence(F.col("text"), entries, exceptions) * 20) / 20
-    bins = rows.groupBy(place.alias("x")).agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).collect()
+    # at most some ten thousand bins: both scales are logarithms of bounded sums
+    found = rows.select("toxic", evidence(F.col("text"), entries, exceptions).alias("e"))
+    places = [(F.round(F.get("e", F.lit(i)) * 10) / 10).alias(f"e{i}") for i in (0, 1)]
+    bins = found.groupBy(*places).agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).collect()
     return Model(entries, exceptions, *_curve([tuple(b) for b in bins]))
 
 
@@ -211,8 +219,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     Null and empty texts have no evidence and get the score of a clean text.
     """
-    x = evidence(F.col("text"), model.entries, model.exceptions)
-    scored = docs.select("doc_id", (1 / (1 + F.exp(-(F.lit(model.intercept) + F.lit(model.slope) * x)))).alias("score"))
+    small_batches(docs.sparkSession)
+    found = docs.select("doc_id", evidence(F.col("text"), model.entries, model.exceptions).alias("e"))
+    x = sum((F.get("e", F.lit(i)) * F.lit(s) for i, s in enumerate(model.slopes)), F.lit(model.intercept))
+    scored = found.select("doc_id", (1 / (1 + F.exp(-x))).alias("score"))
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 

@@ -37,8 +37,8 @@ def test_entries_exceptions_and_weights():
     assert found.hits(toxicity.fold("a Snarvling, a snarv5! odd oddly unsnarv")) == {2: 3.0, 15: 2.0, 23: 1.0}
     assert found.hits(toxicity.fold("the snarvling beetle and a snarvling")) == {27: 3.0}
     short, long = found.evidence("snarvling here"), found.evidence("snarvling here" + " word" * 500)
-    assert 0 < long < short
-    assert found.evidence(None) == found.evidence("") == 0.0
+    assert 0 < long[0] < short[0] and long[1] == short[1]
+    assert found.evidence(None) == found.evidence("") == (0.0, 0.0)
 
 
 def test_learns_words_and_their_exceptions(spark):
