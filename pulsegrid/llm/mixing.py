@@ -37,9 +37,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 class Model(NamedTuple):
-    """Word beginnings by domain, and log-probabilities [domain][feature][bin] with priors [domain]."""
+    """Word beginnings by domain, and log-probabilities [domain][feature][bin] with priors [domain].
+
+    `labelled` counts the rows that a domain was learned from. One without any takes no part, unless all are.
+    """
 
     domains: list[str]
+    labelled: list[int]
     marks: list[list[str]]
     priors: list[float]
     tables: list[list[list[float]]]
@@ -138,8 +142,9 @@ def fit(docs: DataFrame, labels: DataFrame, domains=DOMAINS, sample: int = SAMPL
         [[math.log((count.get((d, f, b), 0) + 0.5) / (totals[d] + 0.5 * BINS)) for b in range(BINS)] for f in range(width)]
         for d in kinds
     ]
-    priors = [math.log((t + 1) / (sum(totals) + len(totals))) for t in totals]
-    return Model([name for name, _ in domains], marks, priors, tables), table
+    some = any(totals)
+    priors = [math.log((t + 1) / (sum(totals) + len(totals))) if t or not some else -math.inf for t in totals]
+    return Model([name for name, _ in domains], totals, marks, priors, tables), table
 
 
 def posteriors(table: DataFrame, model: Model) -> DataFrame:
@@ -179,22 +184,49 @@ class Fitted(NamedTuple):
     reached: list[float]
 
 
-def fit_rates(table: DataFrame, weights: list[float], tokens: float | None = None) -> Fitted:
+def token_targets(masses: list[float], weights: list[float], tokens: float | None = None, repeats: float = 1.0) -> list[float]:
+    """Tokens wanted of each domain, given those it has.
+
+    Without `tokens` the domain of the largest weight is kept whole, once, and sets the mixture's size (of
+    several, the one that makes it largest); the others get what their weights say beside it. With
+    `tokens` the targets add up to them, and the domain of the largest weight repeats if need be.
+    No other domain is asked for more than `repeats` times what it has: what it lacks raises
+    the shares of the rest in proportion, it never shrinks the rest. Domains without tokens take no part.
+    """
+    here = [d for d, (m, w) in enumerate(zip(masses, weights, strict=True)) if m > 0 and w > 0]
+    targets = [0.0] * len(masses)
+    if not here:
+        return targets
+    top = max(weights[d] for d in here)
+    main = max((d for d in here if weights[d] == top), key=lambda d: masses[d])
+    scale = masses[main] / top
+    scarce: list[int] = []
+    while tokens is not None:
+        free = [d for d in here if d not in scarce]
+        scale = (tokens - sum(repeats * masses[d] for d in scarce)) / sum(weights[d] for d in free)
+        over = [d for d in free if d != main and weights[d] * scale > repeats * masses[d]]
+        if not over:
+            break
+        scarce += over
+    for d in here:
+        targets[d] = weights[d] * scale if d == main else min(weights[d] * scale, repeats * masses[d])
+    return targets
+
+
+def fit_rates(table: DataFrame, weights: list[float], tokens: float | None = None, repeats: float = 1.0) -> Fitted:
     """Projected gradient steps for documents with `tokens` and `p`.
 
     Steps are accelerated by momentum, taken back when a step makes things worse. They end when every
     domain is met, or when no rates come nearer. The objective is the squared relative miss of each domain's expected tokens, in the metric of
-    tokens; its largest curvature is 1, so a step length of 1 is safe. `tokens` is the mixture's
-    size; unset, the largest that needs no domain more than once.
+    tokens; its largest curvature is 1, so a step length of 1 is safe. `tokens` and `repeats` are those of
+    `token_targets`.
     """
     count = len(weights)
     expected = lambda rate: [
         F.coalesce(F.sum(rate * F.col("tokens") * F.get("p", F.lit(d))), F.lit(0.0)) for d in range(count)
     ]
     masses = list(table.agg(*(e.alias(f"d{d}") for d, e in enumerate(expected(F.lit(1.0))))).first())
-    wanted = [w / sum(weights) for w in weights]
-    size = tokens if tokens is not None else min((m / w for m, w in zip(masses, wanted, strict=True) if w > 0), default=0.0)
-    targets = [w * size for w in wanted]
+    targets = token_targets(masses, weights, tokens, repeats)
     miss = lambda sums: [(r - t) / m if m > 0 else 0.0 for r, t, m in zip(sums, targets, masses, strict=True)]
     loss = lambda sums: sum(m * e * e for m, e in zip(masses, miss(sums), strict=True))
     steps: list[list[float]] = []
@@ -212,11 +244,13 @@ def fit_rates(table: DataFrame, weights: list[float], tokens: float | None = Non
     return Fitted(steps, masses, targets, reached)
 
 
-def _fitted(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], tokens: float | None, domains) -> DataFrame:
+def _fitted(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], tokens: float | None, domains, repeats: float) -> DataFrame:
     model, table = fit(docs, labels, domains)
     members = materialise(posteriors(table, model), "members")
-    fitted = fit_rates(members, [targets[name] for name in model.domains], tokens)
-    rows = members.withColumn("rate", _rates(fitted.steps, len(model.domains))["rate"])
+    steps = []
+    if any(model.labelled) or tokens is not None:  # else nothing tells domains apart, and all rows stay
+        steps = fit_rates(members, [targets[name] for name in model.domains], tokens, repeats).steps
+    rows = members.withColumn("rate", _rates(steps, len(model.domains))["rate"])
     chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) / float(1 << 32)
     shares = [F.get("p", F.lit(d)).alias(f"p_{name}") for d, name in enumerate(model.domains)]
     whole = F.floor("rate")
@@ -225,22 +259,34 @@ def _fitted(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], to
 
 
 def rates(
-    docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, tokens: float | None = None, domains=DOMAINS
+    docs: DataFrame,
+    labels: DataFrame,
+    targets: Mapping[str, float] = TARGETS,
+    tokens: float | None = None,
+    domains=DOMAINS,
+    repeats: float = 1.0,
 ) -> DataFrame:
     """`doc_id`, `tokens`, a posterior `p_<domain>` per domain, `rate` and `copies` for every row of `docs`.
 
     copies is the rate rounded up or down by a hash of the id, so that it is the rate on
     average. Null texts have no tokens; rows with equal ids share a rounding; labels of null ids and labels
-    that name no domain are left out; without labels all posteriors are equal. Other columns are ignored.
+    that name no domain are left out; a domain that no label names has the posterior 0; without labels all
+    posteriors are equal and, with `tokens` unset, all rates 1. Sizes are those of `token_targets`: the domain of the
+    largest target is kept whole, and a scarce one is kept as it is. Other columns are ignored.
     """
-    return _fitted(docs.select("doc_id", "text"), labels, targets, tokens, domains).drop("key")
+    return _fitted(docs.select("doc_id", "text"), labels, targets, tokens, domains, repeats).drop("key")
 
 
 def mixed(
-    docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, tokens: float | None = None, domains=DOMAINS
+    docs: DataFrame,
+    labels: DataFrame,
+    targets: Mapping[str, float] = TARGETS,
+    tokens: float | None = None,
+    domains=DOMAINS,
+    repeats: float = 1.0,
 ) -> DataFrame:
     """The mixture: every row of `docs`, all columns, as often as its `copies` say."""
-    found = _fitted(docs, labels, targets, tokens, domains)
+    found = _fitted(docs, labels, targets, tokens, domains, repeats)
     odd = found.where("copies <> 1").select("key", F.col("copies").cast("int").alias("_copies")).distinct()
     times = F.array_repeat(F.lit(0), F.coalesce("_copies", F.lit(1)))
     return with_verdicts(docs, odd).withColumn("_copy", F.explode(times)).select(docs.columns)

@@ -96,3 +96,48 @@ def test_odd_rows(spark):
     assert {round(r.p_good, 9) for r in flat} == {round(1 / 3, 9)} and len(flat) == len(ODD)
     assert mixing.rates(no_documents(spark), labels).count() == 0
     assert mixing.mixed(no_documents(spark), labels).count() == 0
+
+
+def scarce(spark, toxic: int, n: int = 2_000):
+    """`n` rows, `toxic` of them toxic, a tenth low; all are labelled."""
+    chance = random.Random(8)
+    texts, labels = [], []
+    for i in range(n):
+        words = [chance.choice("alpha beta gamma delta epsilon zeta theta".split()) for _ in range(40)]
+        if i < toxic:
+            words[::4] = ["grumpole"] * len(words[::4])
+        elif i % 10 == 9:
+            words = [w + "***" for w in words]
+        texts.append(" ".join(words))
+        labels.append((i, int(i % 10 != 9), int(i < toxic)))
+    return documents(spark, texts), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+@pytest.mark.parametrize("toxic", [0, 2])
+def test_a_scarce_domain_does_not_shrink_the_rest(spark, toxic):
+    docs, labels = scarce(spark, toxic)
+    rows = mixing.rates(docs, labels).collect()
+    good = [r for r in rows if r.doc_id >= toxic and r.doc_id % 10 != 9]
+    assert sum(r.copies >= 1 for r in good) >= 0.99 * len(good)
+    total = {k: sum(r.rate * r.tokens * r[f"p_{k}"] for r in rows) for k in ("good", "low", "toxic")}
+    assert total["low"] / total["good"] == pytest.approx(2 / 97, rel=0.05)
+    assert total["toxic"] <= 0.002 * total["good"]
+
+
+def test_labels_that_tell_nothing_drop_nothing(spark):
+    docs, labels = scarce(spark, 2, 200)
+    for known in (labels.where("false"), labels.where("toxic = 1")):
+        rows = mixing.rates(docs, known).collect()
+        assert len(rows) == 200 and all(r.copies == 1 for r in rows)
+
+
+def test_token_targets():
+    find, near = mixing.token_targets, pytest.approx
+    assert find([97.0, 11.0, 12.0], [0.97, 0.02, 0.01]) == near([97, 2, 1])
+    assert find([97.0, 11.0, 0.1], [0.97, 0.02, 0.01]) == near([97, 2, 0.1])
+    assert find([97.0, 11.0, 0.0], [0.97, 0.02, 0.01]) == near([97, 2, 0])
+    assert find([97.0, 11.0, 0.1], [0.97, 0.02, 0.01], repeats=4) == near([97, 2, 0.4])
+    # a given size is met, what a scarce domain lacks goes to the others by their weights
+    assert find([97.0, 11.0, 0.1], [0.97, 0.02, 0.01], 50.0) == near([49.9 * 97 / 99, 49.9 * 2 / 99, 0.1])
+    assert find([10.0, 1.0], [0.5, 0.5], 30.0) == near([29, 1])
+    assert find([0.0, 0.0], [0.5, 0.5]) == find([0.0, 0.0], [0.5, 0.5], 9.0) == [0, 0]
