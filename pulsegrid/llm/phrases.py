@@ -5,7 +5,8 @@ symbols only; every block gets a name that is a hash of its content, and the nam
 again, level by level. Equal substrings get equal names inside, wherever they stand. Borders are local
 maxima of labels found by deterministic coin tossing: a symbol's label is the place and value of the
 lowest bit in which it differs from its left neighbour, repeated until six labels are left.
-A fingerprint is a min-hash sketch of the phrase names.
+A fingerprint is a min-hash sketch of the phrase names. A run of one symbol goes on as one symbol, so it
+also counts as as many numbered phrases as its bytes would make: what it holds weighs as much as other text.
 """
 
 from __future__ import annotations
@@ -23,8 +24,10 @@ from pulsegrid.llm.batches import small_batches
 
 #: Phrases of this level and above (about 27 bytes) describe a long text.
 COARSE_LEVEL = 3
-#: A text with fewer coarse phrases is compared by its phrases of every level.
+#: A short text with fewer coarse phrases is compared by its phrases of every level.
 FEW = 16
+#: Bytes of a run that count as a phrase of the coarse and of the fine sketch.
+COARSE_STEP, FINE_STEP = 27, 3
 #: Texts up to so many bytes carry the fine sketch too, those up to TINY also single symbols.
 SHORT, TINY = 2048, 32
 SLOTS = 64
@@ -98,18 +101,18 @@ def _named(names: np.ndarray, starts: np.ndarray, level: int) -> np.ndarray:
 
 
 def _runs(names: np.ndarray, firsts: np.ndarray):
-    """Repeats of one symbol as one symbol: (symbols, their names with the repeat, firsts)."""
+    """Repeats of one symbol as one symbol: (symbols, their names with the repeat, firsts, where they start)."""
     new = np.empty(len(names), bool)
     new[1:] = names[1:] != names[:-1]
     new[firsts] = True
     if new.all():
-        return names, None, firsts
+        return names, None, firsts, None
     starts = np.flatnonzero(new)
     count = np.diff(np.append(starts, len(names))).astype(np.uint64)
     symbols = names[starts]
     whole = _BYTE_NAMES[symbols] if symbols.dtype == np.uint8 else symbols
     whole = np.where(count > 1, _mixed(whole + count * _MIX), whole)
-    return symbols, whole, np.searchsorted(starts, firsts)
+    return symbols, whole, np.searchsorted(starts, firsts), starts
 
 
 def phrases(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -117,27 +120,42 @@ def phrases(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray, n
 
     `texts` are not empty. A text that has become one phrase is in no further level, whatever the others.
     """
+    return (found for found in _levels(texts) if found[0] is not None)
+
+
+def _levels(texts: list[bytes]) -> Iterator[tuple[int | None, np.ndarray, np.ndarray, np.ndarray]]:
+    """As `phrases`; and, with None for the level, runs: names without the repeat, bytes, and texts (ascending)."""
     lengths = np.array([len(t) for t in texts])
     firsts = np.cumsum(lengths) - lengths
     names = np.frombuffer(b"".join(texts), np.uint8)
     which = np.arange(len(texts))
+    at, stops = np.arange(len(names)), firsts + lengths  # bytes where symbols start and texts end
     level = 0
     while len(which):
-        symbols, whole, firsts = _runs(names, firsts)
+        symbols, whole, firsts, starts = _runs(names, firsts)
+        if starts is not None:
+            repeats = np.diff(np.append(starts, len(names))) > 1
+            at = at[starts]
+            ends = np.append(at[1:], 0)
+            ends[np.append(firsts[1:], len(at)) - 1] = stops[which]
+            run = np.flatnonzero(repeats)
+            found = symbols[run]
+            found = _BYTE_NAMES[found] if found.dtype == np.uint8 else found
+            yield None, found, ends[run] - at[run], which[np.searchsorted(firsts, run, side="right") - 1]
         if level == 0:
             yield 0, _BYTE_NAMES[symbols] if whole is None else whole, firsts, which
         count = np.diff(np.append(firsts, len(symbols)))
         going = count > 1
         if not going.all():
             stay = np.repeat(going, count)
-            symbols, whole = symbols[stay], None if whole is None else whole[stay]
+            symbols, whole, at = symbols[stay], None if whole is None else whole[stay], at[stay]
             which, count = which[going], count[going]
             firsts = np.cumsum(count) - count
             if not len(which):
                 return
         starts = _blocks(_labels(symbols, firsts), firsts)
         level += 1
-        names = _named(symbols if whole is None else whole, starts, level)
+        names, at = _named(symbols if whole is None else whole, starts, level), at[starts]
         firsts = np.searchsorted(starts, firsts)
         yield level, names, firsts, which
 
@@ -146,6 +164,21 @@ def _least(names: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     return np.stack([np.minimum.reduceat(names * m, firsts) for m in _SLOT], axis=1)
 
 
+def _numbered(names: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """`counts` names for each name, the first ones of a longer run those of a shorter."""
+    place = np.arange(1, counts.sum() + 1) - np.repeat(np.cumsum(counts) - counts, counts)
+    return _mixed(np.repeat(_mixed(names), counts) + place.astype(np.uint64) * _MIX)
+
+
+def _add_runs(sketch: np.ndarray, names: np.ndarray, counts: np.ndarray, which: np.ndarray) -> None:
+    some = counts > 0
+    if some.any():
+        counts, which = counts[some], which[some]
+        new = np.flatnonzero(np.append(True, which[1:] != which[:-1]))
+        rows = which[new]
+        sketch[rows] = np.minimum(sketch[rows], _least(_numbered(names[some], counts), (np.cumsum(counts) - counts)[new]))
+
+
 def _sketches(texts: list[bytes]) -> list[str]:
     """Fingerprints of texts that are not empty."""
     n = len(texts)
@@ -154,7 +187,14 @@ def _sketches(texts: list[bytes]) -> list[str]:
     none = np.iinfo(np.uint64).max
     coarse, fine = np.full((n, SLOTS), none), np.full((n, SLOTS), none)
     many = np.zeros(n, np.int64)
-    for level, names, firsts, which in phrases(texts):
+    for level, names, firsts, which in _levels(texts):
+        if level is None:
+            extent = firsts
+            coarse_runs = extent // COARSE_STEP
+            np.add.at(many, which, coarse_runs)
+            _add_runs(coarse, names, coarse_runs, which)
+            _add_runs(fine, names, np.where(short[which], extent // FINE_STEP, 0), which)
+            continue
         count = np.diff(np.append(firsts, len(names)))
         if level >= COARSE_LEVEL:
             many[which] += count
@@ -193,8 +233,8 @@ def fingerprints(texts: list[str]) -> list[str]:
 def similarity(a: str, b: str) -> float:
     """Share of two texts' phrases that they have in common, estimated, from 0 to 1.
 
-    Long texts are compared by coarse phrases, others by all. Two empty texts are alike,
-    an empty text is like no other.
+    Two short texts that do not both have FEW coarse phrases are compared by all phrases, others by
+    coarse ones. Two empty texts are alike, an empty text is like no other.
     """
     if a == b:
         return 1.0

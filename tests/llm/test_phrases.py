@@ -57,6 +57,20 @@ def test_likeness_estimates_the_shared_part():
     assert phrases.similarity(a, b) < 0.1
 
 
+def test_repeats_weigh_as_much_as_other_text():
+    texts = ["a" * 5000, "b" * 5000, "ab" * 5000, " " * 5000, "buy now " * 1000, "a longer line that is said again\n" * 300, "a" * 100, "b" * 100]
+    prints = phrases.fingerprints(texts)
+    assert prints == [phrases.fingerprints([t])[0] for t in texts]
+    for i, text in enumerate(texts):
+        assert all(phrases.similarity(prints[i], p) < 0.1 for p in prints[i + 1:] if len(text) > 2048)
+        cut = len(text) // 3
+        for other in (texts[(i + 1) % len(texts)] * 60, some_text(5, 3000)):
+            edit = phrases.fingerprints([text[:len(text) - cut] + other[:cut]])[0]
+            near = phrases.similarity(prints[i], edit)
+            assert abs(near - 2 / 3) < 0.25, (text[:8], near)
+    assert len(set(prints)) == len(texts)
+
+
 def plain_edits(rows: list[tuple]) -> list[tuple]:
     rows = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]), reverse=True)
     out = []
