@@ -25,8 +25,8 @@ from pulsegrid.session import materialise
 
 #: Labelled texts per language from which trigrams are learned, about; chosen by a hash of their id.
 SAMPLE = 4_000
-#: Languages of a model, at most, and labelled texts that make one.
-LANGUAGES, LEAST_TEXTS = 64, 5
+#: Languages whose counts a task holds together.
+HELD = 128
 #: Cells for trigrams.
 CELLS = 1 << 15
 #: Neighbouring trigrams share letters: what one counts as evidence.
@@ -45,7 +45,7 @@ _LETTER = np.array([chr(c).isalpha() for c in range(0x3000)])
 
 class Model(NamedTuple):
     languages: list[str]
-    table: np.ndarray  # log-probability of cells, [language][cell]
+    table: np.ndarray  # log-probability of cells, [language][cell], float32
 
 
 def _cells(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -83,48 +83,64 @@ def _chunks(texts: pa.Array) -> Iterator[list[str]]:
 
 
 def declared_language(value: Column) -> Column:
-    """The main part of a language tag in lower case ('en' of 'en-US'), or null."""
-    return F.nullif(F.regexp_extract(F.lower(value), r"^\s*([a-z]{2,3})\b", 1), F.lit(""))
+    """The main part of a language tag in lower case ('en' of 'en-US'), or null; 'und' declares nothing."""
+    tag = F.regexp_extract(F.lower(value), r"^\s*([a-z]{2,3})\b", 1)
+    return F.when(~tag.isin("", UNKNOWN), tag)
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """Trigram model of the languages that `docs` (doc_id, text, lang) are labelled with.
+    """Trigram model of every language that `docs` (doc_id, text, lang) are labelled with.
 
-    About `sample` texts a language are read, or all it has. Null labels and texts are left out; with
-    no labels the model has no languages.
+    About `sample` texts a language are read, or all it has. Null labels and texts are left out, and
+    languages without a letter in them; with no labels the model has no languages.
     """
     small_batches(docs.sparkSession)
     tagged = docs.select("doc_id", "text", declared_language(F.col("lang")).alias("lang")).dropna(subset=["text", "lang"])
-    found = tagged.groupBy("lang").count().where(F.col("count") >= LEAST_TEXTS).orderBy(F.desc("count"), "lang")
-    counts = {r["lang"]: r["count"] for r in found.limit(LANGUAGES).collect()}
+    # tags have two or three letters: so many rows at most
+    counts = {r["lang"]: r["count"] for r in tagged.groupBy("lang").count().collect()}
     languages = sorted(counts)
     if not languages:
-        return Model([], np.zeros((0, CELLS + 1)))
+        return Model([], np.zeros((0, CELLS + 1), np.float32))
     place = {language: i for i, language in enumerate(languages)}
     chance = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20))
-    share = F.coalesce(*(F.when(F.col("lang") == x, F.lit(math.ceil((1 << 20) * min(1, sample / n)))) for x, n in counts.items()))
+    shares = [math.ceil((1 << 20) * min(1, sample / counts[x])) for x in languages]
+    share = F.element_at(F.map_from_arrays(F.lit(languages), F.lit(shares)), F.col("lang"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(languages), CELLS + 1), np.int64)
+        totals: dict[int, np.ndarray] = {}
+
+        def held() -> Iterator[pa.RecordBatch]:
+            for language, total in totals.items():
+                cell = np.flatnonzero(total)
+                columns = (np.full(len(cell), language, np.int32), cell.astype(np.int32), total[cell])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["language", "cell", "n"])
+            totals.clear()
+
         for batch in batches:
             tags = iter(batch.column("lang").to_pylist())
             for texts in _chunks(batch.column("text")):
                 cells, begins = _cells(texts)
                 ends = np.append(begins[1:], len(cells))
                 for lo, hi in zip(begins, ends, strict=True):
-                    total[place[next(tags)]] += np.bincount(cells[lo:hi], minlength=CELLS + 1)
-        language, cell = np.nonzero(total)
-        columns = (language.astype(np.int32), cell.astype(np.int32), total[language, cell])
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["language", "cell", "n"])
+                    language = place[next(tags)]
+                    if language not in totals:
+                        if len(totals) == HELD:
+                            yield from held()
+                        totals[language] = np.zeros(CELLS + 1, np.int64)
+                    totals[language] += np.bincount(cells[lo:hi], minlength=CELLS + 1)
+        yield from held()
 
     rows = tagged.where(chance < share).select("text", "lang").mapInArrow(count, "language int, cell int, n long")
     # at most languages x cells rows
-    sums = rows.groupBy("language", "cell").agg(F.sum("n").alias("n")).toArrow().to_pydict()
-    total = np.zeros((len(languages), CELLS + 1))
-    total[sums["language"], sums["cell"]] = sums["n"]
-    seen = total[:, :CELLS]
-    table = np.log((seen + 0.1) / (seen.sum(axis=1, keepdims=True) + 0.1 * CELLS))
-    return Model(languages, np.hstack([table, np.zeros((len(languages), 1))]))
+    sums = rows.where(F.col("cell") < CELLS).groupBy("language", "cell").agg(F.sum("n").alias("n")).toArrow()
+    language, cell, n = (sums.column(c).to_numpy() for c in ("language", "cell", "n"))
+    known, row = np.unique(language, return_inverse=True)
+    table = np.zeros((len(known), CELLS + 1), np.float32)
+    for i in range(len(known)):
+        seen = np.zeros(CELLS)
+        seen[cell[row == i]] = n[row == i]
+        table[i, :CELLS] = np.log((seen + 0.1) / (seen.sum() + 0.1 * CELLS))
+    return Model([languages[i] for i in known], table)
 
 
 def likelihoods(text: Column, model: Model) -> Column:
@@ -140,7 +156,7 @@ def likelihoods(text: Column, model: Model) -> Column:
             parts = []
             for texts in _chunks(batch):
                 cells, begins = _cells(texts)
-                parts.append(WEIGHT * np.stack([np.add.reduceat(t[cells], begins) for t in tables], axis=1))
+                parts.append(WEIGHT * np.stack([np.add.reduceat(t[cells], begins, dtype=np.float64) for t in tables], axis=1))
             rows = np.concatenate(parts) if parts else np.zeros((0, len(tables)))
             ends = np.arange(len(rows) + 1, dtype=np.int32) * len(tables)
             yield pa.ListArray.from_arrays(pa.array(ends), pa.array(rows.ravel()))
@@ -174,7 +190,8 @@ def identify(rows: DataFrame, model: Model, hosts: list[str], evidence: list[str
     """Posterior languages of `rows`: `id`, `text`, columns of `evidence`, and `hosts` from the widest to the narrowest.
 
     One row per row: `id`, the evidence, `language`, `posterior`, `kept`. A row is rejected if no language reaches
-    half of the posterior, or if its text is in none of the known ones or has no letter. Null
+    half of the posterior, or if its text is in none of the known ones or has no letter. A row with letters whose
+    `declared` language has no model keeps that language; its posterior is null. Null
     evidence says nothing, a null host has its parent's prior. Equal ids keep their rows.
     """
     small_batches(rows.sparkSession)
@@ -202,12 +219,15 @@ def identify(rows: DataFrame, model: Model, hosts: list[str], evidence: list[str
     best = F.array_max("post")
     language = F.get(F.lit(languages), F.array_position("post", best).cast("int") - 1)
     spoken = F.exists("text_log", lambda x: x != 0)
+    other = F.lit(False)
+    if "declared" in evidence:
+        other = spoken & F.col("declared").isNotNull() & ~F.array_contains(F.lit(languages), F.coalesce("declared", F.lit("")))
     return found.select(
         "id",
         *evidence,
-        language.alias("language"),
-        best.alias("posterior"),
-        (spoken & (language != UNKNOWN) & (best >= LEAST_POSTERIOR)).alias("kept"),
+        (F.when(other, F.col("declared")).otherwise(language) if "declared" in evidence else language).alias("language"),
+        F.when(~other, best).alias("posterior"),
+        (other | (spoken & (language != UNKNOWN) & (best >= LEAST_POSTERIOR))).alias("kept"),
     )
 
 

@@ -81,6 +81,31 @@ def test_evidence_is_fused(spark):
     assert found["none"].language == "bb" and not found["none"].kept
 
 
+def test_every_declared_language_is_modelled(spark):
+    chance = random.Random(7)
+    tags = [a + b for a in "ghijklmno" for b in "abcdefgh"]
+    alphabet = {t: [chr(0x4E00 + 3 * i), chr(0x4E01 + 3 * i), chr(0x4E02 + 3 * i)] for i, t in enumerate(tags)}
+    words = lambda t: " ".join("".join(chance.choices(alphabet[t], k=4)) for _ in range(30))
+    # the last one has two texts only; one text more of each is not declared
+    rows = [(t, words(t), t) for i, t in enumerate(tags) for _ in range(2 if i == len(tags) - 1 else 5)]
+    rows += [(t, words(t), None) for t in tags]
+    docs = spark.createDataFrame([(i, x, d, "src0", 0) for i, (_, x, d) in enumerate(rows)], SCHEMA)
+    model = language.fit(docs)
+    assert model.languages == sorted(tags) and model.table.dtype == np.float32
+    found = language.document_languages(docs).collect()
+    assert all(r.language == rows[r.doc_id][0] and r.kept for r in found)
+
+
+def test_a_declared_language_without_a_model_is_kept(spark):
+    docs, _ = corpus(spark)
+    model = language.fit(docs)
+    rows = [("x", text_in("aa", 30, random.Random(1)), "zz"), ("y", "12 34", "zz"), ("z", text_in("aa", 30, random.Random(2)), None)]
+    frame = spark.createDataFrame([(*r, "h") for r in rows], "id string, text string, declared string, host string")
+    found = {r.id: r for r in language.identify(frame, model, ["host"], ["declared"]).collect()}
+    assert (found["x"].language, found["x"].kept, found["x"].posterior) == ("zz", True, None)
+    assert not found["y"].kept and (found["z"].language, found["z"].kept) == ("aa", True)
+
+
 def test_pages(spark):
     docs, _ = corpus(spark)
     model = language.fit(docs)
