@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import bpe, language, mixing, phrases, quality, secret_scan, simhash, toxicity, unigram, warc
+from pulsegrid.llm import bpe, language, merkle, mixing, phrases, quality, secret_scan, simhash, toxicity, unigram, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -83,3 +83,8 @@ def pages_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     return unigram.token_counts(_table(spark, sf_dir, "documents"), path)
+
+
+@_query("op11_merkle_manifest", merkle.manifest_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_documents(_table(spark, sf_dir, "documents"))
