@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import bpe, language, merkle, mixing, phrases, quality, secret_scan, simhash, toxicity, unigram, warc
+from pulsegrid.llm import alignment, bpe, language, merkle, mixing, phrases, quality, secret_scan, simhash, toxicity, unigram, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,3 +88,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op11_merkle_manifest", merkle.manifest_sql())
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified_documents(_table(spark, sf_dir, "documents"))
+
+
+@_query("op12_cross_tokenizer_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    byte_path, piece_path = paths
+    docs = _table(spark, sf_dir, "documents")
+    return alignment.digests(alignment.aligned_documents(docs, byte_path, public_tokenizers.PATTERN, piece_path))
