@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from pulsegrid.llm.batches import small_batches
+from pulsegrid.llm.batches import small_batches, small_bytes
 from pulsegrid.llm.packs import PACK_BYTES, gathered, rows, squeezed, unsqueezed
 from pulsegrid.llm.perfect_hash import PerfectHash
 from pulsegrid.session import materialise
@@ -30,7 +30,7 @@ from pulsegrid.session import materialise
 #: Buckets that the first ids are dealt to, and children of a node when vectors are summed.
 BUCKETS, TREE = 256, 64
 #: Pairs of tokens that are written out at a time. A group with more links is counted by its distinct ids.
-LINKS = 1 << 20
+LINKS = 1 << 17
 
 #: Blanks in a row that tiktoken's expressions run out of stack at; the slower tokenizers library takes such texts.
 BLANKS = re.compile(r"\s{20000}")
@@ -39,7 +39,7 @@ TOKENS = pa.schema(
     [("ids", pa.list_(pa.int64())), ("n_a", pa.list_(pa.int64())), ("n_b", pa.list_(pa.int64())), ("a", pa.binary()), ("b", pa.binary())]
 )
 PAIRS = pa.schema([("pack", pa.int64()), ("bucket", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary())])
-ANSWERS = pa.schema([("pack", pa.int64()), ("bucket", pa.int32()), ("counts", pa.binary()), ("best", pa.binary())])
+ANSWERS = pa.schema([("pack", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), ("best", pa.binary())])
 OUT = pa.schema(
     [("doc_id", pa.int64()), *((n, pa.int64()) for n in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")), ("groups", pa.string())]
 )
@@ -100,6 +100,13 @@ class ByteTokens:
         return self.slow.encode(text, add_special_tokens=False).ids
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """One row at a time: they are large."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _kind(size: int) -> type:
     return np.uint16 if size <= 1 << 16 else np.uint32
 
@@ -107,6 +114,11 @@ def _kind(size: int) -> type:
 # ---- a pack -------------------------------------------------------------
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.diff(values, prepend=values[:1] + np.uint64(1)) != 0]
+
+
 def _starts(counts: np.ndarray) -> np.ndarray:
     return np.cumsum(counts) - counts
 
@@ -117,11 +129,11 @@ class Aligned:
     def __init__(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray):
         self.a, self.b, self.n_a, self.n_b = a.astype(np.int64), b.astype(np.int64), n_a, n_b
         self.width = size_b.size
-        ends_a, ends_b = np.cumsum(size_a[self.a]), np.cumsum(size_b[self.b])
-        meets = np.searchsorted(ends_b, ends_a)
-        self.last_a = ends_b[np.minimum(meets, ends_b.size - 1)] == ends_a if a.size else np.zeros(0, bool)
-        self.last_b = np.zeros(b.size, bool)
-        self.last_b[meets[self.last_a]] = True
+        ends_a, ends_b = np.cumsum(size_a[a]), np.cumsum(size_b[b])
+        marks = np.zeros(int(ends_a[-1]) + 1 if a.size else 1, np.uint8)
+        marks[ends_a] = 1
+        marks[ends_b] += 2
+        self.last_a, self.last_b = marks[ends_a] == 3, marks[ends_b] == 3
         self.group_a = np.cumsum(self.last_a) - self.last_a
         self.group_b = np.cumsum(self.last_b) - self.last_b
         # tokens of either side in a group, and the document of a group
@@ -164,11 +176,15 @@ class Aligned:
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct keys, ascending by bucket and key, and how many documents hold each."""
-        found = np.zeros(0, np.uint64)
+        found, more = np.zeros(0, np.uint64), []
         for doc, key, _ in self.links():
-            held = doc.astype(np.uint64) << np.uint64(32) | key.astype(np.uint64)
-            found = np.unique(np.concatenate([found, np.unique(held)]))
-        keys, docs = np.unique(found & np.uint64(0xFFFFFFFF), return_counts=True)
+            more.append(_distinct(doc.astype(np.uint64) << np.uint64(32) | key.astype(np.uint64)))
+            if sum(m.size for m in more) > max(found.size, 4 * LINKS):
+                found, more = _distinct(np.concatenate([found, *more])), []
+        found = _distinct(np.concatenate([found, *more]))
+        held = np.sort((found & np.uint64(0xFFFFFFFF)).astype(np.uint32))
+        first = np.flatnonzero(np.diff(held, prepend=held[:1] + np.uint32(1)))
+        keys, docs = held[first], np.diff(first, append=held.size)
         order = np.argsort(bucket(keys.astype(np.int64), self.width), kind="stable")
         return keys[order], docs[order]
 
@@ -201,6 +217,15 @@ def bucket(keys: np.ndarray, width: int) -> np.ndarray:
     return keys // width % BUCKETS
 
 
+def _packed(keys: np.ndarray) -> bytes:
+    """Ascending keys, by their differences."""
+    return squeezed(np.diff(keys.astype(np.uint32), prepend=np.uint32(0)))
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(unsqueezed(data, np.uint32), dtype=np.uint32)
+
+
 def _written(size_a: int, size_b: int) -> list[bytes]:
     return [b"%d%s" % (i, end) for n, ends in ((size_a, b",|"), (size_b, b",;")) for end in (ends[:1], ends[1:]) for i in range(n)]
 
@@ -251,19 +276,19 @@ def _climb(parts: DataFrame, n: int, join: Callable[[pa.Table], bytes]) -> DataF
 
 
 def _counted(pairs: DataFrame, n_packs: int, width: int) -> DataFrame:
-    """Counts of the pairs of every pack (`pack`, `bucket`, `counts`, `best`, in the order of its keys)."""
+    """Counts of the pairs of every pack: rows of `pack`, `keys`, `counts`, `best` in the order of the keys."""
     parts = -(-n_packs // TREE)
     dealt = pairs.withColumn("part", F.pmod(F.xxhash64("pack"), F.lit(parts)))
     hashed = pa.schema([("bucket", pa.int32()), ("hash", pa.binary()), ("keys", pa.binary())])
 
     def union(group: pa.Table) -> bytes:
-        found = [unsqueezed(k, np.uint32) for k in group.column("value").to_pylist()]
-        return squeezed(np.unique(np.concatenate(found)))
+        found = [_unpacked(k) for k in group.column("value").to_pylist()]
+        return _packed(np.unique(np.concatenate(found)))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b, data in zip(batch.column("bucket").to_pylist(), batch.column("value").to_pylist(), strict=True):
-                keys = unsqueezed(data, np.uint32)
+                keys = _unpacked(data)
                 function = PerfectHash.build(keys)
                 placed = np.empty_like(keys)
                 placed[function(keys)] = keys
@@ -290,7 +315,7 @@ def _counted(pairs: DataFrame, n_packs: int, width: int) -> DataFrame:
         known = unsqueezed(table.column("keys")[0].as_py(), np.uint32)
         dense = np.zeros(known.size, np.int64)
         for keys, docs in zip(mine.column("keys").to_pylist(), mine.column("docs").to_pylist(), strict=True):
-            dense[numbers(function, known, unsqueezed(keys, np.uint32))] += unsqueezed(docs, np.uint32)
+            dense[numbers(function, known, _unpacked(keys))] += unsqueezed(docs, np.uint32)
         return pa.Table.from_batches([rows(vectors, [(key[0].as_py(), key[1].as_py(), squeezed(dense))])])
 
     def add(group: pa.Table) -> bytes:
@@ -313,8 +338,8 @@ def _counted(pairs: DataFrame, n_packs: int, width: int) -> DataFrame:
         best = counts == most[first]
         out = []
         for pack, keys in zip(mine.column("pack").to_pylist(), mine.column("keys").to_pylist(), strict=True):
-            places = numbers(function, known, unsqueezed(keys, np.uint32))
-            out.append((pack, row["bucket"], squeezed(counts[places]), squeezed(best[places])))
+            places = numbers(function, known, _unpacked(keys))
+            out.append((pack, keys, squeezed(counts[places]), squeezed(np.packbits(best[places]))))
         return pa.Table.from_batches([rows(ANSWERS, out)])
 
     return by_part(dealt).cogroup(by_part(table.select("*", every_part))).applyInArrow(look_up, _ddl(ANSWERS))
@@ -329,6 +354,7 @@ def aligned_documents(docs: DataFrame, byte_path: str, pattern: str, piece_path:
     has no tokens: zeros and ''. Null and repeated ids keep their rows; other columns are ignored.
     """
     small_batches(docs.sparkSession)
+    small_bytes(docs.sparkSession)
     with open(byte_path, encoding="utf-8") as file:
         tokenizer = file.read()
     bytes_a = byte_vocabulary(tokenizer)
@@ -346,36 +372,31 @@ def aligned_documents(docs: DataFrame, byte_path: str, pattern: str, piece_path:
         return Aligned(unsqueezed(row["a"], kind_a), unsqueezed(row["b"], kind_b), *numbers, size_a, size_b)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                keys, docs = aligned(row).pairs()
-                of = bucket(keys.astype(np.int64), width)
-                cuts = [*np.flatnonzero(np.diff(of, prepend=-1)).tolist(), keys.size]
-                out = [
-                    (row["pack"], int(of[i]), squeezed(keys[i:j].astype(np.uint32)), squeezed(docs[i:j].astype(np.uint32)))
-                    for i, j in zip(cuts, cuts[1:])
-                ]
-                yield rows(PAIRS, out)
+        for row in _rows(batches):
+            keys, docs = aligned(row).pairs()
+            of = bucket(keys.astype(np.int64), width)
+            cuts = [*np.flatnonzero(np.diff(of, prepend=-1)).tolist(), keys.size]
+            out = [
+                (row["pack"], int(of[i]), _packed(keys[i:j]), squeezed(docs[i:j].astype(np.uint32)))
+                for i, j in zip(cuts, cuts[1:])
+            ]
+            yield rows(PAIRS, out)
 
     found = materialise(tokens.mapInArrow(pairs, _ddl(PAIRS)), "pairs")
     n_packs = max(1, tokens.count())
-    answers = _counted(found, n_packs, width)
-    own = found.select("pack", "bucket", "keys").join(answers, ["pack", "bucket"])
-    listed = own.groupBy("pack").agg(F.collect_list(F.struct("keys", "counts", "best")).alias("known"))
+    listed = _counted(found, n_packs, width).groupBy("pack").agg(F.collect_list(F.struct("keys", "counts", "best")).alias("known"))
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         written = _written(len(bytes_a), len(bytes_b))
-        for batch in batches:
-            for row in batch.to_pylist():
-                pack = aligned(row)
-                known = row["known"] or []
-                kinds = {"keys": np.uint32, "counts": np.int64, "best": bool}
-                columns = (
-                    np.concatenate([np.zeros(0, kind), *(unsqueezed(k[c], kind) for k in known)]) for c, kind in kinds.items()
-                )
-                sums = pack.sums(*columns)
-                numbers = (c.tolist() for c in (pack.n_a, pack.n_b, pack.n_groups, *sums))
-                yield rows(OUT, [*zip(row["ids"], *numbers, pack.texts(written), strict=True)])
+        for row in _rows(batches):
+            pack = aligned(row)
+            known = row["known"] or []
+            keys = [_unpacked(k["keys"]) for k in known]
+            counts = [unsqueezed(k["counts"], np.int64) for k in known]
+            best = [np.unpackbits(unsqueezed(k["best"], np.uint8), count=n.size).astype(bool) for k, n in zip(known, keys)]
+            sums = pack.sums(*(np.concatenate([np.zeros(0, t), *c]) for t, c in ((np.uint32, keys), (np.int64, counts), (bool, best))))
+            numbers = (c.tolist() for c in (pack.n_a, pack.n_b, pack.n_groups, *sums))
+            yield rows(OUT, [*zip(row["ids"], *numbers, pack.texts(written), strict=True)])
 
     return tokens.join(listed, "pack", "left").mapInArrow(again, _ddl(OUT))
 
