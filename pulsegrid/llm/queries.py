@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrid.llm import alignment, bpe, language, merkle, mixing, phrases, quality, secret_scan, simhash, toxicity, unigram, warc
+from pulsegrid.llm import alignment, bpe, language, merkle, mixing, phrases, quality, repeats, secret_scan, simhash, toxicity, unigram, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -96,3 +96,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     byte_path, piece_path = paths
     docs = _table(spark, sf_dir, "documents")
     return alignment.digests(alignment.aligned_documents(docs, byte_path, public_tokenizers.PATTERN, piece_path))
+
+
+@_query("op13_suffix_array_dedup")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removal_report(repeats.without_repeats(_table(spark, sf_dir, "documents")))
