@@ -29,9 +29,9 @@ from pulsegrid.session import materialise
 #: Bytes of a window, of a gram, and of the shorter grams whose least hash picks one.
 WIDTH, GRAM, SHORT = 50, 32, 13
 #: Windows handled at a time.
-BLOCK = 1 << 18
+BLOCK = 1 << 16
 #: Bytes of text whose grams, and whose pieces, one bucket gets; buckets that any number of texts may have.
-GRAM_BYTES, PIECE_BYTES, BUCKETS = 1 << 20, 8 << 20, 512
+GRAM_BYTES, PIECE_BYTES, BUCKETS = 1 << 20, 16 << 20, 512
 #: A gram with more unlike pieces, counted by pack, is dealt by whole windows.
 HOT = 20_000
 #: What a null id counts as: no document's id is larger.
@@ -49,8 +49,15 @@ OUT_DDL = "doc_id bigint, n_bytes bigint, spans array<struct<start: bigint, end:
 _FIRST, _SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
+def _joined(h: np.ndarray, step: int) -> np.ndarray:
+    """Hashes of two neighbours `step` apart from hashes of each: a polynomial, cheap to extend."""
+    out = h[:-step] * (_FIRST ^ np.uint64(step << 1))
+    out += h[step:]
+    return out
+
+
 def _mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Hashes of pairs."""
+    """Hashes of pairs whose every bit counts."""
     z = left * _FIRST
     z += right
     z ^= z >> np.uint64(32)
@@ -70,43 +77,54 @@ class Pieces:
         self.start, self.windows, self.gram, self.name = (np.concatenate(c) for c in columns)
         self.doc = np.searchsorted(self.ends, self.start, side="right")
 
-    def _windows(self, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of a block's windows: place of the gram, hashes of the grams in the block, of the windows, and which lie in one text."""
+    def _windows(self, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of a block's windows: place of the gram, hashes of eight bytes anywhere in the block, and which windows lie in one text."""
         data = self.body[at:at + BLOCK + WIDTH - 1]
         n = data.size - WIDTH + 1
-        h = data.astype(np.uint64) + np.uint64(1)
+        h = data.astype(np.uint64)
+        h += np.uint64(1)
         for step in (1, 2, 4):
-            h = _mixed(h[:-step], h[step:])
-        short = _mixed(h[:8 - SHORT], h[SHORT - 8:])
-        h = _mixed(h[:-8], h[8:])
-        gram = _mixed(h[:-16], h[16:])
-        window = _mixed(gram[:GRAM - WIDTH], gram[WIDTH - GRAM:])
+            h = _joined(h, step)
+        short = _joined(h, SHORT - 8)
+        short ^= short >> np.uint64(29)
+        short *= _SECOND
+        short >>= np.uint64(32)
         # leftmost least hash of the short grams of each window, doubling
         count, span = WIDTH - SHORT + 1, 1
-        least, offset = short, np.zeros(short.size, np.uint8)
+        least, offset = short.astype(np.uint32), np.zeros(short.size, np.uint8)
         while span < count:
             step = min(span, count - span)
-            right = least[step:] < least[:-step]
-            offset = np.where(right, offset[step:] + np.uint8(step), offset[:-step])
-            least = np.minimum(least[:-step], least[step:])
+            left, right = least[:-step], least[step:]
+            offset = np.where(right < left, offset[step:] + np.uint8(step), offset[:-step])
+            least = np.minimum(left, right)
             span += step
-        place = np.arange(n) + offset % np.uint8(WIDTH - GRAM + 1)
+        offset %= np.uint8(WIDTH - GRAM + 1)
+        place = np.arange(n, dtype=np.int32)
+        place += offset
         # windows that start in the last bytes of a text reach into the next
-        edge = np.zeros(n + 1, np.int64)
-        for bounds, sign in ((np.maximum(self.ends - WIDTH + 1, self.ends - self.sizes), 1), (self.ends, -1)):
-            np.add.at(edge, np.clip(bounds - at, 0, n), sign)
-        return place, gram, window, np.cumsum(edge[:-1]) == 0
+        edge = np.zeros(n + 1, np.int16)
+        first, last = np.searchsorted(self.ends, (at, at + n + WIDTH), side="right")
+        ends = self.ends[first:last + 1]
+        for bounds, sign in ((np.maximum(ends - WIDTH + 1, ends - self.sizes[first:last + 1]), 1), (ends, -1)):
+            edge += sign * np.bincount(np.clip(bounds - at, 0, n), minlength=n + 1).astype(np.int16)
+        return place, h, np.cumsum(edge[:-1], dtype=np.int16) == 0
 
     def _block(self, at: int) -> tuple[np.ndarray, ...]:
-        place, gram, window, whole = self._windows(at)
-        kept = np.flatnonzero(whole)
-        place = place[kept]
-        new = np.ones(kept.size, bool)
-        new[1:] = (np.diff(place) != 0) | (np.diff(kept) != 1)
-        first = np.flatnonzero(new)
-        n = np.diff(first, append=kept.size)
-        start, end = kept[first], kept[first + n - 1] if n.size else first
-        return start + at, n, gram[place[first]], _mixed(window[start], window[end] + n.astype(np.uint64))
+        place, h, whole = self._windows(at)
+        new = np.ones(place.size, bool)
+        np.not_equal(place[1:], place[:-1], out=new[1:])
+        new[1:] |= whole[1:] != whole[:-1]
+        start = np.flatnonzero(new)
+        n = np.diff(start, append=place.size)
+        kept = whole[start]
+        start, n = start[kept], n[kept]
+
+        def gram(places: np.ndarray) -> np.ndarray:
+            pairs = (_mixed(h[places + i], h[places + i + 8]) for i in (0, 16))
+            return _mixed(*pairs)
+
+        end = start + n + WIDTH - 1 - GRAM  # of the last gram inside the piece
+        return start + at, n, gram(place[start]), _mixed(gram(start), gram(end) + n.astype(np.uint64))
 
 
 class Requests:

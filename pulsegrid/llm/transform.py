@@ -19,12 +19,18 @@ END = 0xFF
 MOST = 250
 
 
+_PLACES = np.arange(1 << 16, dtype=np.uint32)
+# END, the last symbol, is never looked for: its segment may end with the largest number
+_BOUNDS = np.append(np.arange(256, dtype=np.uint32) << np.uint32(24), np.uint32(0xFFFFFFFF))
+
+
 def _least(values: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """Least value in each of [start, stop); starts and stops ascend."""
+    """Least value in each of [start, stop); starts and stops ascend and lie before the end of `values`."""
     if not starts.size:
         return np.zeros(0, np.int64)
-    bounds = np.stack([starts, stops], 1).ravel()
-    return np.minimum.reduceat(np.append(values, 0), bounds)[::2].astype(np.int64)
+    bounds = np.empty(2 * starts.size, np.int64)
+    bounds[::2], bounds[1::2] = starts, stops
+    return np.minimum.reduceat(values, bounds)[::2].astype(np.int64)
 
 
 class Collection:
@@ -78,26 +84,24 @@ class Collection:
             old, prefixes = (self._read(f, int(self.lengths[s])) for f in (self.symbols, self.shared))
             n = old.size + bounds[s + 1] - bounds[s]
             at = place[mine]
+            now, lengths = old, prefixes
             if at.size:
-                is_new = np.zeros(n, bool)
-                is_new[at] = True
-                now, lengths = np.empty(n, np.uint8), np.empty(n, np.uint8)
-                is_old = ~is_new
-                now[at], now[is_old], lengths[is_old] = symbol[mine], old, prefixes
+                is_old = np.ones(n, bool)
+                is_old[at] = False
+                # one more at the end, so that bounds of a range may lie behind the last
+                now, lengths = np.empty(n, np.uint8), np.zeros(n + 1, np.uint8)
+                now[is_old], lengths[:n][is_old] = old, prefixes
+                now[at] = symbol[mine]
                 # a suffix behind a new one shares with it; where that is new too, its own value is the same
-                follows = at + 1 < n
-                lengths[at[follows] + 1] = behind[mine][follows]
+                lengths[at + 1] = behind[mine]
                 lengths[at] = before[mine]
-                lengths[0] = 0
-                counts = np.bincount(now, minlength=256)
-                found.append(self._next(now, counts, lengths, at, symbol[mine], strings[mine], held))
+                lengths[0] = lengths[n] = 0
+                found.append(self._next(now, lengths, at, symbol[mine], strings[mine], held))
             else:
-                now, lengths = old, prefixes
-                counts = np.bincount(now, minlength=256)
-            held += counts
+                held += np.bincount(now, minlength=256)
             self.lengths[s] = n
             files[0].write(now)
-            files[1].write(lengths)
+            files[1].write(lengths[:n])
         self.close()
         self.symbols, self.shared = files
         columns = [np.concatenate(c) for c in zip(*found, strict=True)]
@@ -105,14 +109,17 @@ class Collection:
         order = np.argsort(columns[1], kind="stable")
         return tuple(c[order] for c in columns)
 
-    def _next(self, now, counts, lengths, at, symbol, strings, held) -> tuple[np.ndarray, ...]:
-        """For the new suffixes of a segment: the suffixes one symbol longer, and where they go."""
+    def _next(self, now, lengths, at, symbol, strings, held) -> tuple[np.ndarray, ...]:
+        """For the new suffixes of a segment: the suffixes one symbol longer, and where they go. Adds its symbols to `held`."""
         # the places of a segment, ordered by symbol
         kind, bits = (np.uint32, 24) if now.size < 1 << 24 else (np.uint64, 40)
-        ordered = now.astype(kind) << kind(bits) | np.arange(now.size, dtype=kind)
+        ordered = now.astype(kind)
+        ordered <<= kind(bits)
+        ordered |= _PLACES[:now.size] if now.size <= _PLACES.size else np.arange(now.size, dtype=kind)
         ordered.sort()
         mask = kind((1 << bits) - 1)
-        starts = np.cumsum(counts) - counts
+        bounds = np.searchsorted(ordered, np.arange(257, dtype=np.uint64) << np.uint64(bits) if bits > 24 else _BOUNDS)
+        starts, counts = bounds[:-1], np.diff(bounds)
         goes = symbol != END
         at, symbol, strings = at[goes], symbol[goes], strings[goes]
         rank = np.searchsorted(ordered, symbol.astype(kind) << kind(bits) | at.astype(kind))
@@ -124,6 +131,7 @@ class Collection:
         following = (ordered[rank[~last] + 1] & mask).astype(np.int64)
         behind[~last] = 1 + _least(lengths, at[~last] + 1, following + 1)
         place = held[symbol] + rank - starts[symbol]
+        held += counts
         return strings, symbol.astype(np.int64) + 1, place, np.minimum(before, MOST), np.minimum(behind, MOST)
 
     def arrays(self) -> tuple[np.ndarray, np.ndarray]:
