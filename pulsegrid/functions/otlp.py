@@ -29,10 +29,15 @@ CUMULATIVE = 2
 
 
 def _nested(array: Column, body: Callable[[Column], Column]) -> Column:
-    """Map then flatten; missing inner arrays count as empty."""
+    """Map then flatten; missing inner arrays and elements that could not be read count as empty."""
     return F.flatten(F.array_compact(F.transform(array, body)))
 
 
+def _each(array: Column, body: Callable[[Column], Column]) -> Column:
+    """Map the elements that could be read."""
+    return F.transform(F.array_compact(array), body)
+
+
 def _with(record: Column, names: list[str], **more: Column) -> Column:
     return F.struct(
         *[record[n].alias(n) for n in names], *[c.alias(n) for n, c in more.items()]
@@ -125,9 +130,7 @@ def log_features(resource_logs: Column, ts: Column, resource_source: bool = Fals
         resource_logs,
         lambda entry: _nested(
             entry["scopeLogs"],
-            lambda scope: F.transform(
-                scope["logRecords"], lambda record: read(record, entry["resource"])
-            ),
+            lambda scope: _each(scope["logRecords"], lambda record: read(record, entry["resource"])),
         ),
     )
     return F.transform(
@@ -212,7 +215,7 @@ def span_features(resource_spans: Column, ts: Column) -> Column:
         resource_spans,
         lambda entry: _nested(
             entry["scopeSpans"],
-            lambda scope: F.transform(scope["spans"], lambda span: read(span, entry["resource"])),
+            lambda scope: _each(scope["spans"], lambda span: read(span, entry["resource"])),
         ),
     )
     return F.transform(
@@ -311,7 +314,7 @@ def metric_features(resource_metrics: Column, ts: Column) -> Column:
             entry["scopeMetrics"],
             lambda scope: _nested(
                 scope["metrics"],
-                lambda metric: F.transform(
+                lambda metric: _each(
                     _by_kind(metric, lambda m: m["dataPoints"], METRIC_KINDS),
                     lambda point: read(point, metric, entry["resource"]),
                 ),

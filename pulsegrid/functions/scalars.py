@@ -8,18 +8,29 @@ from pyspark.sql import functions as F
 # ---- JSON ---------------------------------------------------------------
 
 
-def is_json_object(text: Column) -> Column:
-    """True when the whole text is one JSON object, strictly read, repeated keys allowed.
+def json_object(text: Column) -> Column:
+    """The text as a variant if all of it is one JSON object, strictly read, repeated keys allowed; else NULL.
 
-    A strict parser reads one value and stops behind it, so the text is read as the one element
-    of a list and as the one member of an object: what follows the value can close one of them, not
-    both.
+    A parser reads one value and stops behind it, so the text is read once as the first element of a list
+    whose second is a hash of the text: only where the text is exactly one value does the hash come
+    second.
     """
-    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    member = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    kind = F.schema_of_variant(F.try_variant_get(listed, "$[0]", "variant"))
-    alone = F.try_variant_get(listed, "$[1]", "variant").isNull()
-    return F.coalesce(member.isNotNull() & alone & F.startswith(kind, F.lit("OBJECT")), F.lit(False))
+    seal = F.xxhash64(text)
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), seal.cast("string"), F.lit("]")))
+    # the parsed list is looked at twice, so it is bound to a name
+    sealed = F.transform(
+        F.array(listed),
+        lambda v: F.when(
+            F.equal_null(F.try_variant_get(v, "$[1]", "bigint"), seal) & text.rlike(r"^[ \t\r\n]*\{"),
+            F.try_variant_get(v, "$[0]", "variant"),
+        ),
+    )
+    return F.get(sealed, F.lit(0))
+
+
+def is_json_object(text: Column) -> Column:
+    """Whether the whole text is one JSON object, see `json_object`."""
+    return json_object(text).isNotNull()
 
 
 def is_filled(document: Column) -> Column:

@@ -7,24 +7,80 @@ from pyspark.sql import functions as F
 
 from pulsegrid import schemas
 from pulsegrid.functions import otlp
-from pulsegrid.functions.scalars import is_json_object
+from pulsegrid.functions.scalars import is_json_object, json_object
+from pulsegrid.functions.unreadable import unreadable
 
 # Top-level key of each signal in a message.
 SIGNAL_KEYS = {"logs": "resourceLogs", "traces": "resourceSpans", "metrics": "resourceMetrics"}
 
 
+#: What could not be read of a message: the whole of it ('$') or an element of a list.
+PROBLEM = "struct<signal:string,path:string,reason:string,raw:string>"
+
+
+def _documents(messages: DataFrame) -> DataFrame:
+    """Messages with their value as a variant `_doc`, NULL where it is not one JSON object.
+
+    A generated column is computed once: whatever reads it later, a message is parsed here only.
+    """
+    return messages.select("*", F.explode(F.array(json_object(F.col("value")))).alias("_doc"))
+
+
+def _resources(signal: str, lists: dict[str, str] = schemas.RESOURCE_LISTS) -> Column:
+    """The signal's list of resources; elements of the wrong kind are NULL, the others whole."""
+    key = SIGNAL_KEYS[signal]
+    return F.try_variant_get("_doc", f"$.{key}", lists[key])
+
+
 def parse(
     messages: DataFrame,
     signals: tuple[str, ...] = tuple(SIGNAL_KEYS),
     resource_source: bool = False,
 ) -> DataFrame:
-    """Add the feature arrays `logs`, `traces`, `metrics`, or only those in `signals`.
+    """Messages whose value is one JSON object, with the feature arrays `logs`, `traces`, `metrics`, or those in `signals`.
 
-    An array is NULL when the message does not carry the signal.
+    An array is NULL when the message does not carry the signal. Elements that cannot be read are
+    left out, one by one; `read` lists them.
     """
-    envelope = messages.withColumn("_envelope", F.from_json("value", schemas.ENVELOPE))
-    arrays = [_features(s, F.col(f"_envelope.{SIGNAL_KEYS[s]}"), resource_source) for s in signals]
-    return envelope.select(*messages.columns, *arrays)
+    arrays = [_features(s, _resources(s), resource_source) for s in signals]
+    return _documents(messages).filter("_doc IS NOT NULL").select(*messages.columns, *arrays)
+
+
+def read(messages: DataFrame, signals: tuple[str, ...] = tuple(SIGNAL_KEYS), resource_source: bool = False) -> DataFrame:
+    """All messages with their feature arrays and `problems`, a list of PROBLEM; one parse a message.
+
+    A message that is not one JSON object has no arrays and one problem.
+    """
+    lists = _documents(messages).select("*", *[_resources(s).alias(f"_{s}") for s in signals])
+    arrays = [_features(s, F.col(f"_{s}"), resource_source) for s in signals]
+    return lists.select(*messages.columns, *arrays, _problems(signals))
+
+
+def _problems(signals: tuple[str, ...]) -> Column:
+    value = F.col("value")
+    text = F.trim(value)
+    reason = (
+        F.when(value.isNull() | (text == ""), "empty")
+        .when(text.rlike(r"^[\[\"]") | text.try_cast("double").isNotNull(), "not an object")
+        .when(text.isin("null", "true", "false"), "not an object")
+        .otherwise("malformed")
+    )
+    nothing = F.lit(None).cast("string")
+    whole = F.struct(nothing.alias("signal"), F.lit("$").alias("path"), reason.alias("reason"), value.alias("raw"))
+    parts = F.concat(*[unreadable(F.col("_doc"), s, SIGNAL_KEYS[s], F.col(f"_{s}")) for s in signals])
+    return F.when(F.col("_doc").isNull(), F.array(whole)).otherwise(parts).cast(f"array<{PROBLEM}>").alias("problems")
+
+
+def readable(parsed: DataFrame) -> DataFrame:
+    """The messages of `read` that are one JSON object."""
+    whole = F.exists("problems", lambda p: p["path"] == "$")
+    return parsed.filter(~whole).drop("problems")
+
+
+def unread(parsed: DataFrame) -> DataFrame:
+    """The problems of `read`: topic, value (the text that could not be read), ts, seq, reason, signal, path."""
+    rows = parsed.select("topic", "ts", "seq", F.inline("problems"))
+    return rows.select("topic", F.col("raw").alias("value"), "ts", "seq", "reason", "signal", "path")
 
 
 def _features(signal: str, resources: Column, resource_source: bool = False) -> Column:
@@ -42,24 +98,22 @@ def parse_by_origin(messages: DataFrame) -> DataFrame:
     A service's signals may come in several topics; grouped by origin they meet. Entries
     without a service name have the origin 'unknown'.
     """
-    envelope = messages.withColumn("_envelope", F.from_json("value", schemas.ENVELOPE))
+    lists = _documents(messages).filter("_doc IS NOT NULL")
+    lists = lists.select(*messages.columns, *[_resources(s).alias(f"_{s}") for s in SIGNAL_KEYS])
 
     def entries(signal: str) -> Column:
         def alone(entry: Column) -> Column:
             origin = otlp.attribute(entry["resource"]["attributes"], otlp.SERVICE)
-            own = {
-                s: F.array(entry) if s == signal else F.when(F.lit(False), F.col(f"_envelope.{key}"))
-                for s, key in SIGNAL_KEYS.items()
-            }
+            own = {s: F.array(entry) if s == signal else F.when(F.lit(False), F.col(f"_{s}")) for s in SIGNAL_KEYS}
             return F.struct(
                 F.coalesce(origin, F.lit(otlp.UNKNOWN)).alias("origin"),
                 *[column.alias(s) for s, column in own.items()],
             )
 
-        return F.transform(F.col(f"_envelope.{SIGNAL_KEYS[signal]}"), alone)
+        return F.transform(F.array_compact(f"_{signal}"), alone)
 
     every = F.flatten(F.array_compact(F.array(*[entries(s) for s in SIGNAL_KEYS])))
-    rows = envelope.select(*messages.columns, F.explode_outer(every).alias("_entry"))
+    rows = lists.select(*messages.columns, F.explode_outer(every).alias("_entry"))
     rows = rows.filter("_entry IS NOT NULL").select(*messages.columns, "_entry.*")
     arrays = [_features(s, F.col(s)) for s in SIGNAL_KEYS]
     return rows.select(*messages.columns, "origin", *arrays)
@@ -83,19 +137,17 @@ def accepted(messages: DataFrame) -> DataFrame:
 
 
 def quarantined(messages: DataFrame) -> DataFrame:
-    """The rest, kept with a reason instead of being dropped."""
-    text = F.trim("value")
-    reason = (
-        F.when(F.col("value").isNull() | (text == ""), "empty")
-        .when(text.rlike(r"^[\[\"]") | text.try_cast("double").isNotNull(), "not an object")
-        .when(text.isin("null", "true", "false"), "not an object")
-        .otherwise("malformed")
-    )
-    return messages.filter(~is_json_object(F.col("value"))).withColumn("reason", reason)
+    """Whatever cannot be read, kept with a reason: whole messages (path '$') and single elements.
+
+    One row a problem: topic, value (the text in question), ts, seq, reason, signal, path.
+    """
+    shapes = [_resources(s, schemas.RESOURCE_SHAPES).alias(f"_{s}") for s in SIGNAL_KEYS]
+    lists = _documents(messages).select("*", *shapes)
+    return unread(lists.select("topic", "ts", "seq", _problems(tuple(SIGNAL_KEYS))))
 
 
 def _records(messages: DataFrame, signal: str, **options) -> DataFrame:
-    parsed = parse(accepted(messages), (signal,), **options)
+    parsed = parse(messages, (signal,), **options)
     return _exploded(parsed, F.col(signal))
 
 
@@ -132,4 +184,4 @@ def history_of(parsed: DataFrame) -> DataFrame:
 
 
 def history_table(messages: DataFrame) -> DataFrame:
-    return history_of(parse(accepted(messages)))
+    return history_of(parse(messages))

@@ -192,3 +192,82 @@ def messages(
     # every filter and parser that reads it
     value = F.explode(F.array(body)).alias("value")
     return source.select("topic", value, "ts", F.col("event_id").alias("seq"))
+
+
+# ---- messages with many resources, scopes and records, and elements of the wrong kind ------
+
+# Per signal: list of resources, of scopes, of records.
+_LISTS = {
+    "logs": ("resourceLogs", "scopeLogs", "logRecords"),
+    "traces": ("resourceSpans", "scopeSpans", "spans"),
+    "metrics": ("resourceMetrics", "scopeMetrics", "metrics"),
+}
+
+
+def _joined(items: Column) -> Column:
+    return _text("[", F.array_join(items, ","), "]")
+
+
+def _upto(last: Column) -> Column:
+    return F.sequence(F.lit(0).cast("bigint"), last)
+
+
+def _crowded_record(signal: str, i: Column, j: Column, k: Column) -> Column:
+    start = (F.unix_micros("ts") + k * 1_000_000) * 1000
+    if signal == "logs":
+        return _text(
+            '{"observedTimeUnixNano":"', start, '","severityNumber":', 9 + 4 * k,
+            ',"body":{"stringValue":"', i, ".", j, ".", k, '"}}',
+        )
+    if signal == "traces":
+        return _text(
+            '{"name":"', i, ".", j, ".", k, '","startTimeUnixNano":"', start,
+            '","endTimeUnixNano":', start + k * 1_000_000, "}",
+        )
+    points = F.transform(_upto(k), lambda n: _text('{"timeUnixNano":', start, ',"asDouble":', n, ".5}"))
+    return _text('{"name":"', i, ".", j, ".", k, '","gauge":{"dataPoints":', _joined(points), "}}")
+
+
+def crowded_resource(signal: str, i: Column, damaged: bool = False) -> Column:
+    """Entry `i` of an event's list of resources."""
+    _, scope_list, record_list = _LISTS[signal]
+    services = F.array(*[F.lit(s) for s in SERVICES])
+    attributes = _list(
+        _string_attribute("service.name", F.get(services, ((F.col("user_id") + i) % 5).cast("int"))),
+        _string_attribute("k8s.node.name", F.when((F.col("event_id") + i) % 3 == 0, "minikube").otherwise("worker")),
+    )
+    resource = _text('{"attributes":', attributes, "}")
+    kind = F.col("event_id") % 4
+    if damaged:
+        resource = F.when((kind == 3) & (i == 0), "[]").otherwise(resource)
+
+    def scope(j: Column) -> Column:
+        records = F.transform(_upto((F.col("event_id") + i + j) % 3), lambda k: _crowded_record(signal, i, j, k))
+        if damaged:
+            records = F.when(kind == 1, F.concat(F.array(F.lit("7")), records)).otherwise(records)
+        return _text('{"', record_list, '":', _joined(records), "}")
+
+    scopes = F.transform(_upto(F.col("event_id") % 2), scope)
+    if damaged:
+        scopes = F.when(kind == 2, F.concat(F.array(F.lit('"scope"')), scopes)).otherwise(scopes)
+    return _text('{"resource":', resource, ',"', scope_list, '":', _joined(scopes), "}")
+
+
+def crowded_messages(
+    source: DataFrame, signals: tuple[str, ...] = ("logs", "traces", "metrics"), damaged: bool = False
+) -> DataFrame:
+    """`topic, value, ts, seq` of every event, with up to three resources of up to two scopes of up to three records.
+
+    `damaged` puts the number 7 in front of the records of every fourth event, a text in front of the
+    scopes of others, a list in place of the first resource of others, and ends every fifth
+    event's resources with null.
+    """
+
+    def part(signal: str) -> Column:
+        entries = F.transform(_upto(F.col("event_id") % 3), lambda i: crowded_resource(signal, i, damaged))
+        if damaged:
+            entries = F.when(F.col("event_id") % 5 == 0, F.concat(entries, F.array(F.lit("null")))).otherwise(entries)
+        return _text('"', _LISTS[signal][0], '":', _joined(entries))
+
+    body = _text("{", F.concat_ws(",", *[part(s) for s in signals]), "}")
+    return source.select("topic", F.explode(F.array(body)).alias("value"), "ts", F.col("event_id").alias("seq"))

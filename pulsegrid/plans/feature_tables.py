@@ -19,7 +19,7 @@ from pulsegrid.operators.correlation import (
 )
 from pulsegrid.operators.history import ARRIVAL, STORED_ARRIVAL
 from pulsegrid.operators.joins import attach
-from pulsegrid.operators.messages import accepted, history_of, parse, quarantined
+from pulsegrid.operators.messages import history_of, read, readable, unread
 from pulsegrid.operators.running import (
     WINDOWS,
     enhanced_document,
@@ -59,9 +59,9 @@ def batch_bounds(messages: DataFrame) -> tuple[dt.datetime | None, dt.datetime |
 
 
 def parse_batch(messages: DataFrame) -> DataFrame:
-    """Accepted messages with their features, written once: history, correlation
-    and the documents all read from it, each only the columns it needs."""
-    return materialise(parse(accepted(messages)), "parsed")
+    """Messages with their features and problems, written once: history, correlation, the
+    documents and the quarantine all read from it, each only the columns it needs."""
+    return materialise(read(messages), "parsed")
 
 
 def correlation_document():
@@ -86,7 +86,8 @@ def build(
     default it is the batch alone. Pass `parsed` when parse_batch was already run.
     """
     window_start, window_end = bounds or batch_bounds(messages)
-    parsed = parse_batch(messages) if parsed is None else parsed
+    whole = parse_batch(messages) if parsed is None else parsed
+    parsed = readable(whole)
     alone = history is None
     if alone:
         history = history_of(parsed)
@@ -134,7 +135,7 @@ def build(
         group_rows=group_rows,
         arrival=ARRIVAL if alone else STORED_ARRIVAL,
     )
-    return FeatureTables(rows, aggregated, quarantined(messages), window_start, window_end)
+    return FeatureTables(rows, aggregated, unread(whole), window_start, window_end)
 
 
 def batch_summary(stored: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:

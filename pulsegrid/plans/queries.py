@@ -780,13 +780,157 @@ def f5(spark, sf):
     value = F.col("value")
     for rest, text in shapes.items():
         value = F.when(F.col("seq") % 5 == rest, F.lit(text)).otherwise(value)
-    parsed = messages.parse(messages.accepted(source(spark, sf, ("logs",)).withColumn("value", value)))
+    parsed = messages.parse(source(spark, sf, ("logs",)).withColumn("value", value))
     size = sum(F.coalesce(F.array_size(s), F.lit(0)) for s in ALL)
     return parsed.groupBy("topic").agg(
         F.count(F.lit(1)).alias("messages"), F.sum(size).alias("records")
     )
 
 
+# ---- many resources, scopes and records a message; elements of the wrong kind ---------------
+
+CROWD = """, crowd AS (
+  SELECT e.*, i, j, k, (['laravel','flask','node','app1','app2'])[1 + (user_id + i) % 5] AS origin,
+         i || '.' || j || '.' || k AS label,
+         row_number() OVER (PARTITION BY event_id ORDER BY i, j, k) - 1 AS pos
+  FROM e, unnest(range(event_id % 3 + 1)) AS a(i), unnest(range(event_id % 2 + 1)) AS b(j),
+       unnest(range((event_id + i + j) % 3 + 1)) AS c(k)
+)
+"""
+
+
+def _crowded(spark: SparkSession, sf: str, signals=ALL, damaged: bool = False) -> DataFrame:
+    return envelopes.crowded_messages(events(spark, sf), signals, damaged)
+
+
+_LOGS_OF_CROWD = CROWD + """SELECT topic, seq, pos, label AS body, 9 + 4 * k AS severity_number, (k = 2)::BIGINT AS bad,
+    us + k * 1000000 AS timestamp, {source} AS source FROM crowd"""
+
+
+def _crowd_logs(spark: SparkSession, sf: str, damaged: bool) -> DataFrame:
+    logs = messages.log_table(_crowded(spark, sf, ("logs",), damaged), resource_source=True)
+    bad = F.col("error").isNotNull().alias("bad")
+    return tidy(logs.select("topic", "seq", "pos", "body", "severity_number", bad, "timestamp", "source"))
+
+
+@query("f1_many_records", _LOGS_OF_CROWD.format(source="origin"))
+def f1_many(spark, sf):
+    return _crowd_logs(spark, sf, False)
+
+
+@query(
+    "f1_good_beside_bad",
+    _LOGS_OF_CROWD.format(source="CASE WHEN event_id % 4 = 3 AND i = 0 THEN 'unknown' ELSE origin END"),
+)
+def f1_good(spark, sf):
+    """Records beside unreadable ones, below unreadable resources and behind unreadable scopes all stay."""
+    return _crowd_logs(spark, sf, True)
+
+
+@query(
+    "f2_many_records",
+    CROWD
+    + """SELECT topic, seq, pos, label AS name, k::DOUBLE AS duration_ms, us + k * 1000000 AS start_time,
+    CASE WHEN event_id % 4 = 3 AND i = 0 THEN 'unknown' ELSE origin END AS source FROM crowd""",
+)
+def f2_many(spark, sf):
+    spans = messages.span_table(_crowded(spark, sf, ("traces",), damaged=True))
+    return tidy(spans.select("topic", "seq", "pos", "name", "duration_ms", "start_time", "source"), 3)
+
+
+@query(
+    "f3_many_records",
+    CROWD
+    + """SELECT topic, seq, row_number() OVER (PARTITION BY event_id ORDER BY i, j, k, n) - 1 AS pos, label AS name,
+    n + 0.5 AS value, us + k * 1000000 AS timestamp,
+    CASE WHEN event_id % 4 = 3 AND i = 0 THEN 'unknown' ELSE origin END AS source
+    FROM crowd, unnest(range(k + 1)) AS d(n)""",
+)
+def f3_many(spark, sf):
+    points = messages.metric_table(_crowded(spark, sf, ("metrics",), damaged=True))
+    return tidy(points.select("topic", "seq", "pos", "name", F.col("value"), "timestamp", "source"), 3)
+
+
+@query(
+    "h1_many_records",
+    CROWD
+    + """, sizes AS (SELECT event_id, count(*) AS n FROM crowd GROUP BY 1)
+    SELECT topic, seq, pos, 9 + 4 * k AS severity_number, length(label) AS body_length FROM crowd
+    UNION ALL SELECT topic, seq, n + pos, 0, 0 FROM crowd JOIN sizes USING (event_id)""",
+)
+def h1_many(spark, sf):
+    """History entries of logs and spans, in arrival order across resources and scopes."""
+    entries = messages.history_table(_crowded(spark, sf, ("logs", "traces"), damaged=True))
+    return tidy(entries.select("topic", "seq", "pos", "severity_number", "body_length"))
+
+
+@query(
+    "r8_unreadable_elements",
+    CROWD
+    + """, signals(signal, top, scopes, records) AS (VALUES ('logs', 'resourceLogs', 'scopeLogs', 'logRecords'),
+      ('traces', 'resourceSpans', 'scopeSpans', 'spans'), ('metrics', 'resourceMetrics', 'scopeMetrics', 'metrics')),
+    places AS (
+      SELECT DISTINCT event_id, topic, seq, i, j FROM crowd
+    )
+    SELECT topic, seq, signal, reason, value, path FROM (
+      SELECT topic, seq, signal, 'not an object' AS reason, '7' AS value,
+        '$.' || top || '[' || i || '].' || scopes || '[' || j || '].' || records || '[0]' AS path
+      FROM places, signals WHERE event_id % 4 = 1
+      UNION ALL SELECT topic, seq, signal, 'not an object', '"scope"', '$.' || top || '[' || i || '].' || scopes || '[0]'
+      FROM places, signals WHERE event_id % 4 = 2 AND j = 0
+      UNION ALL SELECT topic, seq, signal, 'not an object', '[]', '$.' || top || '[0].resource'
+      FROM e, signals WHERE event_id % 4 = 3
+      UNION ALL SELECT topic, seq, signal, 'not an object', 'null', '$.' || top || '[' || (event_id % 3 + 1) || ']'
+      FROM e, signals WHERE event_id % 5 = 0)""",
+)
+def r8_elements(spark, sf):
+    return messages.quarantined(_crowded(spark, sf, damaged=True)).drop("ts")
+
+
+_CROWD_ENTRY = """'{"resource":{"attributes":[{"key":"service.name","value":{"stringValue":"' || origin
+  || '"}},{"key":"k8s.node.name","value":{"stringValue":"' || CASE WHEN (event_id + i) % 3 = 0 THEN 'minikube' ELSE 'worker' END
+  || '"}}]},"scopeLogs":[' || string_agg(scope, ',' ORDER BY j) || ']}'"""
+
+CROWD_ENTRIES = (
+    CROWD
+    + f""", scopes AS (
+  SELECT event_id, topic, seq, ts, origin, i, j, '{{"logRecords":[' || string_agg('{{"observedTimeUnixNano":"' || (us + k * 1000000) * 1000
+    || '","severityNumber":' || (9 + 4 * k) || ',"body":{{"stringValue":"' || label || '"}}}}', ',' ORDER BY k) || ']}}' AS scope
+  FROM crowd GROUP BY ALL
+), entries AS (
+  SELECT event_id, topic, seq, i, origin, CASE WHEN (event_id + i) % 3 = 0 THEN 'minikube' ELSE 'worker' END AS node,
+    {_CROWD_ENTRY} AS entry
+  FROM scopes GROUP BY event_id, topic, seq, i, origin
+)
+"""
+)
+
+
+@query(
+    "r1_mixed_resources",
+    CROWD_ENTRIES
+    + """SELECT topic, seq, 'logs' AS signal, '{"resourceLogs":[' || string_agg(entry, ',' ORDER BY i) || ']}' AS value
+    FROM entries WHERE origin = 'flask' GROUP BY topic, seq""",
+)
+def r1_mixed(spark, sf):
+    """Messages with matching and other resources together keep the matching ones, their text unchanged."""
+    kept = routing.keep_resources(_crowded(spark, sf, ("logs",)), "service.name", "flask")
+    return kept.drop("ts")
+
+
+_ROUTES_OF_CROWD = """SELECT seq, route, 'logs' AS signal, topic, '{"resourceLogs":[' || string_agg(entry, ',' ORDER BY i) || ']}' AS value
+    FROM entries JOIN (VALUES ('laravel', 'service', 'laravel'), ('flask', 'service', 'flask'), ('node', 'service', 'node'),
+                              ('minikube_node', 'node', 'minikube')) AS r(route, key, wanted)
+      ON CASE key WHEN 'service' THEN origin ELSE node END = wanted
+    GROUP BY seq, route, topic"""
+
+
+@query("r4_mixed_resources", CROWD_ENTRIES + _ROUTES_OF_CROWD)
+def r4_mixed(spark, sf):
+    """Each route gets its own resources of a message."""
+    return routing.route(_crowded(spark, sf, ("logs",))).select("seq", "route", "signal", "topic", "value")
+
+
 # ---- history ----------------------------------------------------------------
 
 
@@ -1063,7 +1207,7 @@ def a30_service(spark, sf):
         source(spark, sf, (signal,)).withColumn("topic", F.concat("topic", F.lit(f"-{signal}"))) for signal in ALL
     ]
     deployed = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    parsed = messages.parse_by_origin(messages.accepted(deployed))
+    parsed = messages.parse_by_origin(deployed)
     return tidy(correlation.correlate(correlation.facts(parsed, ("origin",)), ("origin",), threshold=400.0))
 
 

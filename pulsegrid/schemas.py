@@ -35,15 +35,25 @@ _METRIC = (
     f"summary:struct<{_POINTS}>>"
 )
 
-ENVELOPE = (
-    "struct<"
-    f"resourceLogs:array<struct<resource:{RESOURCE},scopeLogs:array<struct<logRecords:array<{_LOG_RECORD}>>>>>,"
-    f"resourceSpans:array<struct<resource:{RESOURCE},scopeSpans:array<struct<spans:array<{_SPAN}>>>>>,"
-    f"resourceMetrics:array<struct<resource:{RESOURCE},scopeMetrics:array<struct<metrics:array<{_METRIC}>>>>>"
-    ">"
+# The lists of resources of each signal, by their key in a message.
+RESOURCE_LISTS = {
+    "resourceLogs": f"array<struct<resource:{RESOURCE},scopeLogs:array<struct<logRecords:array<{_LOG_RECORD}>>>>>",
+    "resourceSpans": f"array<struct<resource:{RESOURCE},scopeSpans:array<struct<spans:array<{_SPAN}>>>>>",
+    "resourceMetrics": f"array<struct<resource:{RESOURCE},scopeMetrics:array<struct<metrics:array<{_METRIC}>>>>>",
+}
+
+# Their lists and objects alone, for finding elements of the wrong kind. No element has the one field.
+_ANY = "struct<nothing:boolean>"
+_ANY_KINDS = ",".join(
+    f"{kind}:struct<dataPoints:array<{_ANY}>>" for kind in ("gauge", "sum", "histogram", "exponentialHistogram", "summary")
 )
+RESOURCE_SHAPES = {
+    "resourceLogs": f"array<struct<resource:{_ANY},scopeLogs:array<struct<logRecords:array<{_ANY}>>>>>",
+    "resourceSpans": f"array<struct<resource:{_ANY},scopeSpans:array<struct<spans:array<{_ANY}>>>>>",
+    "resourceMetrics": f"array<struct<resource:{_ANY},scopeMetrics:array<struct<metrics:array<struct<{_ANY_KINDS}>>>>>>",
+}
 
-# The same envelope with every resource entry kept as its original JSON text;
+# The same lists with every resource entry kept as its original JSON text;
 # routing forwards entries unchanged, unknown fields included.
 RAW_ENVELOPE = (
     "struct<resourceLogs:array<string>,resourceSpans:array<string>,resourceMetrics:array<string>>"

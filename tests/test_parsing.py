@@ -55,7 +55,7 @@ def test_validity_splits_messages(spark):
 def test_messages_without_signals_are_kept_without_features(spark):
     frame = messages(spark, VALID)
     document = features_document(F.col("logs"), F.col("traces"), F.col("metrics"))
-    rows = ops.parse(ops.accepted(frame)).select(document.alias("d")).collect()
+    rows = ops.parse(frame).select(document.alias("d")).collect()
     assert [r.d for r in rows] == [""] * len(VALID)
 
 
@@ -292,3 +292,49 @@ def test_feature_document(spark):
     assert point["timestamp"] == "2024-01-01T12:00:00.000001+00:00"
     assert point["aggregation"] == {"temporality": "cumulative", "is_monotonic": False}
     assert point["unit"] is None and point["value"] == 3.0
+
+
+GOOD = {"severityNumber": 9, "body": {"stringValue": "good"}}
+DAMAGED = [
+    ({"resourceLogs": [{"scopeLogs": [{"logRecords": [7, GOOD]}]}]}, 1, [("$.resourceLogs[0].scopeLogs[0].logRecords[0]", "7")]),
+    ({"resourceLogs": [{"scopeLogs": ["x", {"logRecords": [GOOD]}]}]}, 1, [("$.resourceLogs[0].scopeLogs[0]", '"x"')]),
+    ({"resourceLogs": [{"resource": [1], "scopeLogs": [{"logRecords": [GOOD, None]}]}]}, 1,
+     [("$.resourceLogs[0].resource", "[1]"), ("$.resourceLogs[0].scopeLogs[0].logRecords[1]", "null")]),
+    ({"resourceLogs": ["x", {"scopeLogs": {"a": 1}}, {"scopeLogs": [{"logRecords": 5}, {"logRecords": [GOOD]}]}]}, 1,
+     [("$.resourceLogs[0]", '"x"'), ("$.resourceLogs[1].scopeLogs", '{"a":1}'), ("$.resourceLogs[2].scopeLogs[0].logRecords", "5")]),
+    ({"resourceLogs": 3}, 0, [("$.resourceLogs", "3")]),
+    ({"resourceLogs": None, "resourceSpans": [{"resource": None, "scopeSpans": [{"spans": ["s"]}]}]}, 0,
+     [("$.resourceSpans[0].scopeSpans[0].spans[0]", '"s"')]),
+    ({"resourceMetrics": [{"scopeMetrics": [{"metrics": [1, {"name": "m", "gauge": 5}, {"name": "n", "sum": {"dataPoints": 2}},
+      {"name": "o", "gauge": {"dataPoints": [3, {"asDouble": 1.0}]}}]}]}]}, 0,
+     [("$.resourceMetrics[0].scopeMetrics[0].metrics[0]", "1"), ("$.resourceMetrics[0].scopeMetrics[0].metrics[1].gauge", "5"),
+      ("$.resourceMetrics[0].scopeMetrics[0].metrics[2].sum.dataPoints", "2"),
+      ("$.resourceMetrics[0].scopeMetrics[0].metrics[3].gauge.dataPoints[0]", "3")]),
+    ({"resourceLogs": [{"scopeLogs": [{"logRecords": [GOOD, GOOD]}]}]}, 2, []),
+]
+
+
+def test_unreadable_elements_leave_the_others_and_are_kept_with_place_and_reason(spark):
+    frame = messages(spark, [value for value, _, _ in DAMAGED] + ["[7]"])
+    logs = ops.log_table(frame).groupBy("seq").count().collect()
+    assert {r.seq: r["count"] for r in logs} == {i: n for i, (_, n, _) in enumerate(DAMAGED) if n}
+    assert [r.value for r in ops.metric_table(frame).collect()] == [1.0]
+    for found in (ops.quarantined(frame), ops.unread(ops.read(frame))):
+        rows = found.collect()
+        for i, (_, _, problems) in enumerate(DAMAGED):
+            assert sorted((r.path, r.value) for r in rows if r.seq == i) == sorted(problems)
+        assert [(r.path, r.value, r.reason, r.signal) for r in rows if r.seq == len(DAMAGED)] == [("$", "[7]", "not an object", None)]
+    reasons = {r.path.rpartition(".")[2]: r.reason for r in ops.quarantined(frame).collect()}
+    assert reasons["dataPoints"] == reasons["scopeLogs"] == "not a list" and reasons["gauge"] == "not an object"
+
+
+def test_a_message_is_parsed_once(spark):
+    frame = messages(spark, ["{}"])
+    for plan in (ops.log_table(frame), ops.history_table(frame), ops.quarantined(frame), ops.read(frame)):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert text.count("parse_json") + text.count("parseJson") == 1 and "from_json(value" not in text
+
+
+def test_a_value_that_forges_the_list_is_no_object(spark):
+    bad = ['{"a":1},2', '{"a":1}], [', '{"a":1}] x', '{"a":1},{"b":2}', '{"a":1}/**/', "{\"a\":1}\x00"]
+    assert ops.accepted(messages(spark, bad)).count() == 0
