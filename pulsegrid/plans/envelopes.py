@@ -235,6 +235,7 @@ def crowded_resource(signal: str, i: Column, damaged: bool = False) -> Column:
     attributes = _list(
         _string_attribute("service.name", F.get(services, ((F.col("user_id") + i) % 5).cast("int"))),
         _string_attribute("k8s.node.name", F.when((F.col("event_id") + i) % 3 == 0, "minikube").otherwise("worker")),
+        F.when((F.col("event_id") + i) % 4 == 0, _string_attribute("signoz.component", F.lit("otel-agent"))),
     )
     resource = _text('{"attributes":', attributes, "}")
     kind = F.col("event_id") % 4

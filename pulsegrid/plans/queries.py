@@ -887,48 +887,82 @@ def r8_elements(spark, sf):
     return messages.quarantined(_crowded(spark, sf, damaged=True)).drop("ts")
 
 
-_CROWD_ENTRY = """'{"resource":{"attributes":[{"key":"service.name","value":{"stringValue":"' || origin
-  || '"}},{"key":"k8s.node.name","value":{"stringValue":"' || CASE WHEN (event_id + i) % 3 = 0 THEN 'minikube' ELSE 'worker' END
-  || '"}}]},"scopeLogs":[' || string_agg(scope, ',' ORDER BY j) || ']}'"""
-
-CROWD_ENTRIES = (
-    CROWD
-    + f""", scopes AS (
-  SELECT event_id, topic, seq, ts, origin, i, j, '{{"logRecords":[' || string_agg('{{"observedTimeUnixNano":"' || (us + k * 1000000) * 1000
-    || '","severityNumber":' || (9 + 4 * k) || ',"body":{{"stringValue":"' || label || '"}}}}', ',' ORDER BY k) || ']}}' AS scope
-  FROM crowd GROUP BY ALL
+def _crowd_entries() -> str:
+    """SQL: the text of every resource entry of the crowded messages, by signal."""
+    start = "(us + k * 1000000) * 1000"
+    point = f"""'{{"timeUnixNano":' || {start} || ',"asDouble":' || n || '.5}}'"""
+    records = {
+        "logs": f"""'{{"observedTimeUnixNano":"' || {start} || '","severityNumber":' || (9 + 4 * k)
+  || ',"body":{{"stringValue":"' || label || '"}}}}'""",
+        "traces": f"""'{{"name":"' || label || '","startTimeUnixNano":"' || {start}
+  || '","endTimeUnixNano":' || ({start} + k * 1000000) || '}}'""",
+        "metrics": f"""'{{"name":"' || label || '","gauge":{{"dataPoints":['
+  || array_to_string(list_transform(range(k + 1), lambda n: {point}), ',') || ']}}}}'""",
+    }
+    tops = {"logs": "resourceLogs", "traces": "resourceSpans", "metrics": "resourceMetrics"}
+    lists = {"logs": ("scopeLogs", "logRecords"), "traces": ("scopeSpans", "spans"), "metrics": ("scopeMetrics", "metrics")}
+    scopes = " UNION ALL ".join(
+        f"""SELECT event_id, topic, seq, i, j, origin, '{signal}' AS signal, '{tops[signal]}' AS top, '{lists[signal][0]}' AS held,
+  '{{"{lists[signal][1]}":[' || string_agg({text}, ',' ORDER BY k) || ']}}' AS scope
+  FROM crowd GROUP BY event_id, topic, seq, i, j, origin"""
+        for signal, text in records.items()
+    )
+    return f"""{CROWD}, scopes AS ({scopes}), attributes AS (
+  SELECT DISTINCT event_id, i, CASE WHEN (event_id + i) % 3 = 0 THEN 'minikube' ELSE 'worker' END AS node,
+    CASE WHEN (event_id + i) % 4 = 0 THEN 'otel-agent' END AS component FROM crowd
 ), entries AS (
-  SELECT event_id, topic, seq, i, origin, CASE WHEN (event_id + i) % 3 = 0 THEN 'minikube' ELSE 'worker' END AS node,
-    {_CROWD_ENTRY} AS entry
-  FROM scopes GROUP BY event_id, topic, seq, i, origin
+  SELECT seq, topic, signal, top, i, origin, node, component,
+    '{{"resource":{{"attributes":[{{"key":"service.name","value":{{"stringValue":"' || origin
+    || '"}}}},{{"key":"k8s.node.name","value":{{"stringValue":"' || node || '"}}}}'
+    || coalesce(',{{"key":"signoz.component","value":{{"stringValue":"' || component || '"}}}}', '')
+    || ']}},"' || held || '":[' || string_agg(scope, ',' ORDER BY j) || ']}}' AS entry
+  FROM scopes JOIN attributes USING (event_id, i) GROUP BY seq, topic, signal, top, held, i, origin, node, component
 )
 """
-)
+
+
+CROWD_ENTRIES = _crowd_entries()
 
 
 @query(
     "r1_mixed_resources",
     CROWD_ENTRIES
-    + """SELECT topic, seq, 'logs' AS signal, '{"resourceLogs":[' || string_agg(entry, ',' ORDER BY i) || ']}' AS value
-    FROM entries WHERE origin = 'flask' GROUP BY topic, seq""",
+    + """SELECT topic, seq, signal, '{"' || top || '":[' || string_agg(entry, ',' ORDER BY i) || ']}' AS value
+    FROM entries WHERE origin = 'flask' GROUP BY topic, seq, signal, top""",
 )
 def r1_mixed(spark, sf):
     """Messages with matching and other resources together keep the matching ones, their text unchanged."""
-    kept = routing.keep_resources(_crowded(spark, sf, ("logs",)), "service.name", "flask")
+    kept = routing.keep_resources(_crowded(spark, sf), "service.name", "flask")
     return kept.drop("ts")
 
 
-_ROUTES_OF_CROWD = """SELECT seq, route, 'logs' AS signal, topic, '{"resourceLogs":[' || string_agg(entry, ',' ORDER BY i) || ']}' AS value
+_ROUTES_OF_CROWD = """SELECT {columns}, route, signal, '{{"' || top || '":[' || string_agg(entry, ',' ORDER BY i) || ']}}' AS value
     FROM entries JOIN (VALUES ('laravel', 'service', 'laravel'), ('flask', 'service', 'flask'), ('node', 'service', 'node'),
-                              ('minikube_node', 'node', 'minikube')) AS r(route, key, wanted)
-      ON CASE key WHEN 'service' THEN origin ELSE node END = wanted
-    GROUP BY seq, route, topic"""
+        ('minikube_node', 'node', 'minikube'), ('otel_agent_pod', 'component', 'otel-agent')) AS r(route, key, wanted)
+      ON CASE key WHEN 'service' THEN origin WHEN 'node' THEN node ELSE component END = wanted
+    GROUP BY seq, route, signal, topic, top"""
 
 
-@query("r4_mixed_resources", CROWD_ENTRIES + _ROUTES_OF_CROWD)
+@query("r4_mixed_resources", CROWD_ENTRIES + _ROUTES_OF_CROWD.format(columns="seq, topic"))
 def r4_mixed(spark, sf):
     """Each route gets its own resources of a message."""
-    return routing.route(_crowded(spark, sf, ("logs",))).select("seq", "route", "signal", "topic", "value")
+    return routing.route(_crowded(spark, sf)).select("seq", "route", "signal", "topic", "value")
+
+
+@query("s9_routed_job", CROWD_ENTRIES + "SELECT * EXCLUDE (seq) FROM (" + _ROUTES_OF_CROWD.format(columns="seq") + ")")
+def s9_routed(spark, sf):
+    """The routing job over files in several micro-batches, each of them run twice: every message once in its 15 routes."""
+    root = scratch_path(spark, "routed-job")
+    _crowded(spark, sf).repartition(4, "seq").write.parquet(f"{root}/in")
+    stream = sources_of_messages.message_table_stream(spark, f"{root}/in", maxFilesPerTrigger="2")
+
+    def twice(batch: DataFrame, batch_id: int) -> None:
+        for _ in range(2):
+            job.route_batch(batch, batch_id, f"{root}/out")
+
+    running = stream.writeStream.foreachBatch(twice).option("checkpointLocation", f"{root}/state")
+    running.trigger(availableNow=True).start().awaitTermination()
+    return sinks.read_routed(spark, f"{root}/out").drop("batch_id")
 
 
 # ---- history ----------------------------------------------------------------

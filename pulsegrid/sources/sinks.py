@@ -62,10 +62,6 @@ def write_batch_table(df: DataFrame, path: str, batch_id: int) -> None:
     ).parquet(path)
 
 
-def read_stored_messages(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def outgoing(routed: DataFrame) -> DataFrame:
     """Routed messages that go to a topic, as Kafka records."""
     rows = routed.filter("dest_topic IS NOT NULL")
@@ -77,6 +73,20 @@ def write_kafka(routed: DataFrame, servers: str) -> None:
     outgoing(routed).write.format("kafka").option("kafka.bootstrap.servers", servers).save()
 
 
+def write_routed(routed: DataFrame, path: str, batch_id: int) -> None:
+    """Routed messages of a batch as JSON lines, one folder per batch, route and signal.
+
+    Writing a batch again replaces all of it, also routes that it no longer has.
+    """
+    rows = routed.select("route", "signal", "value")
+    rows.write.mode("overwrite").partitionBy("route", "signal").text(f"{path.rstrip('/')}/batch_id={batch_id}")
+
+
+def read_routed(spark: SparkSession, path: str) -> DataFrame:
+    """What `write_routed` wrote: value, batch_id, route, signal. Filters on the last three open their folders only."""
+    return spark.read.schema("value string, batch_id bigint, route string, signal string").text(path)
+
+
 def append_files(routed: DataFrame, path: str) -> None:
     """Append routed messages as JSON lines, one folder per route and signal."""
     routed.select("route", "signal", "value").write.mode("append").partitionBy(
