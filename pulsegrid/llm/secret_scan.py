@@ -50,6 +50,11 @@ STRINGS = 64
 #: Matches whose places are summed up at a time.
 BLOCK = 256
 
+#: Characters of the parts in which a text is cut up.
+PART = 1024
+#: Spans that are put in order at a time.
+SPANS = 64
+
 Query = frozenset  # of conjunctions, each a frozenset of trigrams; the empty conjunction is always true
 ANY: Query = frozenset([frozenset()])
 
@@ -226,25 +231,47 @@ def report(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: int = len(BAS
     )
 
 
+def _between(parts: Column, start: Column, end: Column) -> Column:
+    """Characters [start, end) of a text in parts of PART characters."""
+    first, last = F.floor(start / PART).cast("int"), F.floor(end / PART).cast("int")
+    part = lambda i: F.coalesce(F.get(parts, i), F.lit(""))
+    whole = F.array_join(F.slice(parts, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+    several = F.concat(F.substring(part(first), start % PART + 1, F.lit(PART)), whole, F.substring(part(last), F.lit(1), end % PART))
+    return F.when(first == last, F.substring(part(first), start % PART + 1, end - start)).otherwise(several)
+
+
 def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[secret]") -> DataFrame:
     """`docs` with every span of `text` replaced by a mark, overlapping spans by one; same rows and columns."""
     rows = scan(docs, rules)
-    joined = F.aggregate(
-        "_spans",
-        F.array().cast("array<struct<start:int,end:int>>"),
-        lambda acc, s: F.when(
-            (F.size(acc) > 0) & (s["start"] < F.element_at(acc, -1)["end"]),
-            F.array_append(
-                F.slice(acc, 1, F.size(acc) - 1),
-                F.struct(F.element_at(acc, -1)["start"].alias("start"), F.greatest(F.element_at(acc, -1)["end"], s["end"]).alias("end")),
-            ),
-        ).otherwise(F.array_append(acc, F.struct(s["start"].alias("start"), s["end"].alias("end")))),
-    )
-    cut = F.aggregate(
-        F.reverse(joined),
-        F.col("text"),
-        lambda t, s: F.concat(F.substring(t, F.lit(1), s["start"]), F.lit(mark), F.substring(t, s["end"] + 1, F.char_length(t))),
+    # spans ascend by start; in blocks, each gets the end of all before it, so no step copies a long list
+    count = F.floor((F.size("_spans") - 1) / SPANS).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), count), lambda b: F.slice("_spans", b * SPANS + 1, F.lit(SPANS)))
+    rows = rows.withColumn("_blocks", F.when(F.size("_spans") > 0, blocks))
+    furthest = F.transform("_blocks", lambda block: F.array_max(F.transform(block, lambda s: s["end"])))
+    upto = F.aggregate(
+        furthest, F.array(F.lit(0)), lambda acc, end: F.array_append(acc, F.greatest(F.element_at(acc, -1), end))
     )
+
+    def gaps(block: Column, before: Column) -> Column:
+        start = F.struct(before.alias("upto"), F.array().cast("array<struct<start:int,end:int>>").alias("gaps"))
+        return F.aggregate(
+            F.coalesce(block, F.array().cast("array<struct<start:int,rule:int,end:int>>")),
+            start,
+            lambda acc, s: F.struct(
+                F.greatest(acc["upto"], s["end"]).alias("upto"),
+                F.when(
+                    s["start"] >= acc["upto"],
+                    F.array_append(acc["gaps"], F.struct(acc["upto"].alias("start"), s["start"].alias("end"))),
+                ).otherwise(acc["gaps"]).alias("gaps"),
+            ),
+            lambda acc: acc["gaps"],
+        )
+
+    rows = rows.withColumns({"_upto": upto, "_parts": F.regexp_extract_all("text", F.lit(f"(?s).{{1,{PART}}}"), F.lit(0))})
+    found = F.flatten(F.zip_with("_blocks", "_upto", gaps))
+    rest = F.array(F.struct(F.element_at("_upto", -1).alias("start"), F.char_length("text").alias("end")))
+    # pieces are taken from short parts of the text: a place in a long one is found by counting from its front
+    cut = F.array_join(F.transform(F.concat(found, rest), lambda g: _between(F.col("_parts"), g["start"], g["end"])), mark)
     clean = F.when(F.size("_spans") > 0, cut).otherwise(F.col("text"))
     return rows.withColumn("text", clean).select(docs.columns)
 

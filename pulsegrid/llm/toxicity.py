@@ -96,10 +96,18 @@ class Matcher:
                 harmless.append((start, end))
             if weight is not None:
                 out[start] = max(weight, out.get(start, 0.0))
-        for start, end in harmless:
-            for at in [at for at in out if start <= at < end]:
-                del out[at]
-        return out
+        if not harmless:
+            return out
+        # one sweep over places and phrases, both ascending: `upto` is the end of the phrases begun so far
+        harmless.sort()
+        kept, upto, i = {}, 0, 0
+        for at in sorted(out):
+            while i < len(harmless) and harmless[i][0] <= at:
+                upto = max(upto, harmless[i][1])
+                i += 1
+            if at >= upto:
+                kept[at] = out[at]
+        return kept
 
     def evidence(self, text: str | None) -> tuple[float, float]:
         """Weighted hits by length and as they are, on logarithmic scales; 0 for null, empty and clean texts."""

@@ -10,6 +10,7 @@ piece and counts as its UTF-8 bytes.
 from __future__ import annotations
 
 import re
+from collections import Counter as Tally
 from collections.abc import Iterator
 
 import ahocorasick
@@ -93,15 +94,17 @@ class Counter:
         known = self.known
         if len(known) > KEPT:
             known.clear()
-        long = 0j
+        long: dict[str, complex] = {}
         for word in {*words}.difference(known):
-            value = self._best(word) if word else 0j
-            if len(word) <= KEPT_LETTERS:
-                known[word] = value
-            else:
-                long += value * words.count(word)
-                words = [w for w in words if w != word]
-        whole = sum(map(known.__getitem__, words), complex(breaks * self.unknown, breaks)) + long
+            (known if len(word) <= KEPT_LETTERS else long)[word] = self._best(word) if word else 0j
+        start = complex(breaks * self.unknown, breaks)
+        if long:
+            whole = sum((known[w] for w in words if w not in long), start)
+            # equal long words are counted first
+            times = Tally(w for w in words if w in long)
+            whole += sum((long[w] * n for w, n in times.items()), 0j)
+        else:
+            whole = sum(map(known.__getitem__, words), start)
         return round(whole.imag), whole.real
 
 

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from rows import ODD, documents, no_documents, odd_documents
 
 from pulsegrid.llm import mixing
@@ -141,3 +142,44 @@ def test_token_targets():
     assert find([97.0, 11.0, 0.1], [0.97, 0.02, 0.01], 50.0) == near([49.9 * 97 / 99, 49.9 * 2 / 99, 0.1])
     assert find([10.0, 1.0], [0.5, 0.5], 30.0) == near([29, 1])
     assert find([0.0, 0.0], [0.5, 0.5]) == find([0.0, 0.0], [0.5, 0.5], 9.0) == [0, 0]
+
+
+def with_ids(docs, condition: str, doc_id: str):
+    return docs.withColumn("doc_id", F.expr(f"CASE WHEN {condition} THEN {doc_id} ELSE doc_id END"))
+
+
+@pytest.mark.parametrize("doc_id", ["CAST(NULL AS bigint)", "7001", "7002", "42"])
+def test_rounding_does_not_hang_on_the_id(spark, doc_id):
+    """A seventh of the rows without an id, or with the same: targets are met within the sampling error."""
+    docs, labels = scarce(spark, 700, 2_000)
+    # the toxic ones from 300 to 600 are not labelled by their new id
+    docs = with_ids(docs, "doc_id >= 300 AND doc_id < 600", doc_id)
+    rows = mixing.rates(docs, labels).collect()
+    shared = [r for r in rows if r.doc_id is None or r.doc_id >= 7000 or (doc_id == "42" and r.doc_id == 42)]
+    assert len(shared) >= 300
+    want = sum(r.rate for r in shared)
+    assert want < 30 and abs(sum(r.copies for r in shared) - want) <= 4 * max(want, 1) ** 0.5
+    assert mixing.mixed(docs, labels).count() == sum(r.copies for r in rows)
+
+
+def test_equal_rows_are_rounded_together(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PORTION", 7)
+    docs, labels = scarce(spark, 400, 1_000)
+    some = docs.where("doc_id = 100")
+    docs = docs.where("doc_id <> 100").union(some.crossJoin(spark.range(200)).drop("id"))
+    for tokens, repeats in ((None, 1.0), (200_000.0, 30.0)):
+        rows = mixing.rates(docs, labels, tokens=tokens, repeats=repeats).collect()
+        equal = [r for r in rows if r.doc_id == 100]
+        total, rate = sum(r.copies for r in equal), equal[0].rate
+        assert len(equal) == 200 and abs(total - 200 * rate) <= 1
+        assert max(r.copies for r in equal) - min(r.copies for r in equal) <= 1
+        out = mixing.mixed(docs, labels, tokens=tokens, repeats=repeats)
+        assert out.where("doc_id = 100").count() == total and out.count() == sum(r.copies for r in rows)
+
+
+def test_a_missed_target_is_told(spark):
+    docs, labels = scarce(spark, 400, 1_000)
+    # texts that tell nothing: all posteriors are alike, so no rates make the domains' shares differ
+    same = docs.withColumn("text", F.lit("alpha beta"))
+    with pytest.warns(UserWarning, match="differ from the targets"):
+        mixing.rates(same, labels, {"good": 0.1, "low": 0.8, "toxic": 0.1}, tokens=2_000.0)

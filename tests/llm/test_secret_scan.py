@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from rows import ODD, documents, no_documents, odd_documents
@@ -114,3 +115,34 @@ def test_odd_rows(spark):
     assert clean.columns == odd_documents(spark).columns and clean.count() == len(ODD)
     assert secret_scan.report(no_documents(spark)).count() == 0
     assert secret_scan.redacted(no_documents(spark)).count() == 0
+
+
+def plain_redaction(text: str, mark: str = "[secret]") -> str:
+    out, at, upto = [], 0, -1
+    for start, _, end in plain_spans(text):
+        if start >= upto:
+            out += [text[at:start], mark]
+        upto = max(upto, end)
+        at = upto
+    return "".join(out) + text[at:]
+
+
+def test_redaction_of_many_spans_and_parts(spark, monkeypatch):
+    texts = [*some_texts()[:150], "é" * 3000 + "token=abcdefgh1 " + "x" * 5000, "token=abcdefgh1", "token=abcdefgh1\U0001f600" * 300]
+    for part in (7, 1024):
+        monkeypatch.setattr(secret_scan, "PART", part)
+        rows = secret_scan.redacted(documents(spark, texts)).collect()
+        assert {r.doc_id: r.text for r in rows} == {i: plain_redaction(t) for i, t in enumerate(texts)}
+
+
+def test_time_grows_with_the_text(spark):
+    """20,000 spans in one text: in proportion, seconds."""
+    def taken(n: int) -> float:
+        text = "some words here, token=abcdefgh1 " * n
+        start = time.perf_counter()
+        found = secret_scan.redacted(documents(spark, [text])).select("text").first()[0]
+        assert found == "some words here, [secret] " * n
+        return time.perf_counter() - start
+
+    taken(100)
+    assert taken(20_000) < 8 * max(1.0, taken(5_000))

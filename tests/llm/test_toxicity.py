@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 
 import pytest
@@ -77,3 +78,19 @@ def test_odd_rows(spark):
     odd = spark.createDataFrame([(None, 1, "x"), (1, None, "x"), (4, 1, "x"), (4, 0, "x"), (6, 0, "x")], "doc_id long, toxic int, text string")
     assert toxicity.scored_documents(odd_documents(spark), odd).count() == len(ODD)
     assert toxicity.scored_documents(no_documents(spark), labels).count() == 0
+
+
+def test_many_exceptions_and_hits():
+    """One sweep gives what each exception by itself would take away, in proportion to the text."""
+    chance = random.Random(5)
+    entries, exceptions = {" bad": 1.0, " worse": 2.0, " a": 0.5}, [" not bad", " a bad", " worse luck a", " luck"]
+    matcher = toxicity.Matcher(entries, exceptions)
+    for _ in range(300):
+        text = " " + " ".join(chance.choices(["bad", "worse", "not", "a", "luck", "fine"], k=chance.randint(0, 30))) + " "
+        places = {text.find(p, i): max(w for q, w in entries.items() if text.startswith(q, text.find(p, i)))
+                  for p in entries for i in range(len(text)) if text.find(p, i) >= 0}
+        covered = {i for e in exceptions for s in range(len(text)) if text.startswith(e, s) for i in range(s, s + len(e))}
+        assert matcher.hits(text) == {i: w for i, w in places.items() if i not in covered}
+    start = time.perf_counter()
+    assert matcher.hits(" not bad worse" * 40_000) == {i * 14 + 8: 2.0 for i in range(40_000)}
+    assert time.perf_counter() - start < 5

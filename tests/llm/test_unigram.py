@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -86,3 +87,14 @@ def test_odd_rows(spark, vocabulary):
     key = lambda r: (str(r[0]), r[1])
     assert sorted(((r.doc_id, r.n_tokens) for r in rows), key=key) == sorted(((r[0], wanted(reference, r[1])) for r in ODD), key=key)
     assert unigram.token_counts(no_documents(spark), PATH).count() == 0
+
+
+def test_many_long_words(vocabulary):
+    words = [f"{i:0>6}" * 12 for i in range(4_000)]
+    counter = unigram.Counter(vocabulary)
+    start = time.perf_counter()
+    found = counter.count(" ".join(words + words))
+    assert time.perf_counter() - start < 20
+    alone = [counter.count(w) for w in words]
+    assert found[0] == 2 * sum(n for n, _ in alone)
+    assert found[1] == pytest.approx(2 * sum(s for _, s in alone))
