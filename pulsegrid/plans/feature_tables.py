@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.documents import features_document
@@ -138,13 +138,11 @@ def build(
     return FeatureTables(rows, aggregated, unread(whole), window_start, window_end)
 
 
-def batch_summary(stored: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
-    """How many stored messages carry which documents and signals."""
-
+def _document_counts() -> list[Column]:
     def holding(name: str):
         return F.count_if(F.contains("features", F.lit(f'"{name}":')))
 
-    return stored.groupBy(*keys).agg(
+    return [
         F.count(F.lit(1)).alias("total"),
         F.count_if(is_filled(F.col("features"))).alias("with_features"),
         F.count_if(is_filled(F.col("enhanced_features"))).alias("with_enhanced"),
@@ -153,9 +151,44 @@ def batch_summary(stored: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
         holding("logs").alias("logs"),
         holding("traces").alias("traces"),
         holding("metrics").alias("metrics"),
-    )
+    ]
+
+
+COUNTS = ("total", "with_features", "with_enhanced", "with_sliding", "with_correlation", "logs", "traces", "metrics")
+
+
+def batch_summary(stored: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """How many stored messages carry which documents and signals."""
+    return stored.groupBy(*keys).agg(*_document_counts())
 
 
 def topic_distribution(stored: DataFrame) -> DataFrame:
     """Stored messages per batch and topic."""
     return stored.groupBy("batch_id", "topic").agg(F.count(F.lit(1)).alias("messages"))
+
+
+# ---- roll-ups: one row per batch and topic, written with the batch -----------------
+
+
+def batch_rollup(stored: DataFrame) -> DataFrame:
+    """Counts and time ranges of stored messages per day folder, batch and topic.
+
+    A handful of rows a batch. Serving merges them and reads no message again.
+    """
+    return stored.groupBy("date", "batch_id", "topic").agg(
+        *_document_counts(),
+        F.min("ts").alias("first_message"),
+        F.max("ts").alias("last_message"),
+        F.min("processed_at").alias("first_processed"),
+        F.max("processed_at").alias("last_processed"),
+    )
+
+
+def merged_summary(rollup: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """The same row as `batch_summary`, from roll-ups; zeros where there are none."""
+    return rollup.groupBy(*keys).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS])
+
+
+def merged_distribution(rollup: DataFrame) -> DataFrame:
+    """The same rows as `topic_distribution`, from roll-ups."""
+    return rollup.groupBy("batch_id", "topic").agg(F.sum("total").alias("messages"))

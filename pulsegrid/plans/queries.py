@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from pulsegrid.functions import scalars
 from pulsegrid.functions.documents import features_document
-from pulsegrid.operators import correlation, history, messages, quantiles, routing, running, snapshot
+from pulsegrid.operators import correlation, history, messages, partials, quantiles, routing, running, snapshot
 from pulsegrid.plans import envelopes, feature_tables, serving
 from pulsegrid.session import configure, materialise, scratch_path
 from pulsegrid.sources import messages as sources_of_messages
@@ -161,6 +161,28 @@ def s4(spark, sf):
     return tidy(narrow.select("topic", "ts", "seq", F.length("value").alias("size")))
 
 
+@query(
+    "s3_line_files",
+    """SELECT topic, count(*) AS messages, count(DISTINCT event_id) AS numbers,
+              count(*) FILTER (severity >= 17) AS errors, sum(length(body))::BIGINT AS body_length
+       FROM logs GROUP BY topic""",
+)
+def s3(spark, sf):
+    """Log messages written as JSON lines, a folder of files per topic, read back by name and parsed."""
+    path = scratch_path(spark, "lines")
+    source(spark, sf, ("logs",)).select("topic", "value").write.partitionBy("topic").text(path)
+    back = sources_of_messages.read_messages(spark, "files", path=f"{path}/*")
+    records = messages.log_table(back)
+    return tidy(
+        records.groupBy("topic").agg(
+            F.count(F.lit(1)).alias("messages"),
+            F.count_distinct("seq").alias("numbers"),
+            F.count_if(F.col("severity_number") >= 17).alias("errors"),
+            F.sum("body_length").alias("body_length"),
+        )
+    )
+
+
 @query(
     "s5_stream_tables",
     """SELECT topic, count(*) AS messages, count(*) AS with_features, count(*) AS with_sliding,
@@ -1444,6 +1466,116 @@ def w1(spark, sf):
     return tidy(serving.grid_features(rows, 60, 15))
 
 
+# ---- stored partials: every measure merged from minutes --------------------------
+
+
+def _partials(spark: SparkSession, sf: str) -> DataFrame:
+    """Partials of all records, stored as three batches, one of them twice."""
+    path = scratch_path(spark, "partials")
+    rows = stored_history(spark, sf)
+    top = rows.agg(F.max("seq").alias("top")).first()["top"]
+    part = F.floor(F.col("seq") * 3 / F.lit(top + 1))
+    for batch in (0, 1, 1, 2):
+        partials.store_partials(rows.filter(part == batch), path, batch)
+    return partials.read_partials(spark, path)
+
+
+_SKETCHED = [f"{c}_p95" for c in snapshot.MEASURES]
+
+
+def _merged_sql(minutes: int, keys: str, start: str, rows: str) -> str:
+    """SQL: all measures of frames of `minutes`; `rows` yields the records of each frame with `start`, its first instant."""
+
+    def moments(c: str) -> str:
+        return rounded(
+            f"avg({c}) AS {c}_mean",
+            f"coalesce(stddev_samp({c}), 0) AS {c}_std",
+            f"(CASE WHEN avg({c}) > 0 THEN coalesce(stddev_samp({c}), 0) / avg({c}) ELSE 0 END) AS {c}_cv",
+            f"min({c}) AS {c}_min",
+            f"max({c}) AS {c}_max",
+        )
+
+    def slope(c: str, alone: str) -> str:
+        return f"(CASE WHEN count(*) > 1 THEN regr_slope({c}, rn) ELSE {alone} END)"
+
+    bins = ", ".join(f"count(*) FILTER ((us - {start}) // {minutes * 12_000_000} = {b})" for b in range(5))
+    kept = "list_filter(bins, lambda n: n > 0)"
+    volume = f"""(CASE WHEN records < 2 THEN NULL WHEN len({kept}) < 2 THEN 0.0 ELSE
+        list_sum(list_transform({kept}, lambda x, i: (i - 1 - (len({kept}) - 1) / 2.0) * x))
+          / (len({kept}) * (len({kept}) * len({kept}) - 1) / 12.0) END)"""
+    return f"""SELECT * EXCLUDE (bins, records), {rounded(f"{volume} AS volume_trend")}
+        FROM (SELECT {keys}, count(*) AS records, [{bins}] AS bins,
+                     {rounded(f"count(*) / {minutes}.0 AS messages_per_minute")},
+                     count(DISTINCT source) AS unique_sources, {minutes}::BIGINT AS window_minutes,
+                     {rounded("avg((severity >= 17)::BIGINT) AS error_rate")},
+                     {moments("body_length")}, {moments("duration_ms")}, {moments("value")},
+                     mode(hour(ts) ORDER BY hour(ts)) AS peak_hour,
+                     {rounded("coalesce(var_samp(hour(ts)), 0) AS hour_variance")},
+                     {rounded(slope("value", "0") + " AS trend", slope("duration_ms", "NULL") + " AS duration_trend")}
+              FROM ({rows}) GROUP BY ALL)"""
+
+
+@query(
+    "w1_grid_of_partials",
+    _merged_sql(
+        DAY, "frame_us AS frame_start, topic", "frame_us",
+        """SELECT *, unnest([us // 21600000000 * 21600000000 - k * 21600000000 FOR k IN range(4)]) AS frame_us
+           FROM ranked""",
+    ),
+)
+def w1_partials(spark, sf):
+    """Frames of a day every six hours with every measure, merged from stored minutes of three batches."""
+    return tidy(partials.grid(_partials(spark, sf), DAY, 360).drop(*_SKETCHED))
+
+
+@query(
+    "w6_latest_of_partials",
+    _merged_sql(
+        7 * DAY, "topic", "first_us",
+        f"""SELECT * FROM (SELECT ranked.*, epoch_us(date_trunc('minute', t_end)) - {(7 * DAY - 1) * 60_000_000} AS first_us
+            FROM ranked, now) WHERE us >= first_us""",
+    ),
+)
+def w6_partials(spark, sf):
+    """The last week up to the last minute, merged from stored minutes."""
+    return tidy(partials.latest(_partials(spark, sf), last_instant(spark, sf), 7 * DAY).drop(*_SKETCHED))
+
+
+@query(
+    "a8_sketched_quantiles",
+    "SELECT topic, measure, count(*) AS records, 1::BIGINT AS within FROM hist "
+    "CROSS JOIN (VALUES ('body_length'), ('duration_ms'), ('value')) m(measure) GROUP BY ALL",
+)
+def a8_sketched(spark, sf):
+    """Merged sketches against all records: the answer's rank is within the stated error of 0.95."""
+    rows = stored_history(spark, sf)
+    merged = partials.merge_partials(partials.minute_partials(rows), MONTH).select("topic", *_SKETCHED)
+    low, high = 0.95 - partials.QUANTILE_ERROR, 0.95 + partials.QUANTILE_ERROR
+    measured = rows.join(F.broadcast(merged), "topic").select(  # a row per topic
+        "topic",
+        F.inline(F.array(*[
+            F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("x"), F.col(f"{c}_p95").alias("q"))
+            for c in snapshot.MEASURES
+        ])),
+    )
+    below = F.avg((F.col("x") < F.col("q")).cast("double"))
+    upto = F.avg((F.col("x") <= F.col("q")).cast("double"))
+    return measured.groupBy("topic", "measure").agg(
+        F.count(F.lit(1)).alias("records"), ((below <= high) & (upto >= low)).cast("bigint").alias("within")
+    )
+
+
+@query(
+    "a4_sources_of_days",
+    "SELECT topic, epoch_us(date_trunc('day', ts)) AS day, count(*) AS records, count(DISTINCT source) AS unique_sources "
+    "FROM hist GROUP BY ALL",
+)
+def a4_sources(spark, sf):
+    """Distinct sources of each day from the sketches of its minutes."""
+    pieces = _partials(spark, sf).withColumn("day", F.date_trunc("day", "minute"))
+    return tidy(partials.sources_between(pieces, ("topic", "day")))
+
+
 # ---- serving ---------------------------------------------------------------------
 
 
@@ -1641,3 +1773,55 @@ def a31(spark, sf):
 )
 def a32(spark, sf):
     return feature_tables.topic_distribution(stored(spark, sf))
+
+
+# ---- roll-ups --------------------------------------------------------------------
+
+
+def _rolled(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """The stored message table as folders of days and batches, and its roll-ups; the last write is repeated."""
+    root = job.TableRoot(scratch_path(spark, "rolled"))
+    rows = stored(spark, sf)
+    starts = rows.groupBy("batch_id").agg(F.min("ts").alias("window_start"))
+    rows = rows.join(starts, "batch_id")
+    for _ in range(2):
+        sinks.write_messages(rows, root.table("messages"))
+        kept = spark.read.parquet(root.table("messages"))
+        sinks.write_rollups(feature_tables.batch_rollup(kept), root.table("batch_topics"))
+    return kept, spark.read.parquet(root.table("batch_topics"))
+
+
+def _sql_of(name: str) -> str:
+    return ORACLES[name].removeprefix(BASE.strip())
+
+
+@query("q1_rolled_up", _sql_of("q1_served_topics"))
+def q1_rolled(spark, sf):
+    """The catalogue from the roll-ups that the job wrote with each batch; one batch is run again."""
+    root = job.TableRoot(scratch_path(spark, "rolled"))
+    sent = source(spark, sf, damaged=True)
+    for batch in (0, 1, 1):
+        job.process_batch(sent.filter(F.col("seq") % 2 == batch), batch, root)
+    return tidy(serving.rolled_catalogue(spark.read.parquet(root.table("batch_topics"))))
+
+
+@query("q2_pruned_stats", _sql_of("q2_enhanced_stats"))
+def q2_pruned(spark, sf):
+    """Two days of statistics; folders of batches that were processed earlier stay closed."""
+    kept, rollup = _rolled(spark, sf)
+    return tidy(serving.enhanced_stats(kept, last_instant(spark, sf), hours=48, rollup=rollup))
+
+
+@query("q6_rolled_up", _sql_of("q6_recent_batches"))
+def q6_rolled(spark, sf):
+    return tidy(serving.rolled_batches(_rolled(spark, sf)[1]))
+
+
+@query("q7_rolled_up", _sql_of("q7_feature_stats"))
+def q7_rolled(spark, sf):
+    return serving.rolled_stats(_rolled(spark, sf)[1])
+
+
+@query("a32_rolled_up", _sql_of("a32_topic_distribution"))
+def a32_rolled(spark, sf):
+    return tidy(feature_tables.merged_distribution(_rolled(spark, sf)[1]))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.functions.scalars import is_filled, iso, json_float, present
 from pulsegrid.operators.snapshot import error_flag
-from pulsegrid.plans.feature_tables import batch_summary
+from pulsegrid.plans.feature_tables import batch_summary, merged_summary
 
 
 def _instant(as_of) -> Column:
@@ -38,12 +38,42 @@ def topic_catalogue(stored: DataFrame) -> DataFrame:
     )
 
 
-def enhanced_stats(stored: DataFrame, as_of=None, hours: int = 1) -> DataFrame:
+def rolled_catalogue(rollup: DataFrame) -> DataFrame:
+    """The rows of `topic_catalogue` from the roll-ups of all batches; no message is read.
+
+    Batches of a topic are counted after grouping by them: a plain sum, however many there are.
+    """
+    batches = rollup.groupBy("topic", "batch_id").agg(
+        *[F.sum(c).alias(c) for c in ("total", "with_features", "with_enhanced", "with_sliding")],
+        F.min("first_message").alias("first_message"),
+        F.max("last_message").alias("last_message"),
+    )
+    return (
+        batches.groupBy("topic")
+        .agg(
+            F.sum("total").alias("total_messages"),
+            F.min("first_message").alias("first_message"),
+            F.max("last_message").alias("last_message"),
+            F.count(F.lit(1)).alias("batch_count"),
+            F.sum("with_features").alias("messages_with_features"),
+            F.sum("with_enhanced").alias("messages_with_enhanced_features"),
+            F.sum("with_sliding").alias("messages_with_sliding_features"),
+        )
+        .orderBy(F.desc("total_messages"), "topic")
+    )
+
+
+def enhanced_stats(stored: DataFrame, as_of=None, hours: int = 1, rollup: DataFrame | None = None) -> DataFrame:
     """Per-topic averages of what was processed in the last hour.
 
-    A message without the document counts as 0 in the averages.
+    A message without the document counts as 0 in the averages. With the roll-ups of a stored
+    table only folders of batches that were processed since are opened.
     """
-    recent = stored.filter(F.col("processed_at") >= _since(as_of, hours))
+    since = _since(as_of, hours)
+    recent = stored.filter(F.col("processed_at") >= since)
+    if rollup is not None:
+        folders = rollup.filter(F.col("last_processed") >= since).select("date", "batch_id").distinct()
+        recent = recent.join(folders, ["date", "batch_id"], "left_semi")
     return (
         recent.groupBy("topic")
         .agg(
@@ -104,6 +134,25 @@ def recent_batches(stored: DataFrame, limit: int = 20) -> DataFrame:
     )
 
 
+def rolled_batches(rollup: DataFrame, limit: int = 20) -> DataFrame:
+    """The rows of `recent_batches` from roll-ups."""
+    return (
+        rollup.groupBy("batch_id")
+        .agg(
+            F.sum("total").alias("messages"),
+            F.min("first_message").alias("first_message"),
+            F.max("last_message").alias("last_message"),
+        )
+        .orderBy(F.desc("batch_id"))
+        .limit(limit)
+    )
+
+
+def rolled_stats(rollup: DataFrame) -> DataFrame:
+    """The row of `feature_stats` from roll-ups."""
+    return merged_summary(rollup)
+
+
 def feature_stats(stored: DataFrame) -> DataFrame:
     """Document and signal counts over everything stored."""
     return batch_summary(stored)

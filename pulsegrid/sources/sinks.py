@@ -62,6 +62,11 @@ def write_batch_table(df: DataFrame, path: str, batch_id: int) -> None:
     ).parquet(path)
 
 
+def write_rollups(df: DataFrame, path: str) -> None:
+    """Roll-ups of any batches, in the layout `write_batch_table` gives to those of one."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+
+
 def outgoing(routed: DataFrame) -> DataFrame:
     """Routed messages that go to a topic, as Kafka records."""
     rows = routed.filter("dest_topic IS NOT NULL")
