@@ -1067,6 +1067,38 @@ def h5(spark, sf):
     )
 
 
+@query(
+    "h5_compacted_history",
+    """SELECT topic, ts::DATE::VARCHAR AS day, count(*) AS records, min(us) AS first, max(us) AS last,
+              sum(seq * 3 + pos)::BIGINT AS numbers FROM hist GROUP BY ALL""",
+)
+def h5_compacted(spark, sf):
+    """Four batches of every day, compacted; one is replayed before the sweep, one after it, one comes late."""
+    path = scratch_path(spark, "history")
+    rows = stored_history(spark, sf)
+
+    def store(batch: int) -> None:
+        history.append_history(rows.filter(F.col("seq") % 5 == batch), path, batch)
+
+    for batch in range(4):
+        store(batch)
+    end = dt.date(2100, 1, 1)
+    history.compact_history(spark, path, end)
+    store(1)
+    history.compact_history(spark, path, end)
+    store(2)
+    store(4)
+    kept = history.read_history(spark, path)
+    return tidy(
+        kept.groupBy("topic", F.col("date").cast("string").alias("day")).agg(
+            F.count(F.lit(1)).alias("records"),
+            F.min("timestamp").alias("first"),
+            F.max("timestamp").alias("last"),
+            F.sum(F.col("seq") * 3 + F.col("pos")).alias("numbers"),
+        )
+    )
+
+
 @query(
     "h4_retention",
     """SELECT topic, count(*) AS records, min(us) AS first FROM hist

@@ -1,0 +1,122 @@
+"""Compacted day folders: same rows, few files, replays and interrupted runs included."""
+
+from __future__ import annotations
+
+import datetime as dt
+from pathlib import Path
+
+from builders import history
+from pyspark.sql import functions as F
+
+from pulsegrid import schemas
+from pulsegrid.operators.history import append_history, compact_history, expire_history, read_history
+from pulsegrid.sources import compaction
+
+DAY = dt.date(2024, 1, 1)
+ORDER = ("topic", "timestamp", "batch_id", "seq", "pos")
+
+
+def some(spark, batch, value=1.0):
+    """Five records at noon and five a day later."""
+    rows = [("demo-a", 86400.0 * (i % 2) + i, 10 * batch + i, 9, value, 0.0, 1, "s") for i in range(10)]
+    return history(spark, rows)
+
+
+def rows_of(frame):
+    return sorted(frame.select("batch_id", "seq", "value", "date", "timestamp").collect())
+
+
+def files_of(path):
+    return [f for f in Path(path).rglob("*.parquet")]
+
+
+def stored(spark, path, batches=6):
+    for batch in range(batches):
+        append_history(some(spark, batch), path, batch)
+    return rows_of(read_history(spark, path))
+
+
+def test_days_become_few_files_and_read_the_same(spark, tmp_path):
+    path = str(tmp_path / "h")
+    before = stored(spark, path)
+    assert compact_history(spark, path, dt.date(2024, 1, 2)) == [DAY]
+    assert rows_of(read_history(spark, path)) == before  # both forms lie there
+    assert compact_history(spark, path, dt.date(2024, 1, 3)) == [DAY + dt.timedelta(1)]
+    assert not compact_history(spark, path, dt.date(2024, 1, 3))  # nothing new: only swept
+    assert rows_of(read_history(spark, path)) == before
+    assert len(files_of(path)) == 2
+    since = dt.datetime(2024, 1, 2, tzinfo=dt.timezone.utc)
+    assert rows_of(read_history(spark, path, since, 3, [DAY + dt.timedelta(1)])) == [
+        r for r in before if r.date > DAY and r.batch_id <= 3
+    ]
+
+
+def test_replayed_and_late_batches(spark, tmp_path):
+    path = str(tmp_path / "h")
+    before = stored(spark, path)
+    compact_history(spark, path, dt.date(2024, 1, 3))
+    append_history(some(spark, 2), path, 2)  # between publishing and sweeping
+    assert rows_of(read_history(spark, path)) == before
+    compact_history(spark, path, dt.date(2024, 1, 3))
+    append_history(some(spark, 3, 7.0), path, 3)  # replayed with other values: the latest count
+    append_history(some(spark, 9), path, 9)  # a late batch
+    found = rows_of(read_history(spark, path))
+    assert [r for r in found if r.batch_id not in (3, 9)] == [r for r in before if r.batch_id != 3]
+    assert [r.value for r in found if r.batch_id == 3] == [7.0] * 10
+    for _ in range(2):
+        compact_history(spark, path, dt.date(2024, 1, 3))
+        assert rows_of(read_history(spark, path)) == found
+    compact_history(spark, path, dt.date(2024, 1, 3))
+    assert len(files_of(path)) == 2
+
+
+def test_batches_that_are_not_finished_stay(spark, tmp_path):
+    path = str(tmp_path / "h")
+    before = stored(spark, path)
+    compact_history(spark, path, dt.date(2024, 1, 3), upto_batch=3)
+    assert compaction.manifest(spark, path, DAY).batches == (0, 1, 2, 3)
+    assert rows_of(read_history(spark, path)) == before
+    compact_history(spark, path, dt.date(2024, 1, 3), upto_batch=3)
+    assert compaction.raw_batches(spark, path, DAY) == [4, 5]
+    assert rows_of(read_history(spark, path)) == before
+
+
+def test_unpublished_copies_and_rival_runs_change_nothing(spark, tmp_path):
+    path = str(tmp_path / "h")
+    before = stored(spark, path)
+    rows = compaction.read_day(spark, path, schemas.HISTORY, DAY).drop("date")
+    rows.write.parquet(f"{path}/_closed/date=2024-01-01/copy-dead")  # died before its manifest
+    assert rows_of(read_history(spark, path)) == before
+    first = compaction.compact_day(spark, path, schemas.HISTORY, DAY, ORDER)
+    compaction._publish(spark, path, DAY, compaction.Manifest(first.number, "copy-dead", first.batches))
+    assert rows_of(read_history(spark, path)) == before
+    compaction.sweep_day(spark, path, DAY)
+    assert rows_of(read_history(spark, path)) == before
+
+
+def test_files_are_cut_by_size_and_sorted(spark, tmp_path):
+    path = str(tmp_path / "h")
+    before = stored(spark, path, 3)
+    made = compaction.compact_day(spark, path, schemas.HISTORY, DAY, ORDER, file_bytes=2000)
+    folder = Path(path) / "_closed" / "date=2024-01-01" / made.folder
+    files = sorted(folder.glob("*.parquet"))
+    assert len(files) > 1
+    ends = [spark.read.parquet(str(f)).agg(F.min("timestamp"), F.max("timestamp")).first() for f in files]
+    assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
+    assert rows_of(read_history(spark, path)) == before
+
+
+def test_empty_tables_single_batches_and_retention(spark, tmp_path):
+    path = str(tmp_path / "h")
+    assert compaction.compact_table(spark, path, schemas.HISTORY, DAY, ORDER) == []
+    assert compaction.read_table(spark, path, schemas.HISTORY).count() == 0
+    stored(spark, path, 1)
+    assert compact_history(spark, path, dt.date(2024, 1, 3)) == []  # one folder is no gain
+    unknown = F.lit(None).cast("timestamp")
+    append_history(some(spark, 1).withColumns({"timestamp": unknown, "arrived": unknown}), path, 1)
+    append_history(some(spark, 2), path, 2)
+    assert read_history(spark, path).count() == 30  # ten of them without a day
+    compact_history(spark, path, dt.date(2024, 1, 3))
+    assert read_history(spark, path).count() == 30
+    expire_history(spark, path, dt.date(2024, 1, 2))
+    assert read_history(spark, path).filter("date = '2024-01-01'").count() == 0
