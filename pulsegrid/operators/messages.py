@@ -93,7 +93,8 @@ def _features(signal: str, resources: Column, resource_source: bool = False) ->
 
 
 def parse_by_origin(messages: DataFrame) -> DataFrame:
-    """One row per resource entry of a message, with its service as `origin` and its feature arrays.
+    """One row per resource entry of a message, with its place as `entry`, its service as `origin`
+    and its feature arrays.
 
     A service's signals may come in several topics; grouped by origin they meet. Entries
     without a service name have the origin 'unknown'.
@@ -113,10 +114,10 @@ def parse_by_origin(messages: DataFrame) -> DataFrame:
         return F.transform(F.array_compact(f"_{signal}"), alone)
 
     every = F.flatten(F.array_compact(F.array(*[entries(s) for s in SIGNAL_KEYS])))
-    rows = lists.select(*messages.columns, F.explode_outer(every).alias("_entry"))
-    rows = rows.filter("_entry IS NOT NULL").select(*messages.columns, "_entry.*")
+    rows = lists.select(*messages.columns, F.posexplode_outer(every).alias("entry", "_entry"))
+    rows = rows.filter("_entry IS NOT NULL").select(*messages.columns, "entry", "_entry.*")
     arrays = [_features(s, F.col(s)) for s in SIGNAL_KEYS]
-    return rows.select(*messages.columns, "origin", *arrays)
+    return rows.select(*messages.columns, "entry", "origin", *arrays)
 
 
 def signals_present(messages: DataFrame) -> DataFrame:

@@ -79,9 +79,13 @@ def build(
     bounds: tuple[dt.datetime, dt.datetime] | None = None,
     history_limit: int | None = None,
     group_rows: int = GROUP_ROWS,
+    scored: DataFrame | None = None,
 ) -> FeatureTables:
     """Feature tables of `messages`.
 
+    `scored` gives messages (topic, seq) the correlation row of their own group, a service say; by
+    default all messages of a topic carry that of the topic.
+
     `history` is what the frames may reach back to, this batch included; by
     default it is the batch alone. Pass `parsed` when parse_batch was already run.
     """
@@ -103,9 +107,6 @@ def build(
         enhanced_document().alias("enhanced_features"),
         sliding_document().alias("sliding_features"),
     )
-    correlation = correlate(facts(parsed)).select(
-        "topic", correlation_document().alias("correlation_features")
-    )
     rows = parsed.select(
         "topic",
         "value",
@@ -113,7 +114,12 @@ def build(
         "seq",
         features_document(F.col("logs"), F.col("traces"), F.col("metrics")).alias("features"),
     ).join(running, ["topic", "seq"], "left")
-    rows = attach_correlation(rows, correlation).select(
+    document = correlation_document().alias("correlation_features")
+    if scored is None:
+        rows = attach_correlation(rows, correlate(facts(parsed)).select("topic", document))
+    else:
+        rows = rows.join(scored.select("topic", "seq", document), ["topic", "seq"], "left")
+    rows = rows.select(
         "topic",
         "value",
         "ts",

@@ -140,6 +140,10 @@ def rounded(*columns: str) -> str:
     return ", ".join(parts)
 
 
+def _sql_of(name: str) -> str:
+    return ORACLES[name].removeprefix(BASE.strip())
+
+
 # ---- sources, sinks, routing ---------------------------------------------
 
 
@@ -1299,6 +1303,25 @@ def a30_service(spark, sf):
     return tidy(correlation.correlate(correlation.facts(parsed, ("origin",)), ("origin",), threshold=400.0))
 
 
+@query("a30_across_batches", _sql_of("a30_correlation_by_service"))
+def a30_batches(spark, sf):
+    """The deployed topics as a stream: logs, spans and metrics of a service come in micro-batches of
+    their own, one of them run twice; scores are merged from what the batches stored."""
+    root = job.TableRoot(scratch_path(spark, "meetings"))
+    for signal in ALL:
+        sent = source(spark, sf, (signal,)).withColumn("topic", F.concat("topic", F.lit(f"-{signal}")))
+        sent.coalesce(1).write.mode("append").parquet(root.table("in"))
+    stream = sources_of_messages.message_table_stream(spark, root.table("in"), maxFilesPerTrigger="1")
+
+    def correlated(batch: DataFrame, batch_id: int) -> None:
+        for _ in range(2 if batch_id == 1 else 1):
+            job.correlate_batch(batch, batch_id, root, threshold=400.0)
+
+    running = stream.writeStream.foreachBatch(correlated).option("checkpointLocation", root.table("state"))
+    running.trigger(availableNow=True).start().awaitTermination()
+    return tidy(job.service_scores(spark, root))
+
+
 @query(
     "a30_attached",
     _CORRELATION
@@ -1823,10 +1846,6 @@ def _rolled(spark, sf) -> tuple[DataFrame, DataFrame]:
     return kept, spark.read.parquet(root.table("batch_topics"))
 
 
-def _sql_of(name: str) -> str:
-    return ORACLES[name].removeprefix(BASE.strip())
-
-
 @query("q1_rolled_up", _sql_of("q1_served_topics"))
 def q1_rolled(spark, sf):
     """The catalogue from the roll-ups that the job wrote with each batch; one batch is run again."""

@@ -77,18 +77,18 @@ def test_batches_that_are_not_finished_stay(spark, tmp_path):
     assert compaction.manifest(spark, path, DAY).batches == (0, 1, 2, 3)
     assert rows_of(read_history(spark, path)) == before
     compact_history(spark, path, dt.date(2024, 1, 3), upto_batch=3)
-    assert compaction.raw_batches(spark, path, DAY) == [4, 5]
+    assert compaction.day_state(spark, path, DAY).own == (4, 5)
     assert rows_of(read_history(spark, path)) == before
 
 
 def test_unpublished_copies_and_rival_runs_change_nothing(spark, tmp_path):
     path = str(tmp_path / "h")
     before = stored(spark, path)
-    rows = compaction.read_day(spark, path, schemas.HISTORY, DAY).drop("date")
-    rows.write.parquet(f"{path}/_closed/date=2024-01-01/copy-dead")  # died before its manifest
+    rows = read_history(spark, path, days=[DAY]).drop("date")
+    rows.write.parquet(f"{path}/_closed/date=2024-01-01/copy=dead")  # died before its manifest
     assert rows_of(read_history(spark, path)) == before
     first = compaction.compact_day(spark, path, schemas.HISTORY, DAY, ORDER)
-    compaction._publish(spark, path, DAY, compaction.Manifest(first.number, "copy-dead", first.batches))
+    compaction._publish(spark, path, DAY, compaction.Manifest(first.number, "copy=dead", first.batches))
     assert rows_of(read_history(spark, path)) == before
     compaction.sweep_day(spark, path, DAY)
     assert rows_of(read_history(spark, path)) == before

@@ -1,0 +1,126 @@
+"""Correlation across micro-batches: stored minutes and instants against one batch of everything."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+
+import pytest
+from builders import NANO, T0, attribute, log, metric, span
+
+from pulsegrid.operators import correlation, meetings, messages
+from pulsegrid.streaming import job
+
+MINUTE = 60_000_000_000
+
+
+def named(entry, service):
+    for resources in entry.values():
+        resources[0]["resource"] = {"attributes": [attribute("service.name", stringValue=service)]}
+    return entry
+
+
+def sent(spark, rows):
+    """Messages of (topic, minute after T0, seq, document)."""
+    full = [(t, json.dumps(d), T0 + dt.timedelta(minutes=m), s) for t, m, s, d in rows]
+    return spark.createDataFrame(full, "topic string, value string, ts timestamp, seq long")
+
+
+def a_log(minute, service="shop", severity=9):
+    return named(log(observedTimeUnixNano=str(NANO + minute * MINUTE), severityNumber=severity), service)
+
+
+def a_span(minute, service="shop", failed=False):
+    start = NANO + minute * MINUTE
+    body = {"name": "get", "startTimeUnixNano": str(start), "endTimeUnixNano": str(start + 5),
+            "attributes": [attribute("service.name", stringValue=service)], "status": {"code": 2 if failed else 1}}
+    return named(span(**body), service)
+
+
+def a_point(minute, service="shop", value=1.0, name="k8s.container.restarts"):
+    points = {"dataPoints": [{"timeUnixNano": str(NANO + minute * MINUTE), "asDouble": value}]}
+    return named(metric(name=name, gauge=points), service)
+
+
+def deployed():
+    """Three topics of one service, one of another, cut so that signals never share a batch."""
+    logs = [("shop-logs", m, m, a_log(m, severity=17 if m % 2 else 9)) for m in range(6)]
+    spans = [("shop-traces", m, m, a_span(m, failed=m == 3)) for m in range(4)]
+    points = [("shop-metrics", m, m, a_point(m, value=float(m - 1))) for m in range(4)]
+    points += [("shop-metrics", 9, 9, a_point(9, value=5.5, name="cpu.utilization"))]
+    other = [("other-logs", 1, 0, a_log(1, "other")), ("other-logs", 2, 1, {"resourceLogs": [7]})]
+    return [logs[:3], spans, points + other, logs[3:]]
+
+
+def stored(spark, path, batches, again=()):
+    root = job.TableRoot(path)
+    for number in [*range(len(batches)), *again]:
+        job.correlate_batch(sent(spark, batches[number]), number, root)
+    return root
+
+
+def whole(spark, batches):
+    rows = messages.parse_by_origin(sent(spark, [r for b in batches for r in b]))
+    return sorted(correlation.correlate(correlation.facts(rows, ("origin",)), ("origin",)).collect())
+
+
+def test_batches_of_single_signals_score_as_one_batch_and_survive_replay(spark, tmp_path):
+    batches = deployed()
+    root = stored(spark, str(tmp_path), batches, again=(0, 3, 1))
+    found = sorted(job.service_scores(spark, root).collect())
+    assert found == whole(spark, batches)
+    shop = {r.origin: r for r in found}["shop"]
+    assert (shop.temporal_overlap, shop.error_correlation_score, shop.service_diversity) == (1, 3, 1)
+    assert (shop.pods_restarting, shop.resource_utilization) == (3, 5.5)
+    other = {r.origin: r for r in found}["other"]
+    assert (other.temporal_overlap, other.pods_restarting) == (None, None)
+
+
+@pytest.mark.parametrize("low, high", [(0, 2), (2, 3), (4, 9), (100, 101)])
+def test_windows_of_minutes(spark, tmp_path, low, high):
+    batches = deployed()
+    root = stored(spark, str(tmp_path), batches)
+    ends = [T0 + dt.timedelta(minutes=m) for m in (low, high)]
+    inside = [[r for r in b if low <= r[1] <= high] for b in batches]
+    rows = [r for b in inside for r in b]
+    found = sorted(job.service_scores(spark, root, *ends).collect())
+    assert found == (whole(spark, inside) if rows else [])
+
+
+def test_instants_meet_only_when_equal(spark, tmp_path):
+    late = a_log(0)
+    late["resourceLogs"][0]["scopeLogs"][0]["logRecords"][0]["observedTimeUnixNano"] = str(NANO + 1000)
+    root = stored(spark, str(tmp_path), [[("l", 0, 0, late)], [("t", 0, 0, a_span(0))]])
+    assert job.service_scores(spark, root).first().temporal_overlap == 0
+
+
+def test_later_batches_and_clocks_ahead(spark, tmp_path):
+    ahead = ("l", 0, 0, a_log(10_000))  # stamped a week after its message
+    root = stored(spark, str(tmp_path), [[ahead], [("t", 1, 0, a_span(1, failed=True))]])
+    first = job.service_scores(spark, root, T0, T0, 0).first()
+    assert (first.error_density, first.temporal_overlap) == (0.0, None)
+    assert job.service_scores(spark, root, T0).first().error_density == 0.5
+    assert job.service_scores(spark, root, upto_batch=-1).count() == 0
+
+
+def test_a_message_counts_for_its_first_readable_entry(spark):
+    two = {"resourceLogs": a_log(0, "empty")["resourceLogs"] + a_log(0, "b")["resourceLogs"]}
+    two["resourceLogs"][0]["scopeLogs"] = []
+    rows = meetings.origin_facts(sent(spark, [("x", 0, 0, two), ("x", 0, 1, a_log(0, "a")), ("x", 0, 2, {})]))
+    assert {(r.seq, r.origin) for r in meetings.first_origins(rows).collect()} == {(0, "b"), (1, "a")}
+
+
+def test_the_job_gives_messages_the_scores_of_their_service(spark, tmp_path):
+    root = job.TableRoot(str(tmp_path))
+    for number, rows in enumerate(deployed()):
+        job.process_batch(sent(spark, rows), number, root, service_minutes=10)
+    kept = spark.read.parquet(root.table("messages"))
+    last = kept.filter("batch_id = 3").select("correlation_features").distinct().collect()
+    assert len(last) == 1
+    scores = json.loads(last[0][0])
+    # ten minutes up to the batch's latest message, the point of minute 9 is not among them
+    recent = job.service_scores(spark, root, T0 - dt.timedelta(minutes=4), T0 + dt.timedelta(minutes=5))
+    wanted = {r.origin: r for r in recent.collect()}["shop"].asDict()
+    assert scores == {k: v for k, v in wanted.items() if k != "origin" and v is not None}
+    unread = kept.filter("topic = 'other-logs' AND ts > '2024-01-01 12:01:30'").first()
+    assert unread.correlation_features == ""
