@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsegrid.plans import envelopes
+from pulsegrid.session import files_at_once
+from pulsegrid.sources import sinks
 
 
 def _events(spark, path, rows):
@@ -29,3 +31,18 @@ def test_splits_of_messages_grow_in_number_not_in_size(spark, tmp_path, monkeypa
     sizes = [r["count"] for r in made.groupBy(F.spark_partition_id().alias("split")).count().collect()]
     assert sum(sizes) == rows
     assert max(sizes) < 1_000
+
+
+def test_routed_lines_are_written_without_a_sort(spark, tmp_path):
+    rows = spark.range(40).select(
+        F.format_string("r%d", F.col("id") % 5).alias("route"),
+        F.lit("logs").alias("signal"),
+        F.col("id").cast("string").alias("value"),
+    )
+    with files_at_once(spark, sinks.ROUTED_FILES):
+        assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == str(sinks.ROUTED_FILES)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") != str(sinks.ROUTED_FILES)
+    lines = rows.coalesce(1).sortWithinPartitions(F.col("value").cast("int"))
+    sinks.write_routed(lines, str(tmp_path), 3)
+    back = sinks.read_routed(spark, str(tmp_path))
+    assert {(r["batch_id"], r["route"], r["value"]) for r in back.collect()} == {(3, f"r{i % 5}", str(i)) for i in range(40)}
