@@ -5,8 +5,11 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from builders import T0, history
 from pyspark.sql import functions as F
+from test_features import check, expected_at_messages, frame_of, some_history
 
+from pulsegrid.operators import running
 from pulsegrid.plans import envelopes
 from pulsegrid.session import files_at_once
 from pulsegrid.sources import sinks
@@ -46,3 +49,24 @@ def test_routed_lines_are_written_without_a_sort(spark, tmp_path):
     sinks.write_routed(lines, str(tmp_path), 3)
     back = sinks.read_routed(spark, str(tmp_path))
     assert {(r["batch_id"], r["route"], r["value"]) for r in back.collect()} == {(3, f"r{i % 5}", str(i)) for i in range(40)}
+
+
+@pytest.mark.parametrize(("chunk", "group_rows", "same_time"), [(3, 50, False), (7, 10**6, False), (5, 30, True)])
+def test_long_frames_are_merged_from_parts(spark, monkeypatch, chunk, group_rows, same_time):
+    rows = some_history(150, same_time=same_time)
+    frame = frame_of(rows)
+    asked = [(r.topic, r.timestamp.to_pydatetime(), r.seq) for r in frame.itertuples()]
+    end = frame["timestamp"].max().to_pydatetime()
+    asked += [("demo-a", T0 - dt.timedelta(hours=1), 900), ("demo-c", end, 2001)]
+    asked += [("demo-a", end + dt.timedelta(minutes=30 * i), 2000 + i) for i in range(20)]
+    messages = spark.createDataFrame(asked, "topic string, ts timestamp, seq long")
+    windows, merged, plain = (5, 15, 600), [], running._far_frames
+    monkeypatch.setattr(running, "_far_frames", lambda *a: merged.append(a[2]) or plain(*a))
+    found = running.running_features(history(spark, rows), messages, windows, 5, chunk=chunk, group_rows=group_rows)
+    found = {(r.topic, r.seq): r.asDict() for r in found.collect()}
+    assert merged and 600 in merged[0]
+    wanted = dict(expected_at_messages(rows, asked, windows, 5, 10**9))
+    assert set(found) == set(wanted)
+    for key, want in wanted.items():
+        assert found[key]["history_count"] == want["history_count"]
+        check(found[key], want, running.enhanced_names() + running.sliding_names(windows))
