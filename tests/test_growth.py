@@ -9,7 +9,7 @@ from builders import T0, history
 from pyspark.sql import functions as F
 from test_features import check, expected_at_messages, frame_of, some_history
 
-from pulsegrid.operators import running
+from pulsegrid.operators import quantiles, running
 from pulsegrid.plans import envelopes
 from pulsegrid.session import files_at_once
 from pulsegrid.sources import sinks
@@ -70,3 +70,14 @@ def test_long_frames_are_merged_from_parts(spark, monkeypatch, chunk, group_rows
     for key, want in wanted.items():
         assert found[key]["history_count"] == want["history_count"]
         check(found[key], want, running.enhanced_names() + running.sliding_names(windows))
+
+
+def test_further_digits_are_worked_out_for_chosen_cells_only(spark, monkeypatch):
+    seen, plain = [], quantiles._with_digits
+    monkeypatch.setattr(quantiles, "_with_digits", lambda cells: seen.append(cells.columns) or plain(cells))
+    values = [1.0, 1.0 + 1e-9, 1.0 + 2e-9, 7.5, -3.0, 0.0, None]
+    rows = spark.createDataFrame([("a", v) for v in values], "topic string, value double")
+    found = quantiles.exact_quantile(rows, ["topic"], ["value"], 0.5).first()["value_q"]
+    assert found == 1.0 + 0.5 * 1e-9 or abs(found - (1.0 + 0.5e-9)) < 1e-12
+    assert ["low" in columns for columns in seen] == [False, True, True]
+'''
