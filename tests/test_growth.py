@@ -80,4 +80,3 @@ def test_further_digits_are_worked_out_for_chosen_cells_only(spark, monkeypatch)
     found = quantiles.exact_quantile(rows, ["topic"], ["value"], 0.5).first()["value_q"]
     assert found == 1.0 + 0.5 * 1e-9 or abs(found - (1.0 + 0.5e-9)) < 1e-12
     assert ["low" in columns for columns in seen] == [False, True, True]
-'''
