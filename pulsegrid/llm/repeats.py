@@ -7,8 +7,9 @@ by it and each bucket is a collection of its own: the transform with common pref
 windows beside each other, and the least id of such a run goes back to all its pieces.
 
 Pieces whose gram a single document has cannot share a window; they are found beforehand from the
-grams' hashes alone. A gram met in very many unlike pieces is dealt by whole windows instead. Both leave
-the result as it is. Documents travel in packs, requests and answers are one row a pack and bucket,
+grams' hashes alone. Nor can a piece, however often it was copied, whose gram no unlike piece of its bucket
+has: it stays out of the transform. A gram met in very many unlike pieces is dealt by whole windows instead.
+All of this leaves the result as it is. Documents travel in packs, requests and answers are one row a pack and bucket,
 so a passage that every document holds is asked for once a pack.
 """
 
@@ -206,6 +207,15 @@ def _judged(group: pa.Table) -> pa.Table:
     return pa.Table.from_batches([rows(CODES, out)])
 
 
+def _partnered(data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Which of unlike pieces (concatenated, and their lengths) have a gram that another one has too."""
+    pieces = Pieces(data, sizes)
+    # borders of blocks may cut a piece in two of the same gram
+    gram = pieces.gram[np.searchsorted(pieces.doc, np.arange(sizes.size))]
+    _, of, met = np.unique(gram, return_inverse=True, return_counts=True)
+    return met[of] > 1
+
+
 def _matched(group: pa.Table) -> pa.Table:
     """Least ids of the windows of a bucket's pieces, for every pack."""
     asked = []
@@ -220,8 +230,12 @@ def _matched(group: pa.Table) -> pa.Table:
     for _, numbers, own in asked:
         np.minimum.at(ids, numbers, own)
     sizes = np.array([len(t) for t in number])
-    least = least_ids(np.frombuffer(b"".join(number), np.uint8), sizes, ids, WIDTH)
+    data = np.frombuffer(b"".join(number), np.uint8)
     windows = sizes - WIDTH + 1
+    # a window of a piece without partners lies in that piece alone
+    some, least = _partnered(data, sizes), np.repeat(ids, windows)
+    if some.any():
+        least[np.repeat(some, windows)] = least_ids(data[np.repeat(some, sizes)], sizes[some], ids[some], WIDTH)
     starts = np.cumsum(windows) - windows
     bucket = group.column("bucket")[0].as_py()
     out = []

@@ -101,6 +101,36 @@ def test_a_byte_of_a_letter_may_go(spark):
     assert {r["doc_id"]: bytes(r["kept"]) for r in kept}[2] == "è".encode()[1:]
 
 
+def test_only_pieces_with_partners_are_transformed(monkeypatch):
+    """Copies are one piece, and without an unlike piece of their gram they stay out of the transform."""
+    chance = random.Random(5)
+    texts = [bytes(chance.choices(range(97, 123), k=400)) for _ in range(20)]
+    near = texts[0][:200] + b"_" + texts[0][200:]
+    body, sizes = b"".join([*texts, *texts, near]), np.array([400] * 40 + [401])
+    ids = np.arange(41, 0, -1)
+    pieces = repeats.Pieces(np.frombuffer(body, np.uint8), sizes)
+    asked = repeats.Requests(pieces, ids, np.ones(pieces.start.size, np.uint8), 1)
+    (_, numbers), = asked.by_bucket()
+    parts = [asked.texts[i] for i in numbers]
+    row = (7, 0, *(repeats.squeezed(a) for a in (np.frombuffer(b"".join(parts), np.uint8), np.array([len(t) for t in parts], np.uint8), asked.least[numbers])))
+    given = []
+
+    def counted(data, sizes, ids, width):
+        given.append(sizes.size)
+        return transform.least_ids(data, sizes, ids, width)
+
+    monkeypatch.setattr(repeats, "least_ids", counted)
+    out = repeats._matched(repeats.pa.Table.from_batches([repeats.rows(repeats.PIECES, [row])])).to_pylist()[0]
+    first: dict[bytes, int] = {}
+    for text, i in zip([*texts, *texts, near], ids.tolist()):
+        for at in range(len(text) - WIDTH + 1):
+            window = text[at:at + WIDTH]
+            first[window] = min(first.get(window, i), i)
+    want = [first[t[at:at + WIDTH]] for t in parts for at in range(len(t) - WIDTH + 1)]
+    assert repeats.unsqueezed(out["least"], np.int64).tolist() == want
+    assert sum(given) < len(parts) / 4
+
+
 def shared(a: bytes, b: bytes) -> int:
     return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
 
