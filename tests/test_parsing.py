@@ -335,6 +335,14 @@ def test_a_message_is_parsed_once(spark):
         assert text.count("parse_json") + text.count("parseJson") == 1 and "from_json(value" not in text
 
 
+def test_problems_are_looked_for_once(spark):
+    """Nothing below the explosion of the problems asks for them, to drop empty lists."""
+    for plan in (ops.quarantined(messages(spark, ["{}"])), ops.unread(ops.read(messages(spark, ["{}"])))):
+        text = plan._jdf.queryExecution().optimizedPlan().toString()
+        below = text[text.index("Generate inline"):]
+        assert "Filter" not in below and below.count("not an object") > 0
+
+
 def test_a_value_that_forges_the_list_is_no_object(spark):
     bad = ['{"a":1},2', '{"a":1}], [', '{"a":1}] x', '{"a":1},{"b":2}', '{"a":1}/**/', "{\"a\":1}\x00"]
     assert ops.accepted(messages(spark, bad)).count() == 0
