@@ -11,6 +11,7 @@ from test_features import check, expected_at_messages, frame_of, some_history
 
 from pulsegrid.operators import quantiles, running
 from pulsegrid.plans import envelopes
+from pulsegrid.plans.queries import QUERIES
 from pulsegrid.session import files_at_once
 from pulsegrid.sources import sinks
 
@@ -80,3 +81,17 @@ def test_further_digits_are_worked_out_for_chosen_cells_only(spark, monkeypatch)
     found = quantiles.exact_quantile(rows, ["topic"], ["value"], 0.5).first()["value_q"]
     assert found == 1.0 + 0.5 * 1e-9 or abs(found - (1.0 + 0.5e-9)) < 1e-12
     assert ["low" in columns for columns in seen] == [False, True, True]
+
+
+def test_a_feature_document_is_read_once(spark, tmp_path):
+    """Four fields of a document take one reading of it."""
+    rows = [(1, dt.datetime(2024, 1, 1, 12), 3, "error", 2.5), (2, dt.datetime(2024, 1, 1, 13), 4, "view", 7.25)]
+    made = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double")
+    made.write.parquet(f"{tmp_path}/events.parquet")
+    found = QUERIES["f4_feature_documents"](spark, str(tmp_path))
+    assert sorted(tuple(r) for r in found.collect()) == [
+        (1, "SQLSTATE[42P01]: user 3", 2.5, 2.0, "app1"),
+        (2, "Handled view", 7.25, 7.25, "app2"),
+    ]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "get_json_object" not in plan and plan.count("from_json") == 1
