@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pyarrow.parquet as pq
 import pytest
 from builders import T0, history
 from pyspark.sql import functions as F
 from test_features import check, expected_at_messages, frame_of, some_history
 
 from pulsegrid.operators import quantiles, running
-from pulsegrid.plans import envelopes
+from pulsegrid.plans import envelopes, feature_tables
 from pulsegrid.plans.queries import QUERIES
 from pulsegrid.session import files_at_once
 from pulsegrid.sources import sinks
@@ -95,3 +96,16 @@ def test_a_feature_document_is_read_once(spark, tmp_path):
     ]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "get_json_object" not in plan and plan.count("from_json") == 1
+
+
+def _sent(spark, tmp_path, rows=40, damaged=False):
+    _events(spark, tmp_path, rows)
+    return envelopes.messages(envelopes.events(spark, str(tmp_path)), damaged=damaged)
+
+
+def test_the_parsed_table_keeps_no_dictionaries(spark, tmp_path):
+    parsed = feature_tables.parse_batch(_sent(spark, tmp_path))
+    files = [f.removeprefix("file:") for f in parsed.inputFiles()]
+    chunks = [pq.ParquetFile(f).metadata.row_group(0).column(0) for f in files if pq.ParquetFile(f).metadata.num_rows]
+    assert chunks and not any(c.has_dictionary_page for c in chunks)
+    assert parsed.count() == 40
