@@ -103,6 +103,29 @@ def _sent(spark, tmp_path, rows=40, damaged=False):
     return envelopes.messages(envelopes.events(spark, str(tmp_path)), damaged=damaged)
 
 
+def test_a_batch_reads_its_messages_once(spark, tmp_path):
+    """The bounds come from the parsed table, unreadable messages included; the source is not built for them again."""
+    sent, seen = _sent(spark, tmp_path, damaged=True), spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    tables = feature_tables.build(sent.mapInArrow(count, sent.schema))
+    assert seen.value == 40
+    assert tables.window_start == tables.window_end == dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    assert tables.messages.count() == 36 and tables.quarantine.count() == 4
+
+
+def test_records_of_a_batch_are_exploded_once(spark, tmp_path, monkeypatch):
+    kept, plain = [], feature_tables.aggregated_row
+    monkeypatch.setattr(feature_tables, "aggregated_row", lambda h, *a, **o: kept.append(h) or plain(h, *a, **o))
+    feature_tables.build(_sent(spark, tmp_path))
+    plan = kept[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and kept[0].count() == 120
+
+
 def test_the_parsed_table_keeps_no_dictionaries(spark, tmp_path):
     parsed = feature_tables.parse_batch(_sent(spark, tmp_path))
     files = [f.removeprefix("file:") for f in parsed.inputFiles()]
