@@ -132,3 +132,20 @@ def test_the_parsed_table_keeps_no_dictionaries(spark, tmp_path):
     chunks = [pq.ParquetFile(f).metadata.row_group(0).column(0) for f in files if pq.ParquetFile(f).metadata.num_rows]
     assert chunks and not any(c.has_dictionary_page for c in chunks)
     assert parsed.count() == 40
+
+
+@pytest.mark.parametrize("rows", [40, 200])
+def test_parts_of_joined_messages_grow_in_number_not_in_size(spark, tmp_path, monkeypatch, rows):
+    monkeypatch.setattr(feature_tables, "JOINED_ROWS", 10)
+    monkeypatch.setattr(feature_tables, "attach_correlation", lambda rows, scores: rows.withColumn(
+        "correlation_features", F.lit("")))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        made = feature_tables.build(_sent(spark, tmp_path, rows)).messages
+        sizes = [r["count"] for r in made.groupBy(F.spark_partition_id().alias("part")).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sum(sizes) == rows and max(sizes) <= 30
+    filled = made.filter("features != '' AND enhanced_features != '' AND sliding_features != ''")
+    assert filled.count() == rows
