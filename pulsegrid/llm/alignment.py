@@ -5,7 +5,7 @@ linked pairs of ids fall into buckets by their first id; unions of pairs go up a
 union of a bucket gets a minimal perfect hash. Packs then add their documents to dense vectors
 indexed by it (keys are verified), vectors are summed up a tree, and each pack gets the counts of its own
 pairs back and aligns its documents again. No task holds more than a bucket's pairs, whose number
-the two vocabularies bound, and TREE vectors of that length.
+the two vocabularies bound, and TREE vectors of that length; a pack is aligned a portion of its documents at a time.
 """
 
 from __future__ import annotations
@@ -30,7 +30,11 @@ from pulsegrid.session import materialise
 #: Buckets that the first ids are dealt to, and children of a node when vectors are summed.
 BUCKETS, TREE = 256, 64
 #: Pairs of tokens that are written out at a time. A group with more links is counted by its distinct ids.
-LINKS = 1 << 17
+LINKS = 1 << 16
+#: Tokens of both kinds in a portion of a pack, roughly; a longer document is a portion of its own.
+PORTION = 1 << 17
+#: Bytes of packs that Spark hands to a task's Python at a time: a pack with its pairs is some megabytes.
+HANDED = 4 << 20
 
 #: Blanks in a row that tiktoken's expressions run out of stack at; the slower tokenizers library takes such texts.
 BLANKS = re.compile(r"\s{20000}")
@@ -124,7 +128,7 @@ def _starts(counts: np.ndarray) -> np.ndarray:
 
 
 class Aligned:
-    """Groups and links of a pack: token ids of all its documents in a row, and their numbers per document."""
+    """Groups and links of some documents: the token ids of all of them in a row, and their numbers per document."""
 
     def __init__(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray):
         self.a, self.b, self.n_a, self.n_b = a.astype(np.int64), b.astype(np.int64), n_a, n_b
@@ -175,7 +179,7 @@ class Aligned:
             yield np.full(keys.size, self.doc[group]), keys, (times_a[i:i + step, None] * times_b).ravel()
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct keys, ascending by bucket and key, and how many documents hold each."""
+        """Distinct keys, ascending, and how many documents hold each."""
         found, more = np.zeros(0, np.uint64), []
         for doc, key, _ in self.links():
             more.append(_distinct(doc.astype(np.uint64) << np.uint64(32) | key.astype(np.uint64)))
@@ -184,14 +188,10 @@ class Aligned:
         found = _distinct(np.concatenate([found, *more]))
         held = np.sort((found & np.uint64(0xFFFFFFFF)).astype(np.uint32))
         first = np.flatnonzero(np.diff(held, prepend=held[:1] + np.uint32(1)))
-        keys, docs = held[first], np.diff(first, append=held.size)
-        order = np.argsort(bucket(keys.astype(np.int64), self.width), kind="stable")
-        return keys[order], docs[order]
+        return held[first], np.diff(first, append=held.size)
 
     def sums(self, keys: np.ndarray, counts: np.ndarray, best: np.ndarray) -> list[np.ndarray]:
-        """n_links, n_best and count_sum of each document, by the counts of all keys that the pack has."""
-        order = np.argsort(keys)
-        keys, counts, best = keys[order], counts[order], best[order]
+        """n_links, n_best and count_sum of each document, by ascending keys, all of its own among them, and their counts."""
         totals = [np.zeros(self.n_a.size, np.int64) for _ in range(3)]
         for doc, key, times in self.links():
             at = np.searchsorted(keys, key)
@@ -213,6 +213,28 @@ class Aligned:
             at += n
 
 
+def portions(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> Iterator[Aligned]:
+    """The documents of a pack in their order, about PORTION tokens at a time."""
+    upto, ends_a, ends_b = (np.cumsum(n) for n in (n_a + n_b, n_a, n_b))
+    at = first_a = first_b = 0
+    while at < n_a.size:
+        cut = max(at + 1, int(np.searchsorted(upto, first_a + first_b + PORTION, side="right")))
+        last_a, last_b = int(ends_a[cut - 1]), int(ends_b[cut - 1])
+        yield Aligned(a[first_a:last_a], b[first_b:last_b], n_a[at:cut], n_b[at:cut], size_a, size_b)
+        at, first_a, first_b = cut, last_a, last_b
+
+
+def pack_pairs(parts: Iterator[Aligned], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of all parts, ascending by bucket and key, and how many documents hold each."""
+    keys, docs = (np.concatenate(c) for c in zip(*(p.pairs() for p in parts), strict=True))
+    order = np.argsort(keys, kind="stable")
+    keys, docs = keys[order], docs[order]
+    first = np.flatnonzero(np.diff(keys, prepend=keys[:1] + np.uint32(1)))
+    keys, docs = keys[first], np.add.reduceat(docs, first) if first.size else docs
+    order = np.argsort(bucket(keys.astype(np.int64), width), kind="stable")
+    return keys[order], docs[order]
+
+
 def bucket(keys: np.ndarray, width: int) -> np.ndarray:
     return keys // width % BUCKETS
 
@@ -260,19 +282,22 @@ def _tokenised(docs: DataFrame, tokenizer: str, a: list[bytes], pattern: str, mo
     return materialise(packs.withColumn("pack", F.monotonically_increasing_id()), "tokens")
 
 
-def _climb(parts: DataFrame, n: int, join: Callable[[pa.Table], bytes]) -> DataFrame:
-    """One row (bucket, part 0, value) a bucket of rows in `n` parts: TREE parts are joined at a time."""
+def _climb(parts: DataFrame, n: int, join: Callable[[pa.Table], bytes], last: pa.Schema, finish: Callable[[int, bytes], tuple]) -> DataFrame:
+    """One row a bucket of rows (bucket, part, value) in `n` parts: TREE parts are joined at a time.
+
+    `finish` makes the row of `last` in the task of the last union: an operator of its own would need a second Python process beside it.
+    """
     schema = pa.schema([("bucket", pa.int32()), ("part", pa.int64()), ("value", pa.binary())])
 
     def merge(key: tuple, group: pa.Table) -> pa.Table:
         return pa.Table.from_batches([rows(schema, [(key[0].as_py(), key[1].as_py(), join(group))])])
 
-    while True:
-        n = -(-n // TREE)
-        parts = parts.withColumn("part", F.floor(F.col("part") / TREE)) if n > 1 else parts.withColumn("part", F.lit(0).cast("bigint"))
-        parts = parts.groupBy("bucket", "part").applyInArrow(merge, _ddl(schema))
-        if n == 1:
-            return parts
+    def end(key: tuple, group: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([rows(last, [finish(key[0].as_py(), join(group))])])
+
+    while (n := -(-n // TREE)) > 1:
+        parts = parts.withColumn("part", F.floor(F.col("part") / TREE)).groupBy("bucket", "part").applyInArrow(merge, _ddl(schema))
+    return parts.groupBy("bucket").applyInArrow(end, _ddl(last))
 
 
 def _counted(pairs: DataFrame, n_packs: int, width: int) -> DataFrame:
@@ -285,19 +310,16 @@ def _counted(pairs: DataFrame, n_packs: int, width: int) -> DataFrame:
         found = [_unpacked(k) for k in group.column("value").to_pylist()]
         return _packed(np.unique(np.concatenate(found)))
 
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b, data in zip(batch.column("bucket").to_pylist(), batch.column("value").to_pylist(), strict=True):
-                keys = _unpacked(data)
-                function = PerfectHash.build(keys)
-                placed = np.empty_like(keys)
-                placed[function(keys)] = keys
-                yield rows(hashed, [(b, function.dump(), squeezed(placed))])
+    def number(bucket: int, data: bytes) -> tuple:
+        keys = _unpacked(data)
+        function = PerfectHash.build(keys)
+        placed = np.empty_like(keys)
+        placed[function(keys)] = keys
+        return bucket, function.dump(), squeezed(placed)
 
     # rows of a part are joined first, then TREE parts at a time
     keysets = dealt.select("bucket", (F.col("part") * TREE).alias("part"), F.col("keys").alias("value"))
-    keysets = _climb(keysets, parts * TREE, union)
-    hashes = materialise(keysets.mapInArrow(number, _ddl(hashed)), "hashes")
+    hashes = materialise(_climb(keysets, parts * TREE, union, hashed, number), "hashes")
     every_part = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))).alias("part")
 
     def numbers(function: PerfectHash, known: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -323,7 +345,8 @@ def _counted(pairs: DataFrame, n_packs: int, width: int) -> DataFrame:
 
     by_part = lambda df: df.groupBy("bucket", "part")
     dense = by_part(dealt).cogroup(by_part(hashes.select("*", every_part))).applyInArrow(vector, _ddl(vectors))
-    sums = _climb(dense, parts, add).select("bucket", F.col("value").alias("vector"))
+    summed = pa.schema([("bucket", pa.int32()), ("vector", pa.binary())])
+    sums = _climb(dense, parts, add, summed, lambda bucket, data: (bucket, data))
     table = materialise(hashes.join(sums, "bucket"), "counts")
 
     def look_up(mine: pa.Table, table: pa.Table) -> pa.Table:
@@ -354,7 +377,7 @@ def aligned_documents(docs: DataFrame, byte_path: str, pattern: str, piece_path:
     has no tokens: zeros and ''. Null and repeated ids keep their rows; other columns are ignored.
     """
     small_batches(docs.sparkSession)
-    small_bytes(docs.sparkSession)
+    small_bytes(docs.sparkSession, HANDED)
     with open(byte_path, encoding="utf-8") as file:
         tokenizer = file.read()
     bytes_a = byte_vocabulary(tokenizer)
@@ -367,13 +390,13 @@ def aligned_documents(docs: DataFrame, byte_path: str, pattern: str, piece_path:
         raise ValueError("pairs of these vocabularies need more than 32 bits")
     tokens = _tokenised(docs, tokenizer, bytes_a, pattern, model, bytes_b)
 
-    def aligned(row: dict) -> Aligned:
+    def aligned(row: dict) -> Iterator[Aligned]:
         numbers = (np.array(row[c], np.int64) for c in ("n_a", "n_b"))
-        return Aligned(unsqueezed(row["a"], kind_a), unsqueezed(row["b"], kind_b), *numbers, size_a, size_b)
+        return portions(unsqueezed(row["a"], kind_a), unsqueezed(row["b"], kind_b), *numbers, size_a, size_b)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            keys, docs = aligned(row).pairs()
+            keys, docs = pack_pairs(aligned(row), width)
             of = bucket(keys.astype(np.int64), width)
             cuts = [*np.flatnonzero(np.diff(of, prepend=-1)).tolist(), keys.size]
             out = [
@@ -389,14 +412,19 @@ def aligned_documents(docs: DataFrame, byte_path: str, pattern: str, piece_path:
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         written = _written(len(bytes_a), len(bytes_b))
         for row in _rows(batches):
-            pack = aligned(row)
             known = row["known"] or []
             keys = [_unpacked(k["keys"]) for k in known]
             counts = [unsqueezed(k["counts"], np.int64) for k in known]
             best = [np.unpackbits(unsqueezed(k["best"], np.uint8), count=n.size).astype(bool) for k, n in zip(known, keys)]
-            sums = pack.sums(*(np.concatenate([np.zeros(0, t), *c]) for t, c in ((np.uint32, keys), (np.int64, counts), (bool, best))))
-            numbers = (c.tolist() for c in (pack.n_a, pack.n_b, pack.n_groups, *sums))
-            yield rows(OUT, [*zip(row["ids"], *numbers, pack.texts(written), strict=True)])
+            held = [np.concatenate([np.zeros(0, t), *c]) for t, c in ((np.uint32, keys), (np.int64, counts), (bool, best))]
+            order = np.argsort(held[0])
+            held = [c[order] for c in held]
+            at = 0
+            for part in aligned(row):
+                numbers = (c.tolist() for c in (part.n_a, part.n_b, part.n_groups, *part.sums(*held)))
+                ids = row["ids"][at:at + part.n_a.size]
+                yield rows(OUT, [*zip(ids, *numbers, part.texts(written), strict=True)])
+                at += len(ids)
 
     return tokens.join(listed, "pack", "left").mapInArrow(again, _ddl(OUT))
 
