@@ -8,9 +8,11 @@ windows beside each other, and the least id of such a run goes back to all its p
 
 Pieces whose gram a single document has cannot share a window; they are found beforehand from the
 grams' hashes alone. Nor can a piece, however often it was copied, whose gram no unlike piece of its bucket
-has: it stays out of the transform. A gram met in very many unlike pieces is dealt by whole windows instead.
+has: it stays out of the transform, as do windows at the borders of a piece, and whole pieces, whose hash no other
+window of its bucket has. A gram met in very many unlike pieces is dealt by whole windows instead.
 All of this leaves the result as it is. Documents travel in packs, requests and answers are one row a pack and bucket,
-so a passage that every document holds is asked for once a pack.
+so a passage that every document holds is asked for once a pack. With the requests goes a list of the places
+that asked, and comes back with the answers, so that a pack is cut without looking for its pieces again.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ from pulsegrid.session import materialise
 WIDTH, GRAM, SHORT = 50, 32, 13
 #: Windows handled at a time.
 BLOCK = 1 << 16
+#: Pieces whose windows are hashed at a time.
+STRINGS = 1 << 14
 #: Bytes of text whose grams, and whose pieces, one bucket gets; buckets that any number of texts may have.
 GRAM_BYTES, PIECE_BYTES, BUCKETS = 1 << 20, 16 << 20, 512
 #: A gram with more unlike pieces, counted by pack, is dealt by whole windows.
@@ -42,6 +46,7 @@ PACKS = pa.schema([("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())
 GRAMS = pa.schema([("pack", pa.int64()), ("bucket", pa.int32()), ("hashes", pa.binary()), ("counts", pa.binary())])
 CODES = pa.schema([("pack", pa.int64()), ("bucket", pa.int32()), ("codes", pa.binary())])
 PIECES = pa.schema([("pack", pa.int64()), ("bucket", pa.int32()), ("body", pa.binary()), ("sizes", pa.binary()), ("ids", pa.binary())])
+ASKED = PIECES.append(pa.field("places", pa.binary()))
 LEAST = pa.schema([("pack", pa.int64()), ("bucket", pa.int32()), ("least", pa.binary())])
 SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.list_(SPAN)), ("kept", pa.binary())])
@@ -52,7 +57,7 @@ _FIRST, _SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 def _joined(h: np.ndarray, step: int) -> np.ndarray:
     """Hashes of two neighbours `step` apart from hashes of each: a polynomial, cheap to extend."""
-    out = h[:-step] * (_FIRST ^ np.uint64(step << 1))
+    out = h[:-step] * (_FIRST ^ np.uint64(step << 1)).astype(h.dtype)
     out += h[step:]
     return out
 
@@ -79,39 +84,40 @@ class Pieces:
         self.doc = np.searchsorted(self.ends, self.start, side="right")
 
     def _windows(self, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of a block's windows: place of the gram, hashes of eight bytes anywhere in the block, and which windows lie in one text."""
+        """Of a block's windows: place of the gram, the eight bytes from any place of the block on, and which windows lie in one text."""
         data = self.body[at:at + BLOCK + WIDTH - 1]
         n = data.size - WIDTH + 1
-        h = data.astype(np.uint64)
-        h += np.uint64(1)
-        for step in (1, 2, 4):
-            h = _joined(h, step)
-        short = _joined(h, SHORT - 8)
-        short ^= short >> np.uint64(29)
-        short *= _SECOND
-        short >>= np.uint64(32)
+        short = data.astype(np.uint32)
+        short += np.uint32(1)
+        for step in (1, 2, 4, SHORT - 8):
+            short = _joined(short, step)
+        short ^= short >> np.uint32(15)
+        short *= np.uint32(_SECOND & np.uint64(0xFFFFFFFF))
         # leftmost least hash of the short grams of each window, doubling
         count, span = WIDTH - SHORT + 1, 1
-        least, offset = short.astype(np.uint32), np.zeros(short.size, np.uint8)
+        least = short.astype(np.uint64)
+        least <<= np.uint64(32)
+        least |= np.arange(short.size, dtype=np.uint64)
         while span < count:
             step = min(span, count - span)
-            left, right = least[:-step], least[step:]
-            offset = np.where(right < left, offset[step:] + np.uint8(step), offset[:-step])
-            least = np.minimum(left, right)
+            least = np.minimum(least[:-step], least[step:])
             span += step
-        offset %= np.uint8(WIDTH - GRAM + 1)
-        place = np.arange(n, dtype=np.int32)
-        place += offset
+        own = np.arange(n, dtype=np.int32)
+        offset = least.astype(np.uint32).view(np.int32)
+        offset -= own
+        offset %= np.int32(WIDTH - GRAM + 1)
+        place = own + offset
+        eight = np.ndarray((data.size - 7,), np.uint64, data, strides=(1,))
         # windows that start in the last bytes of a text reach into the next
         edge = np.zeros(n + 1, np.int16)
         first, last = np.searchsorted(self.ends, (at, at + n + WIDTH), side="right")
         ends = self.ends[first:last + 1]
         for bounds, sign in ((np.maximum(ends - WIDTH + 1, ends - self.sizes[first:last + 1]), 1), (ends, -1)):
             edge += sign * np.bincount(np.clip(bounds - at, 0, n), minlength=n + 1).astype(np.int16)
-        return place, h, np.cumsum(edge[:-1], dtype=np.int16) == 0
+        return place, eight, np.cumsum(edge[:-1], dtype=np.int16) == 0
 
     def _block(self, at: int) -> tuple[np.ndarray, ...]:
-        place, h, whole = self._windows(at)
+        place, eight, whole = self._windows(at)
         new = np.ones(place.size, bool)
         np.not_equal(place[1:], place[:-1], out=new[1:])
         new[1:] |= whole[1:] != whole[:-1]
@@ -121,7 +127,7 @@ class Pieces:
         start, n = start[kept], n[kept]
 
         def gram(places: np.ndarray) -> np.ndarray:
-            pairs = (_mixed(h[places + i], h[places + i + 8]) for i in (0, 16))
+            pairs = (_mixed(eight[places + i], eight[places + i + 8]) for i in (0, 16))
             return _mixed(*pairs)
 
         end = start + n + WIDTH - 1 - GRAM  # of the last gram inside the piece
@@ -162,6 +168,23 @@ class Requests:
         for i, j in zip(cuts, cuts[1:]):
             yield int(held[i]), order[i:j]
 
+    def places(self) -> bytes:
+        """Where pieces start, their windows, and their place among the pieces by bucket: all that `_removed` needs."""
+        rank = np.empty(len(self.texts), np.uint32)
+        rank[np.argsort(self.bucket, kind="stable")] = np.arange(len(self.texts), dtype=np.uint32)
+        columns = (np.diff(self.start.astype(np.uint32), prepend=np.uint32(0)), rank[self.number])
+        # equal bytes of neighbours beside each other: most of them are zero
+        planes = [np.ascontiguousarray(c).view(np.uint8).reshape(-1, 4).T.ravel() for c in columns]
+        return squeezed(np.concatenate([*planes, self.windows.astype(np.uint8)]))
+
+
+def _placed(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, place by bucket, windows) of what `Requests.places` made."""
+    flat = unsqueezed(data, np.uint8)
+    n = flat.size // 9
+    delta, rank = (np.ascontiguousarray(flat[i:i + 4 * n].reshape(4, n).T).view(np.uint32).ravel() for i in (0, 4 * n))
+    return np.cumsum(delta, dtype=np.uint32).astype(np.int64), rank.astype(np.int64), flat[8 * n:].astype(np.int64)
+
 
 def hash_of(window: bytes) -> int:
     """A hash of one window, the same everywhere."""
@@ -216,6 +239,42 @@ def _partnered(data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return met[of] > 1
 
 
+def _window_hashes(data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Hashes of all windows of pieces (concatenated, and their lengths), in order."""
+    out, ends = [np.zeros(0, np.uint64)], np.cumsum(sizes)
+    for i in range(0, sizes.size, STRINGS):
+        part = sizes[i:i + STRINGS]
+        h = data[ends[i] - part[0]:ends[i + part.size - 1]].astype(np.uint64) + np.uint64(1)
+        for step in (1, 2, 4, 8, 16):
+            h = _joined(h, step)
+        n = part - WIDTH + 1
+        at = np.arange(n.sum()) + np.repeat(np.cumsum(part) - part - np.cumsum(n) + n, n)
+        out.append(_mixed(h[at], h[at + WIDTH - 32]))
+    return np.concatenate(out)
+
+
+def _met_again(data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(piece, first, behind the last) of the windows of unlike pieces that may lie in another one too.
+
+    A window whose hash no other window has lies in its piece alone; windows between two that remain stay with them.
+    """
+    _, of, met = np.unique(_window_hashes(data, sizes), return_inverse=True, return_counts=True)
+    again = np.append(0, np.cumsum(met[of] > 1))
+    windows = sizes - WIDTH + 1
+    ends = np.cumsum(windows)
+    starts = ends - windows
+    kept = np.flatnonzero(again[ends] > again[starts])
+    # places of the first and the last such window of each piece
+    first = np.searchsorted(again, again[starts[kept]], side="right") - 1
+    last = np.searchsorted(again, again[ends[kept]], side="left")
+    return kept, first - starts[kept], last - starts[kept]
+
+
+def _inside(starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Places start, start + 1, ... of runs of n."""
+    return np.arange(n.sum()) + np.repeat(starts - np.cumsum(n) + n, n)
+
+
 def _matched(group: pa.Table) -> pa.Table:
     """Least ids of the windows of a bucket's pieces, for every pack."""
     asked = []
@@ -232,20 +291,28 @@ def _matched(group: pa.Table) -> pa.Table:
     sizes = np.array([len(t) for t in number])
     data = np.frombuffer(b"".join(number), np.uint8)
     windows = sizes - WIDTH + 1
-    # a window of a piece without partners lies in that piece alone
-    some, least = _partnered(data, sizes), np.repeat(ids, windows)
-    if some.any():
-        least[np.repeat(some, windows)] = least_ids(data[np.repeat(some, sizes)], sizes[some], ids[some], WIDTH)
     starts = np.cumsum(windows) - windows
+    # a window of a piece without partners lies in that piece alone
+    some, least = np.flatnonzero(_partnered(data, sizes)), np.repeat(ids, windows)
+    begins = np.cumsum(sizes) - sizes
+    if some.size:
+        kept, first, last = _met_again(data[_inside(begins[some], sizes[some])], sizes[some])
+        some, n = some[kept], last - first
+    if some.size:
+        texts = data[_inside(begins[some] + first, n + WIDTH - 1)]
+        least[_inside(starts[some] + first, n)] = least_ids(texts, n + WIDTH - 1, ids[some], WIDTH)
     bucket = group.column("bucket")[0].as_py()
     out = []
     for pack, numbers, _ in asked:
-        n = windows[numbers]
-        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[numbers], n)
-        out.append((pack, bucket, squeezed(least[at])))
+        out.append((pack, bucket, squeezed(least[_inside(starts[numbers], windows[numbers])])))
     return pa.Table.from_batches([rows(LEAST, out)])
 
 
+def _answered(group: pa.Table) -> pa.Table:
+    """The answers of `_matched`, a row a row, with the places that came with the questions."""
+    return _matched(group).append_column("places", group.column("places"))
+
+
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """One row at a time: they are large."""
     for batch in batches:
@@ -253,41 +320,40 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield batch.slice(i, 1).to_pylist()[0]
 
 
+def _ids(row: dict) -> np.ndarray:
+    return np.array([LAST if i is None else i for i in row["ids"]], np.int64)
+
+
 def _opened(row: dict) -> tuple[Pieces, np.ndarray]:
-    ids = np.array([LAST if i is None else i for i in row["ids"]], np.int64)
-    return Pieces(unsqueezed(row["body"], np.uint8), np.array(row["sizes"], np.int64)), ids
+    return Pieces(unsqueezed(row["body"], np.uint8), np.array(row["sizes"], np.int64)), _ids(row)
 
 
-def _requests(row: dict, gram_buckets: int, piece_buckets: int) -> tuple[Pieces, np.ndarray, Requests]:
+def _requests(row: dict, gram_buckets: int, piece_buckets: int) -> Requests:
     pieces, ids = _opened(row)
     grams = _Grams(pieces, gram_buckets)
     codes = np.zeros(grams.keys.size, np.uint8)
     for answer in row["judged"] or []:
         first, last = np.searchsorted(grams.bucket, (answer["bucket"], answer["bucket"] + 1))
         codes[first:last] = unsqueezed(answer["codes"], np.uint8)
-    return pieces, ids, Requests(pieces, ids, codes[grams.of], piece_buckets)
-
-
-def _removed(pieces: Pieces, asked: Requests, answers: list[dict]) -> np.ndarray:
-    """Which bytes of a pack are covered by windows that a smaller id has too."""
-    least_of = {a["bucket"]: unsqueezed(a["least"], np.int64) for a in answers}
-    windows = np.zeros(len(asked.texts), np.int64)
-    windows[asked.number] = asked.windows
-    starts, parts, at = np.zeros(len(asked.texts), np.int64), [], 0
-    for bucket, numbers in asked.by_bucket():
-        n = windows[numbers]
-        starts[numbers] = at + np.cumsum(n) - n
-        parts.append(least_of[bucket])
-        at += int(n.sum())
-    least = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-    edge = np.zeros(pieces.body.size + 1, np.int8)
+    return Requests(pieces, ids, codes[grams.of], piece_buckets)
+
+
+def _removed(ids: np.ndarray, sizes: np.ndarray, answers: list[dict]) -> np.ndarray:
+    """Which bytes of a pack's texts are covered by windows that a smaller id has too."""
+    start, rank, windows = _placed(next(a["places"] for a in answers if a["places"]))
+    least = np.concatenate([unsqueezed(a["least"], np.int64) for a in sorted(answers, key=lambda a: a["bucket"])])
+    ends = np.cumsum(sizes)
+    own = ids[np.searchsorted(ends, start, side="right")]
+    of_rank = np.zeros(int(rank.max()) + 1, np.int64)
+    of_rank[rank] = windows
+    starts = (np.cumsum(of_rank) - of_rank)[rank]
+    edge = np.zeros(int(ends[-1]) + 1, np.int8)
     step = 1 << 16
-    for i in range(0, asked.number.size, step):
+    for i in range(0, start.size, step):
         part = slice(i, i + step)
-        n = asked.windows[part]
-        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        taken = least[np.repeat(starts[asked.number[part]], n) + inside] < np.repeat(asked.id[part], n)
-        place = (np.repeat(asked.start[part], n) + inside)[taken]
+        n = windows[part]
+        taken = least[_inside(starts[part], n)] < np.repeat(own[part], n)
+        place = _inside(start[part], n)[taken]
         # no place starts two windows: a byte is covered by WIDTH at most
         edge[place] += 1
         edge[place + WIDTH] -= 1
@@ -333,27 +399,30 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            _, _, wanted = _requests(row, gram_buckets, piece_buckets)
-            out = []
-            for bucket, numbers in wanted.by_bucket():
+            wanted = _requests(row, gram_buckets, piece_buckets)
+            out, held = [], [*wanted.by_bucket()]
+            # the places go with one of the questions, of another bucket for every pack
+            carrier = held[(row["pack"] * 2654435761 >> 16) % len(held)][0] if held else None
+            for bucket, numbers in held:
                 texts = [wanted.texts[i] for i in numbers.tolist()]
                 sizes = np.array([len(t) for t in texts], np.uint8)
                 body = np.frombuffer(b"".join(texts), np.uint8)
-                out.append((row["pack"], bucket, squeezed(body), squeezed(sizes), squeezed(wanted.least[numbers])))
-            yield rows(PIECES, out)
+                places = wanted.places() if bucket == carrier else None
+                out.append((row["pack"], bucket, squeezed(body), squeezed(sizes), squeezed(wanted.least[numbers]), places))
+            yield rows(ASKED, out)
 
-    asked = packs.join(judged, "pack").mapInArrow(pieces, "pack bigint, bucket int, body binary, sizes binary, ids binary")
-    matched = asked.groupBy("bucket").applyInArrow(_matched, "pack bigint, bucket int, least binary")
-    matched = matched.groupBy("pack").agg(F.collect_list(F.struct("bucket", "least")).alias("matched"))
-    answers = materialise(judged.join(matched, "pack"), "answers")
+    questions = "pack bigint, bucket int, body binary, sizes binary, ids binary, places binary"
+    asked = packs.join(judged, "pack").mapInArrow(pieces, questions)
+    matched = asked.groupBy("bucket").applyInArrow(_answered, "pack bigint, bucket int, least binary, places binary")
+    matched = matched.groupBy("pack").agg(F.collect_list(F.struct("bucket", "least", "places")).alias("matched"))
+    answers = materialise(matched, "answers")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
+            body = unsqueezed(row["body"], np.uint8)
             if row["matched"]:
-                opened, _, wanted = _requests(row, gram_buckets, piece_buckets)
-                gone, body = _removed(opened, wanted, row["matched"]), opened.body
+                gone = _removed(_ids(row), np.array(row["sizes"], np.int64), row["matched"])
             else:
-                body = unsqueezed(row["body"], np.uint8)
                 gone = np.zeros(body.size, bool)
             out, at = [], 0
             for doc_id, size in zip(row["ids"], row["sizes"], strict=True):

@@ -3,12 +3,13 @@
 Round j inserts, for every string of j symbols or more, the symbol in front of its last j. The transform so far
 lies in a file, ordered by suffix and so in one segment per first symbol; a round reads it from front to
 back and writes the next one, with the lengths of the prefixes that neighbours share in a second
-file. Memory holds a segment, and a few numbers a string.
+file. Memory holds a segment, or several small ones, and a few numbers a string.
 """
 
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 from typing import BinaryIO
 
 import numpy as np
@@ -19,9 +20,9 @@ END = 0xFF
 MOST = 250
 
 
-_PLACES = np.arange(1 << 16, dtype=np.uint32)
-# END, the last symbol, is never looked for: its segment may end with the largest number
-_BOUNDS = np.append(np.arange(256, dtype=np.uint32) << np.uint32(24), np.uint32(0xFFFFFFFF))
+#: Small segments are read together, up to so many symbols: their number, a symbol and a place are 32 bits.
+TOGETHER = 1 << 16
+_PLACES = np.arange(TOGETHER, dtype=np.uint32)
 
 
 def _least(values: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
@@ -33,6 +34,17 @@ def _least(values: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndar
     return np.minimum.reduceat(values, bounds)[::2].astype(np.int64)
 
 
+def _together(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """[i, j) of the segments that are read together: up to TOGETHER symbols and 256 segments, or one alone."""
+    i, held = 0, 0
+    for j, size in enumerate(sizes.tolist()):
+        if j > i and (held + size > TOGETHER or j - i == 256):
+            yield i, j
+            i, held = j, 0
+        held += size
+    yield i, sizes.size
+
+
 class Collection:
     """Strings (concatenated bytes without END, and their lengths) and the two files of the transform."""
 
@@ -79,11 +91,14 @@ class Collection:
         self.symbols.seek(0)
         self.shared.seek(0)
         found = []
-        for s in np.flatnonzero(self.lengths + np.diff(bounds)):
-            mine = slice(bounds[s], bounds[s + 1])
-            old, prefixes = (self._read(f, int(self.lengths[s])) for f in (self.symbols, self.shared))
-            n = old.size + bounds[s + 1] - bounds[s]
-            at = place[mine]
+        grown = self.lengths + np.diff(bounds)
+        for i, j in _together(grown):
+            mine = slice(bounds[i], bounds[j])
+            old, prefixes = (self._read(f, int(self.lengths[i:j].sum())) for f in (self.symbols, self.shared))
+            starts = np.append(0, np.cumsum(grown[i:j]))
+            n = int(starts[-1])
+            of = segment[mine] - i
+            at = place[mine] + starts[of]
             now, lengths = old, prefixes
             if at.size:
                 is_old = np.ones(n, bool)
@@ -95,13 +110,13 @@ class Collection:
                 # a suffix behind a new one shares with it; where that is new too, its own value is the same
                 lengths[at + 1] = behind[mine]
                 lengths[at] = before[mine]
-                lengths[0] = lengths[n] = 0
-                found.append(self._next(now, lengths, at, symbol[mine], strings[mine], held))
+                lengths[starts] = 0
+                found.append(self._next(now, lengths, at, of, symbol[mine], strings[mine], held, grown[i:j]))
             else:
                 held += np.bincount(now, minlength=256)
-            self.lengths[s] = n
             files[0].write(now)
             files[1].write(lengths[:n])
+        self.lengths = grown
         self.close()
         self.symbols, self.shared = files
         columns = [np.concatenate(c) for c in zip(*found, strict=True)]
@@ -109,29 +124,34 @@ class Collection:
         order = np.argsort(columns[1], kind="stable")
         return tuple(c[order] for c in columns)
 
-    def _next(self, now, lengths, at, symbol, strings, held) -> tuple[np.ndarray, ...]:
-        """For the new suffixes of a segment: the suffixes one symbol longer, and where they go. Adds its symbols to `held`."""
-        # the places of a segment, ordered by symbol
-        kind, bits = (np.uint32, 24) if now.size < 1 << 24 else (np.uint64, 40)
+    def _next(self, now, lengths, at, of, symbol, strings, held, sizes) -> tuple[np.ndarray, ...]:
+        """For the new suffixes of some segments (`of`): the suffixes one symbol longer, and where they go. Adds the segments' symbols to `held`."""
+        # the places of each segment, ordered by symbol
+        kind, bits = (np.uint32, 16) if now.size <= TOGETHER else (np.uint32, 24) if now.size < 1 << 24 else (np.uint64, 40)
         ordered = now.astype(kind)
+        if sizes.size > 1:
+            ordered |= np.repeat(np.arange(sizes.size, dtype=kind) << kind(8), sizes)
+        counts = np.bincount(ordered, minlength=256 * sizes.size)
         ordered <<= kind(bits)
         ordered |= _PLACES[:now.size] if now.size <= _PLACES.size else np.arange(now.size, dtype=kind)
         ordered.sort()
         mask = kind((1 << bits) - 1)
-        bounds = np.searchsorted(ordered, np.arange(257, dtype=np.uint64) << np.uint64(bits) if bits > 24 else _BOUNDS)
-        starts, counts = bounds[:-1], np.diff(bounds)
+        starts = np.cumsum(counts) - counts
+        by_segment = counts.reshape(-1, 256)
+        passed = np.cumsum(by_segment, axis=0) - by_segment + held
         goes = symbol != END
-        at, symbol, strings = at[goes], symbol[goes], strings[goes]
-        rank = np.searchsorted(ordered, symbol.astype(kind) << kind(bits) | at.astype(kind))
-        first, last = rank == starts[symbol], rank + 1 == starts[symbol] + counts[symbol]
-        # neighbours with the same symbol in this segment; beyond it suffixes differ in their first symbol
+        at, of, symbol, strings = at[goes], of[goes], symbol[goes], strings[goes]
+        both = of << 8 | symbol
+        rank = np.searchsorted(ordered, both.astype(kind) << kind(bits) | at.astype(kind))
+        first, last = rank == starts[both], rank + 1 == starts[both] + counts[both]
+        # neighbours with the same symbol in the same segment; beyond it suffixes differ in their first symbol
         before, behind = np.ones(at.size, np.int64), np.ones(at.size, np.int64)
         previous = (ordered[rank[~first] - 1] & mask).astype(np.int64)
         before[~first] = 1 + _least(lengths, previous + 1, at[~first] + 1)
         following = (ordered[rank[~last] + 1] & mask).astype(np.int64)
         behind[~last] = 1 + _least(lengths, at[~last] + 1, following + 1)
-        place = held[symbol] + rank - starts[symbol]
-        held += counts
+        place = passed[of, symbol] + rank - starts[both]
+        held += by_segment.sum(axis=0)
         return strings, symbol.astype(np.int64) + 1, place, np.minimum(before, MOST), np.minimum(behind, MOST)
 
     def arrays(self) -> tuple[np.ndarray, np.ndarray]:

@@ -131,6 +131,64 @@ def test_only_pieces_with_partners_are_transformed(monkeypatch):
     assert sum(given) < len(parts) / 4
 
 
+def test_only_windows_met_again_are_transformed(monkeypatch):
+    """Pieces of a common gram whose windows all differ stay out, of others only what lies between their shared windows goes in."""
+    chance = random.Random(7)
+
+    def noise(n: int) -> bytes:
+        return bytes(chance.choices(range(97, 123), k=n))
+
+    core, long = noise(WIDTH - 5), noise(WIDTH + 3)
+    short = [noise(40) + core + noise(40) for _ in range(30)]
+    body = b"".join([*short, *(noise(40) + long + noise(40) for _ in range(2))])
+    sizes = np.array([len(t) for t in short] + [WIDTH + 83] * 2)
+    ids = np.arange(sizes.size, 0, -1)
+    pieces = repeats.Pieces(np.frombuffer(body, np.uint8), sizes)
+    asked = repeats.Requests(pieces, ids, np.ones(pieces.start.size, np.uint8), 3)
+    given = []
+
+    def counted(data, sizes, ids, width):
+        given.extend(sizes.tolist())
+        return transform.least_ids(data, sizes, ids, width)
+
+    monkeypatch.setattr(repeats, "least_ids", counted)
+    answers = []
+    for bucket, numbers in asked.by_bucket():
+        parts = [asked.texts[i] for i in numbers]
+        row = (7, bucket, *(repeats.squeezed(a) for a in (np.frombuffer(b"".join(parts), np.uint8), np.array([len(t) for t in parts], np.uint8), asked.least[numbers])), asked.places())
+        answers += repeats._answered(repeats.pa.Table.from_batches([repeats.rows(repeats.ASKED, [row])])).to_pylist()
+    assert sum(given) <= 2 * len(long) + 2 * WIDTH  # a border of pieces may lie inside
+    gone = repeats._removed(ids, sizes, answers)
+    assert np.flatnonzero(gone).tolist() == [*range(sizes[:-2].sum() + 40, sizes[:-2].sum() + 40 + len(long))]
+    start, _, windows = repeats._placed(asked.places())
+    assert start.tolist() == asked.start.tolist() and windows.tolist() == asked.windows.tolist()
+
+
+@pytest.mark.parametrize("sizes", [[], [0, 0], [5, 0, 65_531, 1, 70_000, 3], [1] * 257])
+def test_segments_read_together(sizes):
+    """Every segment once, in order; several only where they are small."""
+    spans = [*transform._together(np.array(sizes, np.int64))]
+    assert [k for i, j in spans for k in range(i, j)] == [*range(len(sizes))]
+    assert all(j - i <= 256 and (j - i <= 1 or sum(sizes[i:j]) <= transform.TOGETHER) for i, j in spans)
+
+
+def test_large_transform(monkeypatch):
+    """Segments alone and together give the same transform."""
+    chance = random.Random(3)
+    strings = [bytes(chance.choices(b"ab\x00cdefgh\xbf", k=chance.randint(0, 60))) for _ in range(400)]
+    strings += strings[:100]
+    data, sizes = np.frombuffer(b"".join(strings), np.uint8), np.array([len(s) for s in strings])
+    found = []
+    for together in (transform.TOGETHER, 2_000, 1):
+        monkeypatch.setattr(transform, "TOGETHER", together)
+        made = transform.Collection(data, sizes)
+        found.append([a.tolist() for a in made.arrays()])
+        made.close()
+    assert found[0] == found[1] == found[2]
+    suffixes = sorted((s[i:], k, i) for k, s in enumerate(strings) for i in range(len(s) + 1))
+    assert [transform.END if i == 0 else strings[k][i - 1] for _, k, i in suffixes] == found[0][0]
+
+
 def shared(a: bytes, b: bytes) -> int:
     return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
 
