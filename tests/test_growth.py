@@ -53,6 +53,18 @@ def test_routed_lines_are_written_without_a_sort(spark, tmp_path):
     assert {(r["batch_id"], r["route"], r["value"]) for r in back.collect()} == {(3, f"r{i % 5}", str(i)) for i in range(40)}
 
 
+def test_routed_lines_are_compressed(spark, tmp_path):
+    line = F.format_string('{"resourceLogs":[{"resource":{"attributes":[{"key":"service.name","n":%d}]}}]}', F.col("id"))
+    rows = spark.range(5_000).select(F.lit("flask").alias("route"), F.lit("logs").alias("signal"), line.alias("value")).coalesce(1)
+    sinks.append_files(rows, str(tmp_path / "appended"))
+    sinks.write_routed(rows, str(tmp_path / "written"), 3)
+    lines = {r["value"] for r in rows.collect()}
+    for folder in ("appended", "written"):
+        files = [*(tmp_path / folder).rglob("part-*")]
+        assert sum(f.stat().st_size for f in files) < sum(map(len, lines)) / 5
+        assert {r["value"] for r in spark.read.text(str(tmp_path / folder)).collect()} == lines
+
+
 @pytest.mark.parametrize(("chunk", "group_rows", "same_time"), [(3, 50, False), (7, 10**6, False), (5, 30, True)])
 def test_long_frames_are_merged_from_parts(spark, monkeypatch, chunk, group_rows, same_time):
     rows = some_history(150, same_time=same_time)
