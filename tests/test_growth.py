@@ -65,6 +65,27 @@ def test_routed_lines_are_compressed(spark, tmp_path):
         assert {r["value"] for r in spark.read.text(str(tmp_path / folder)).collect()} == lines
 
 
+def test_a_folder_gets_one_file_of_many_batches(spark, tmp_path):
+    rows = spark.range(400).repartition(8).select(
+        F.lit("demo").alias("topic"),
+        F.col("id").cast("string").alias("value"),
+        F.timestamp_seconds(F.col("id") * 7 % 400).alias("ts"),
+        (F.col("id") % 20).alias("batch_id"),
+        F.timestamp_seconds(F.col("id") % 20).alias("window_start"),
+    )
+    for _ in range(2):
+        sinks.write_messages(rows, str(tmp_path / "messages"), many_batches=True)
+    kept = spark.read.parquet(str(tmp_path / "messages"))
+    assert {(int(r.value) % 20, r.value) for r in kept.collect()} == {(i % 20, str(i)) for i in range(400)}
+    assert all(r.batch_id == int(r.value) % 20 for r in kept.collect())
+    assert [len([*p.glob("part-*")]) for p in (tmp_path / "messages").glob("date=*/batch_id=*")] == [1] * 20
+    one = [r.ts for r in spark.read.parquet(str(next((tmp_path / "messages").glob("date=*/batch_id=3")))).collect()]
+    assert one == sorted(one)
+
+    sinks.write_rollups(kept.groupBy("batch_id", "value").count().repartition(8), str(tmp_path / "rollups"))
+    assert [len([*p.glob("part-*")]) for p in (tmp_path / "rollups").glob("batch_id=*")] == [1] * 20
+
+
 @pytest.mark.parametrize(("chunk", "group_rows", "same_time"), [(3, 50, False), (7, 10**6, False), (5, 30, True)])
 def test_long_frames_are_merged_from_parts(spark, monkeypatch, chunk, group_rows, same_time):
     rows = some_history(150, same_time=same_time)
