@@ -14,7 +14,9 @@ from pulsegrid.operators import quantiles, running
 from pulsegrid.plans import envelopes, feature_tables
 from pulsegrid.plans.queries import QUERIES
 from pulsegrid.session import files_at_once
+from pulsegrid.sources import messages as sources_of_messages
 from pulsegrid.sources import sinks
+from pulsegrid.streaming import job
 
 
 def _events(spark, path, rows):
@@ -182,3 +184,49 @@ def test_parts_of_joined_messages_grow_in_number_not_in_size(spark, tmp_path, mo
     assert sum(sizes) == rows and max(sizes) <= 30
     filled = made.filter("features != '' AND enhanced_features != '' AND sliding_features != ''")
     assert filled.count() == rows
+
+
+class _Enough(Exception):
+    pass
+
+
+@pytest.mark.parametrize("name", ["s5_stream_tables", "a30_across_batches"])
+def test_stream_files_grow_in_number(spark, tmp_path, monkeypatch, name):
+    """The messages that a query streams are written by as many tasks as their events have splits."""
+    monkeypatch.setattr(envelopes, "SPLIT_ROWS", 100)
+    _events(spark, tmp_path, 2_000)
+    seen = {}
+
+    def stopped(spark, path, **options):
+        seen.update(options, files=spark.read.parquet(path).inputFiles())
+        raise _Enough
+
+    monkeypatch.setattr(sources_of_messages, "message_table_stream", stopped)
+    with pytest.raises(_Enough):
+        QUERIES[name](spark, str(tmp_path))
+    signals = 3 if name.startswith("a30") else 1
+    assert len(seen["files"]) == 20 * signals
+    if signals > 1:
+        assert seen["maxFilesPerTrigger"] == "20"
+
+
+def test_the_job_reads_its_source_once_and_keeps_no_copy_of_it(spark, tmp_path, monkeypatch):
+    _events(spark, tmp_path, 50)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    sent = envelopes.messages(envelopes.events(spark, str(tmp_path)))
+    sent = sent.mapInArrow(counted, "topic string, value string, ts timestamp, seq bigint")
+
+    def refused(*_):
+        raise AssertionError("messages are kept")
+
+    monkeypatch.setattr(type(sent), "persist", refused)
+    root = job.TableRoot(str(tmp_path / "out"))
+    job.process_batch(sent, 0, root)
+    assert read.value == 50
+    assert spark.read.parquet(root.table("messages")).count() == 50
